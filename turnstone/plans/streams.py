@@ -1 +1,35 @@
-"""To come."""
+"""Stream jobs, run to completion and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from turnstone.registry import query
+from turnstone.streaming import boards
+
+
+@query("t1_hourly_sales", """
+  SELECT date_trunc('hour', ts) AS window_start, event_type, COUNT(*) AS sales, ROUND(SUM(value), 2) AS revenue FROM events GROUP BY 1, 2""")
+def hourly_sales(t):
+    sales = boards.read_sales(t.spark, t.path("events"), t.events, "ts", "2 hours")
+    windows = boards.windowed_counts(
+        sales, "ts", "1 hour", ["event_type"], [F.count(F.lit(1)).alias("sales"), F.sum("value").alias("revenue")])
+    return boards.run_to_table(windows, ["event_type"], "hourly-sales").withColumn("revenue", F.round("revenue", 2))
+
+
+@query("t2_daily_sales", """
+  SELECT date_trunc('day', ts) AS window_start, COUNT(*) AS sales, ROUND(SUM(value), 2) AS revenue FROM events GROUP BY 1""")
+def daily_sales(t):
+    sales = boards.read_sales(t.spark, t.path("events"), t.events, "ts", "2 hours")
+    windows = boards.windowed_counts(
+        sales, "ts", "1 day", [], [F.count(F.lit(1)).alias("sales"), F.sum("value").alias("revenue")])
+    return boards.run_to_table(windows, [], "daily-sales").withColumn("revenue", F.round("revenue", 2))
+
+
+@query("t2_last_hour_sales", """
+  SELECT date_trunc('minute', ts) - to_minutes((minute(ts) % 15)::INT) - to_minutes(15 * k::INT) AS window_start, COUNT(*) AS sales
+  FROM events, generate_series(0, 3) g(k) GROUP BY 1""")
+def last_hour_sales(t):
+    sales = boards.read_sales(t.spark, t.path("events"), t.events, "ts", "2 hours")
+    windows = boards.windowed_counts(sales, "ts", "1 hour", [], [F.count(F.lit(1)).alias("sales")], slide="15 minutes")
+    return boards.run_to_table(windows, [], "last-hour-sales")
