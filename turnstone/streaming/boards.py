@@ -11,8 +11,12 @@ from turnstone.session import run_folder
 
 
 def read_sales(spark: SparkSession, path: str, like: DataFrame, watermark_on: str, delay: str) -> DataFrame:
-    """A stream over a folder of parquet files with the schema of a batch table."""
-    stream = spark.readStream.schema(like.schema).parquet(path)
+    """A stream over a parquet table, file or folder, with the schema of a batch read.
+
+    The path is given as a pattern that matches itself: the file stream takes a
+    plain path for a folder only.
+    """
+    stream = spark.readStream.schema(like.schema).parquet(f"{path[:-1]}[{path[-1]}]")
     return stream.withColumn(watermark_on, F.col(watermark_on).cast("timestamp")).withWatermark(watermark_on, delay)
 
 
