@@ -194,10 +194,11 @@ def noise(t):
 
 
 @query("f23_sequence_explode", """
-  SELECT l_orderkey, l_partkey, l_suppkey, l_quantity::INT AS n, unnest(generate_series(l_linenumber * 10, l_linenumber * 10 + l_quantity::INT - 1))::INT AS seat
-  FROM lineitem""")
+  SELECT seat, n, COUNT(*) AS lines FROM (SELECT l_quantity::INT AS n,
+    unnest(generate_series(l_linenumber * 10, l_linenumber * 10 + l_quantity::INT - 1))::INT AS seat FROM lineitem) GROUP BY 1, 2""")
 def sequence_explode(t):
     n = F.col("l_quantity").cast("int")
     first = F.col("l_linenumber") * 10
     seats = F.sequence(first, first + n - 1)
-    return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", F.size(seats).alias("n"), F.explode(seats).alias("seat"))
+    return t.lineitem.select(F.size(seats).alias("n"), F.explode(seats).alias("seat")).groupBy("seat", "n").agg(
+        F.count(F.lit(1)).alias("lines"))
