@@ -1 +1,204 @@
-"""To come."""
+"""Models on the driver tables.  Fitted values have no SQL twin; evaluation does."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from turnstone.functions import fixed_values as fixed
+from turnstone.functions import scalars as s
+from turnstone.operators import encoding, neighbours, sampling
+from turnstone.operators import models as ops
+from turnstone.plans.customers import renewal_table
+from turnstone.plans.forecasts import daily_facts, win_features
+from turnstone.registry import query
+from turnstone.sources.views import games, line_tickets, tickets
+
+ONE = F.lit(1)
+LEVELS = ["Lowers", "Clubs", "Uppers", "Suites", "Premium"]
+RENEWAL_FEATURES = [
+    "is_local", "touchpoints_agg", "paid_show_rate", "show_rate", "num_games", "gross_revenue_agg", "level_num", "renewal_likelihood_survey",
+]
+
+
+def game_rows(t):
+    per = daily_facts(t).groupBy("event_date", "season", "tier", "is_weekend", "is_premier").agg(
+        F.sum("paid_seats").alias("paid"), F.sum("comp_seats").alias("comp"), F.sum("gross_revenue").alias("revenue"),
+        F.sum(F.when(F.col("did_attend"), F.col("paid_seats") + F.col("comp_seats")).otherwise(0)).alias("attendance"))
+    return per.withColumns({
+        "tier_num": s.lookup("tier", fixed.TIER_NUMBER, 0), "weekend": F.col("is_weekend").cast("int"),
+        "week_day": s.lookup(s.dow0("event_date"), {6: 1, 5: 2, 0: 2}, 3), "atp": F.coalesce(s.ratio("revenue", "paid"), F.lit(0.0)),
+    }).drop("is_weekend")
+
+
+def renewal_rows(t):
+    table = renewal_table(t).withColumn("level_num", s.lookup("arena_level", fixed.LEVEL_ORDER, 5))
+    return table.na.fill(0.0, ["paid_show_rate", "show_rate"])
+
+
+@query("m4_polynomial")
+def polynomial(t):
+    g = game_rows(t)
+    cut = F.lit("2000-07-01").cast("date")
+    out = ops.polynomial_regression(g.where(F.col("event_date") < cut), g.where(F.col("event_date") >= cut), ["attendance", "weekend", "tier_num"], "paid")
+    return out.select("event_date", "attendance", "paid", "predicted")
+
+
+def level_days(t):
+    lt = tickets(t).where(F.col("days_out").between(0, 120)).groupBy("arena_level", "season", "days_out").agg(F.sum("paid_seats").alias("seats"))
+    return lt.withColumn("capacity", F.lit(5000.0)).withColumn("start", F.left("season", F.lit(4)).cast("int"))
+
+
+@query("m5_boosted_by_level")
+def boosted_by_level(t):
+    rows = level_days(t)
+    out = ops.boosted_regression_by_group(
+        rows.where("start < 1999"), rows.where("start >= 1999"), "arena_level", LEVELS, ["days_out"], "seats", "capacity", trees=8)
+    return out.select("arena_level", "season", "days_out", "seats", "predicted")
+
+
+@query("m6_boosted_log_seats")
+def boosted_log_seats(t):
+    g = game_rows(t)
+    out = ops.boosted_log_regression(g.where("season < '2000-01'"), g.where("season >= '2000-01'"), ["weekend", "tier_num", "week_day", "is_premier"], "paid", trees=10)
+    return out.select("event_date", "paid", "predicted")
+
+
+@query("m7_price_table")
+def price_table(t):
+    p = tickets(t).where("days_out >= 0 AND NOT is_comp").groupBy("event_date", "arena_level", "days_out").agg(
+        (F.sum("gross_revenue") / F.sum("paid_seats")).alias("current_price")).withColumns({
+            "level_num": s.lookup("arena_level", fixed.LEVEL_NUMBER, 0), "weekday": s.dow0("event_date"), "month": F.month("event_date")})
+    rows = p.select("event_date", "arena_level", "days_out", "current_price", "level_num", "weekday", "month")
+    return ops.price_table(rows, "event_date", "arena_level", "days_out", ["level_num", "days_out", "weekday", "month"], "current_price", LEVELS, trees=8)
+
+
+@query("m8_logistic_renewal")
+def logistic_renewal(t):
+    rows = renewal_rows(t)
+    parts = sampling.keyed_split(rows, ["buyer"], 0.67, 1993)
+    out = ops.logistic_scores(parts.where("part = 'train'"), parts.where("part = 'test'"), RENEWAL_FEATURES, "did_renew", fixed.FEATURE_WEIGHTS["Full"][1:])
+    return out.select("buyer", "did_renew", "probability")
+
+
+@query("m9_boosted_lead_scores")
+def boosted_lead_scores(t):
+    rows = renewal_rows(t)
+    out = ops.boosted_scores(rows, rows, RENEWAL_FEATURES, "did_renew", trees=10)
+    edges, labels = fixed.SCORE_EDGES
+    return out.select("buyer", "probability", s.cut("probability", edges, labels).alias("prediction_group"))
+
+
+@query("m10_forest_win_model")
+def forest_win_model(t):
+    rows = win_features(t).where(F.col("last_3").isNotNull()).withColumn("decision", F.when(F.col("pts") > F.col("last_3"), "win").otherwise("loss"))
+    cut = F.lit("2000-07-01").cast("date")
+    features = ["back_to_back", "density", "distance", "last_3"]
+    parts = []
+    for away in (0, 1):
+        side = rows.where(F.col("away") == away)
+        parts.append(ops.forest_classes(side.where(F.col("day") < cut), side.where(F.col("day") >= cut), features, "decision", ["loss", "win"], trees=8))
+    out = parts[0].unionByName(parts[1]).withColumn("diff", F.abs(F.col("p_win") - F.col("p_loss")))
+    near = sampling.relabel_closest(out, F.col("predicted") == "loss", ["diff", "team", "day"], 9, ["team", "day"])
+    return near.select("team", "day", "p_win", "p_loss", F.when(F.col("chosen"), "tie").otherwise(F.col("predicted")).alias("predicted"))
+
+
+@query("m11_knn", """
+  WITH f AS (SELECT dayofweek(l_shipdate)::INT AS dow, l_linenumber AS line, l_quantity::INT AS qty, l_returnflag AS cls, l_shipdate < TIMESTAMP '2000-07-01' AS past FROM lineitem),
+  tr AS (SELECT dow, line, qty, COUNT(*) AS n FROM f WHERE past GROUP BY 1, 2, 3), tc AS (SELECT dow, line, qty, cls, COUNT(*) AS n FROM f WHERE past GROUP BY 1, 2, 3, 4), q AS (SELECT DISTINCT dow, line, qty FROM f WHERE NOT past),
+  d AS (SELECT q.dow AS qd, q.line AS ql, q.qty AS qq, tr.*, (q.dow - tr.dow) ** 2 + (q.line - tr.line) ** 2 + (q.qty - tr.qty) ** 2 AS d2 FROM q, tr),
+  c AS (SELECT qd, ql, qq, d2, SUM(SUM(n)) OVER (PARTITION BY qd, ql, qq ORDER BY d2) AS upto FROM d GROUP BY 1, 2, 3, 4), k AS (SELECT qd, ql, qq, MIN(d2) AS kth FROM c WHERE upto >= 5 GROUP BY 1, 2, 3),
+  nb AS (SELECT d.qd, d.ql, d.qq, d.d2, tc.cls, tc.n FROM d JOIN k USING (qd, ql, qq) JOIN tc ON tc.dow = d.dow AND tc.line = d.line AND tc.qty = d.qty WHERE d2 <= kth),
+  m AS (SELECT qd, ql, qq, MIN(d2) AS near FROM nb GROUP BY 1, 2, 3),
+  v AS (SELECT qd, ql, qq, cls, SUM(CASE WHEN near = 0 THEN CASE WHEN d2 = 0 THEN n ELSE 0 END ELSE n / sqrt(d2) END)::DOUBLE AS vote FROM nb JOIN m USING (qd, ql, qq) GROUP BY 1, 2, 3, 4),
+  b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY qd, ql, qq ORDER BY ROUND(vote, 9) DESC, cls) AS rn, SUM(vote) OVER (PARTITION BY qd, ql, qq) AS total FROM v)
+  SELECT qd AS dow, ql AS line, qq AS qty, cls AS predicted, ROUND(vote / total, 6) AS probability FROM b WHERE rn = 1""")
+def knn(t):
+    f = t.lineitem.select(
+        s.dow0("l_shipdate").alias("dow"), F.col("l_linenumber").alias("line"), F.col("l_quantity").cast("int").alias("qty"), F.col("l_returnflag").alias("cls"),
+        (F.col("l_shipdate") < F.lit("2000-07-01").cast("timestamp_ntz")).alias("past"))
+    out = neighbours.knn_vote(f.where("past"), f.where("NOT past"), ["dow", "line", "qty"], "cls", 5)
+    return out.withColumn("probability", F.round("probability", 6))
+
+
+@query("m12_multinomial_tiers")
+def multinomial_tiers(t):
+    g = game_rows(t)
+    out = ops.multinomial_classes(g, g, ["week_day", "attendance", "is_premier", "atp"], "tier", list("ABCDE"))
+    return out.select("event_date", "tier", "predicted", *[f"p_{c}" for c in "ABCDE"])
+
+
+@query("m13_game_clusters")
+def game_clusters(t):
+    g = game_rows(t).where(F.col("season").isin("1997-98", "1998-99"))
+    features = ["week_day", "is_premier", "paid", "atp", "attendance"]
+    seasonal = ops.ranked_clusters(g.select("event_date", "season", "revenue", *features), ["1997-98", "1998-99"], "season", features, "revenue", 4)
+    whole = ops.clusters(seasonal.withColumnRenamed("cluster", "cluster_season"), features, 4)
+    return whole.select("event_date", "season", "cluster_season", "cluster")
+
+
+@query("m14_survey_clusters")
+def survey_clusters(t):
+    d = t.documents.select("doc_id", "lang", "source", F.log1p("n_chars").alias("size"))
+    coded = encoding.label_codes(encoding.label_codes(d, "lang", "lang_num"), "source", "source_num")
+    coded = encoding.label_codes(coded.withColumn("half", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")), "half", "half_num")
+    out = ops.component_clusters(coded.select("doc_id", "lang_num", "source_num", "size", "half_num"), ["lang_num", "source_num", "size", "half_num"], 4, 5)
+    return out.select("doc_id", "pc1", "pc2", "pc3", "pc4", "target")
+
+
+EVALUATED = """ev AS (SELECT l_orderkey, (l_returnflag = 'A')::INT AS y, l_quantity * (1 - l_discount) AS score, CASE WHEN l_quantity > 30 THEN 1 ELSE 0 END AS p FROM lineitem)"""
+
+
+def evaluated(t):
+    return t.lineitem.select((F.col("l_returnflag") == "A").cast("int").alias("y"), (F.col("l_quantity") * (1 - F.col("l_discount"))).alias("score"),
+                             F.when(F.col("l_quantity") > 30, 1).otherwise(0).alias("p"))
+
+
+@query("m15_confusion", f"WITH {EVALUATED} SELECT y, p, COUNT(*) AS n FROM ev GROUP BY 1, 2")
+def confusion(t):
+    return ops.confusion(evaluated(t), "y", "p")
+
+
+@query("m15_accuracy", f"WITH {EVALUATED} SELECT ROUND(AVG((y = p)::INT), 8) AS accuracy FROM ev")
+def accuracy(t):
+    return ops.accuracy(evaluated(t), "y", "p").withColumn("accuracy", F.round("accuracy", 8))
+
+
+@query("m15_report", f"""
+  WITH {EVALUATED}, c AS (SELECT k AS class, COUNT(CASE WHEN y = k AND p = k THEN 1 END) AS tp, COUNT(CASE WHEN p = k THEN 1 END) AS called, COUNT(CASE WHEN y = k THEN 1 END) AS support FROM ev, (VALUES (0), (1)) v(k) GROUP BY 1)
+  SELECT class, ROUND(tp / called, 8) AS precision, ROUND(tp / support, 8) AS recall, ROUND(2.0 * tp / (called + support), 8) AS f1, support FROM c""")
+def report(t):
+    out = ops.classification_report(evaluated(t), "y", "p")
+    return out.select("class", *[F.round(c, 8).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("m15_roc_auc", f"""
+  WITH {EVALUATED}, r AS (SELECT y, RANK() OVER (ORDER BY score) + (COUNT(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE AS rk FROM ev)
+  SELECT ROUND((SUM(CASE WHEN y = 1 THEN rk END) - SUM(y) * (SUM(y) + 1) / 2.0::DOUBLE) / (SUM(y)::DOUBLE * (COUNT(*) - SUM(y))), 8) AS auc FROM r""")
+def roc_auc(t):
+    return ops.roc_auc(evaluated(t), "y", "score", F.floor("score")).withColumn("auc", F.round("auc", 8))
+
+
+@query("m16_grid_search")
+def grid_search(t):
+    return ops.grid_search(renewal_rows(t), RENEWAL_FEATURES, "did_renew", [0.001, 0.1], [0.0, 1.0], folds=2)
+
+
+@query("m17_feature_elimination")
+def feature_elimination(t):
+    return ops.eliminate_features(renewal_rows(t), RENEWAL_FEATURES[2:7], "did_renew", folds=2)
+
+
+@query("m18_odds_ratios")
+def odds_ratios(t):
+    return ops.coefficient_table(renewal_rows(t), RENEWAL_FEATURES, "did_renew")
+
+
+@query("m18_importances")
+def importances(t):
+    return ops.feature_importances(renewal_rows(t), RENEWAL_FEATURES, "did_renew", trees=5)
+
+
+@query("m19_oversample")
+def oversample(t):
+    d = t.documents.join(t.labels, "doc_id").select("doc_id", "quality", F.log1p("n_chars").alias("size"), (F.size(F.split("text", " ")) / F.col("n_chars")).alias("density"))
+    return neighbours.oversample_minority(d, "doc_id", ["size", "density"], "quality", 0)
