@@ -6,12 +6,14 @@ with ``DataFrame.transform`` and collapse into one projection.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.functions import fixed_values as fixed
+from turnstone.functions.rules import apply_rules
 from turnstone.functions.scalars import label_of, last_match, lookup, seat_key
 
 
@@ -107,42 +109,47 @@ def flags(df: DataFrame) -> DataFrame:
     })
 
 
+# Ticket type and the facts a sale must have; the last rule that fits stays.
+TICKET_TYPES = [
+    ("Full", ["full", "standard", "not suites", "not trade"]),
+    ("Flex", ["flex", "standard", "not suites", "not trade"]),
+    ("Premier", ["premier", "standard", "not suites", "not trade"]),
+    ("Annual Suites", ["full or premier", "suites", "not trade"]),
+    ("Sponsor", ["full, flex or premier", "sponsor", "not suites", "not trade"]),
+    ("Trade", ["trade"]),
+    ("Groups", ["groups", "not broker", "not suites", "not trade"]),
+    ("Singles", ["singles", "not broker", "not suites", "not trade"]),
+    ("Nightly Suites", ["by game", "not broker", "suites", "not trade"]),
+    ("Nightly Suites", ["by game", "not broker", "stable", "not trade"]),
+    ("Secondary", ["not trade", "broker"]),
+]
+PLAYOFF_TYPES = [
+    ("Renewal Strips", ["full", "renewal", "not add-on"]),
+    ("Add-on Strips", ["full", "renewal", "add-on"]),
+    ("New Business Strips", ["full", "not renewal"]),
+    ("Secondary", ["broker"]),
+    ("Singles", ["single code"]),
+]
+FOOD_PLAN_TYPES = [("All-Inclusive", ["inclusive"]), ("Groups", ["groups"]), ("Singles", ["singles"])]
+
+
 def ticket_types(df: DataFrame) -> DataFrame:
     """Ticket type, playoff type and food-plan type; later rules overwrite earlier ones."""
-    plan, account, place = F.col("plan_type"), F.col("account_type"), F.col("location_general")
-    own = ~F.col("is_trade")
-    suite = place == "Suites"
-    bowl = ~suite & own
-    by_game = plan.isin("Singles", "Groups", "Flex") & (account != "Broker") & own
-    standard = (account == "Standard") & bowl
-    kept = (account != "Broker") & bowl
-    rules = [
-        (standard & (plan == "Full"), "Full"),
-        (standard & (plan == "Flex"), "Flex"),
-        (standard & (plan == "Premier"), "Premier"),
-        (plan.isin("Full", "Premier") & suite & own, "Annual Suites"),
-        (plan.isin("Full", "Flex", "Premier") & (account == "Sponsor") & bowl, "Sponsor"),
-        (F.col("is_trade"), "Trade"),
-        (kept & (plan == "Groups"), "Groups"),
-        (kept & (plan == "Singles"), "Singles"),
-        (by_game & suite, "Nightly Suites"),
-        (by_game & (F.col("pc_one_two") == "YI"), "Nightly Suites"),
-        (own & (account == "Broker"), "Secondary"),
-    ]
-    renewed = (plan == "Full") & F.col("is_renewal")
-    playoffs = [
-        (renewed & (F.col("pc_four") != "A"), "Renewal Strips"),
-        (renewed & (F.col("pc_four") == "A"), "Add-on Strips"),
-        ((plan == "Full") & ~F.col("is_renewal"), "New Business Strips"),
-        (account == "Broker", "Secondary"),
-        (F.col("pc_two").isin("*", "I"), "Singles"),
-    ]
-    food = [(F.col("is_all_inclusive"), "All-Inclusive"), (plan == "Groups", "Groups"), (plan == "Singles", "Singles")]
-    return df.withColumns({
-        "ticket_type": last_match(rules, "Unknown"),
-        "ticket_type_playoffs": last_match(playoffs, "Unknown"),
-        "hrr_plan_type": last_match(food, "Plans"),
-    })
+    plan, trade = F.col("plan_type"), F.col("is_trade")
+    sponsor = F.col("is_sponsor") | trade
+    facts = {
+        "full": plan == "Full", "flex": plan == "Flex", "premier": plan == "Premier", "groups": plan == "Groups",
+        "singles": plan == "Singles", "full or premier": (plan == "Full") | (plan == "Premier"),
+        "full, flex or premier": (plan == "Full") | (plan == "Flex") | (plan == "Premier"),
+        "by game": (plan == "Singles") | (plan == "Groups") | (plan == "Flex"),
+        "sponsor": sponsor, "broker": F.col("is_logitix") & ~sponsor, "standard": ~F.col("is_logitix") & ~sponsor,
+        "suites": F.col("location_general") == "Suites", "trade": trade, "stable": F.col("pc_one_two") == "YI",
+        "renewal": F.col("is_renewal"), "add-on": F.col("pc_four") == "A", "single code": F.col("pc_two").isin("*", "I"),
+        "inclusive": F.col("is_all_inclusive"),
+    }
+    return apply_rules(
+        df, facts, {"type": TICKET_TYPES, "playoffs": PLAYOFF_TYPES, "food": FOOD_PLAN_TYPES},
+        {"type": [("ticket_type", "Unknown")], "playoffs": [("ticket_type_playoffs", "Unknown")], "food": [("hrr_plan_type", "Plans")]})
 
 
 def seat_counts(df: DataFrame) -> DataFrame:
@@ -189,73 +196,75 @@ def parking_refund(net: str, seats: str, kind: str) -> Column:
 
 
 # --- commissions ---------------------------------------------------------------------
-def _rule(label: str, rate: float, *tests: Column) -> tuple[Column, str, float]:
-    condition = F.lit(True)
-    for test in tests:
-        condition = condition & test
-    return condition, label, rate
-
-
-def hockey_commission_rules() -> list[tuple[Column, str, float]]:
-    """Rules in order; a later one overwrites an earlier one.  Labels and rates are fixed values."""
-    kind, place, dept, desk = (F.col(c) for c in ("ticket_type", "location_general", "rep_department", "rep_sales_service"))
-    new, renewed, lounge, suites = ~F.col("is_renewal"), F.col("is_renewal"), place == "Lounge 954", place == "Suites"
-    good_seats = place.isin("Lounge 954", "Corona") | F.col("pc_one").isin("1", "2")
-    premium_sales = (dept == "Premium") & (desk == "Sales")
-    plans = [("Full", "Premier Plus"), ("Premier", "Premier")]
-    rules = []
-    rules += [_rule(f"Bowl {n} New", 0.1, kind == k, new, ~lounge, ~suites) for k, n in plans]
-    rules += [_rule(f"Lounge 954 {n} New", 0.1, kind == k, new, lounge) for k, n in plans]
-    rules += [_rule(f"Premium Sales {n} New", 0.12, kind == k, new, good_seats, premium_sales) for k, n in plans]
-    for who, rate in [
-        ((dept == "Membership") & (desk == "Service"), 0.014),
-        ((dept == "Premium") & (desk == "Service"), 0.01),
-        (desk == "Sales", 0.1),
-    ]:
-        rules += [_rule(f"Bowl {n} Renewal", rate, kind == k, renewed, ~lounge, who, ~suites) for k, n in plans]
-    rules += [_rule(f"Lounge 954 {n} Renewal", 0.01, kind == k, renewed, lounge) for k, n in plans]
-    upgrade = (kind == "Full") & F.col("is_upgrade")
-    rules += [
-        _rule("Bowl Premier Plus Upgrade", 0.05, upgrade, desk == "Service"),
-        _rule("Bowl Premier Plus Upgrade", 0.1, upgrade, dept.isin("New Business", "Groups")),
-    ]
-    group, tier = kind == "Groups", F.col("tier")
-    rules += [
-        _rule("Hockey D, E Tier Group", 0.10, group, tier.isin("D", "E")),
-        _rule("Hockey B, C Tier Group", 0.06, group, tier.isin("B", "C")),
-        _rule("Hockey B, C Tier Group - Premium", 0.04, group, tier.isin("B", "C"), dept == "Premium"),
-        _rule("Hockey A Tier Group", 0.04, group, tier == "A"),
-        _rule("Hockey Premium Group", 0.1, group, F.col("pc_one").isin("1", "2", "X", "Z"), dept == "Premium"),
-        _rule("Flex", 0.04, kind == "Flex", ~suites),
-    ]
-    for test, name in [(kind == "Nightly Suites", "Hockey Nightly Suites"), (F.col("price_code") == "YI", "Hockey Nightly Stable")]:
-        rules += [_rule(f"{name} - Premium", 0.1, test, dept == "Premium"), _rule(name, 0.05, test, dept != "Premium")]
-    return rules
-
-
-def event_commission_rules() -> list[tuple[Column, str, float]]:
-    place = F.col("location_events_general")
-    group = F.col("pc_two") == "G"
-    return [
-        _rule("Single Event Groups", 0.04, group),
-        _rule("Single Event Groups", 0.08, group, F.col("rep_department") == "Events"),
-        _rule("Single Event Clubs and ENN", 0.04, place.isin("ENN's", "Clubs")),
-        _rule("Single Event Suites", 0.08, place == "Suites"),
-    ]
-
-
-def commissions(df: DataFrame, rules: Callable[[], list] = hockey_commission_rules, doubled: bool = True) -> DataFrame:
+# Label, rate and the facts a sale must have ("not" marks facts it
+# must lack).  Rules apply in order and the last one that fits stays.
+HOCKEY_COMMISSIONS = [
+    ("Bowl Premier Plus New", 0.1, ["full", "not renewal", "not lounge", "not suites"]),
+    ("Bowl Premier New", 0.1, ["premier", "not renewal", "not lounge", "not suites"]),
+    ("Lounge 954 Premier Plus New", 0.1, ["full", "not renewal", "lounge"]),
+    ("Lounge 954 Premier New", 0.1, ["premier", "not renewal", "lounge"]),
+    ("Premium Sales Premier Plus New", 0.12, ["full", "not renewal", "premium seat", "premium desk", "sales"]),
+    ("Premium Sales Premier New", 0.12, ["premier", "not renewal", "premium seat", "premium desk", "sales"]),
+    ("Bowl Premier Plus Renewal", 0.014, ["full", "renewal", "not lounge", "membership desk", "service", "not suites"]),
+    ("Bowl Premier Renewal", 0.014, ["premier", "renewal", "not lounge", "membership desk", "service", "not suites"]),
+    ("Bowl Premier Plus Renewal", 0.01, ["full", "renewal", "not lounge", "premium desk", "service", "not suites"]),
+    ("Bowl Premier Renewal", 0.01, ["premier", "renewal", "not lounge", "premium desk", "service", "not suites"]),
+    ("Bowl Premier Plus Renewal", 0.1, ["full", "renewal", "not lounge", "sales", "not suites"]),
+    ("Bowl Premier Renewal", 0.1, ["premier", "renewal", "not lounge", "sales", "not suites"]),
+    ("Lounge 954 Premier Plus Renewal", 0.01, ["full", "renewal", "lounge"]),
+    ("Lounge 954 Premier Renewal", 0.01, ["premier", "renewal", "lounge"]),
+    ("Bowl Premier Plus Upgrade", 0.05, ["full", "upgrade", "service"]),
+    ("Bowl Premier Plus Upgrade", 0.1, ["full", "upgrade", "upgrade desk"]),
+    ("Hockey D, E Tier Group", 0.1, ["groups", "tier D or E"]),
+    ("Hockey B, C Tier Group", 0.06, ["groups", "tier B or C"]),
+    ("Hockey B, C Tier Group - Premium", 0.04, ["groups", "tier B or C", "premium desk"]),
+    ("Hockey A Tier Group", 0.04, ["groups", "tier A"]),
+    ("Hockey Premium Group", 0.1, ["groups", "premium group seat", "premium desk"]),
+    ("Flex", 0.04, ["flex", "not suites"]),
+    ("Hockey Nightly Suites - Premium", 0.1, ["nightly suites", "premium desk"]),
+    ("Hockey Nightly Suites", 0.05, ["nightly suites", "not premium desk"]),
+    ("Hockey Nightly Stable - Premium", 0.1, ["stable", "premium desk"]),
+    ("Hockey Nightly Stable", 0.05, ["stable", "not premium desk"]),
+]
+EVENT_COMMISSIONS = [
+    ("Single Event Groups", 0.04, ["group code"]),
+    ("Single Event Groups", 0.08, ["group code", "events desk"]),
+    ("Single Event Clubs and ENN", 0.04, ["clubs or bowl"]),
+    ("Single Event Suites", 0.08, ["event suites"]),
+]
+
+
+def commission_facts(df: DataFrame) -> dict[str, Column]:
+    """What the commission rules ask about a sale; only facts whose columns exist."""
+    def is_one(column: str, *values: str) -> Column:
+        return reduce(lambda a, b: a | b, [F.col(column).eqNullSafe(v) for v in values])
+
+    facts = {
+        "full": ("ticket_type", "Full"), "premier": ("ticket_type", "Premier"), "groups": ("ticket_type", "Groups"),
+        "flex": ("ticket_type", "Flex"), "nightly suites": ("ticket_type", "Nightly Suites"),
+        "lounge": ("location_general", "Lounge 954"), "suites": ("location_general", "Suites"),
+        "premium desk": ("rep_department", "Premium"), "membership desk": ("rep_department", "Membership"),
+        "upgrade desk": ("rep_department", "New Business", "Groups"), "events desk": ("rep_department", "Events"),
+        "sales": ("rep_sales_service", "Sales"), "service": ("rep_sales_service", "Service"),
+        "tier A": ("tier", "A"), "tier B or C": ("tier", "B", "C"), "tier D or E": ("tier", "D", "E"),
+        "premium group seat": ("pc_one", "1", "2", "X", "Z"), "stable": ("price_code", "YI"), "group code": ("pc_two", "G"),
+        "clubs or bowl": ("location_events_general", "ENN's", "Clubs"), "event suites": ("location_events_general", "Suites"),
+    }
+    out = {name: is_one(column, *values) for name, (column, *values) in facts.items() if column in df.columns}
+    out["renewal"], out["upgrade"] = F.col("is_renewal"), F.col("is_upgrade")
+    out["premium seat"] = is_one("location_general", "Lounge 954", "Corona") | is_one("pc_one", "1", "2")
+    return out
+
+
+def commissions(df: DataFrame, rules: Sequence[tuple] = HOCKEY_COMMISSIONS, doubled: bool = True) -> DataFrame:
     """Commission type, rate and amount; group sales in the bonus window earn the rate twice."""
-    table = rules()
-    out = df.withColumns({
-        "commission_type": last_match([(c, label) for c, label, _ in table], "Unknown"),
-        "commission_rate": last_match([(c, rate) for c, _, rate in table], 0.0),
-    })
+    out = apply_rules(
+        df, commission_facts(df), {"commission": rules}, {"commission": [("commission_type", "Unknown"), ("commission_rate", 0.0)]})
     if doubled:
         first, last = (F.lit(d).cast("date") for d in fixed.DOUBLE_COMMISSION_ADDED)
         bonus = (F.col("ticket_type") == "Groups") & F.col("add_date").between(first, last) & F.col("event_name").isin(
             fixed.DOUBLE_COMMISSION_EVENTS)
-        out = out.withColumn("commission_rate", F.col("commission_rate") * F.when(bonus, 2).otherwise(1))
+        out = out.withColumn("commission_rate", F.col("commission_rate") * F.when(bonus, 2.0).otherwise(1.0))
     if "commissionable_amount" in df.columns:
         out = out.withColumn("rep_commissions", F.col("commissionable_amount") * F.col("commission_rate"))
     return out

@@ -188,7 +188,7 @@ def commissions(t):
    WHEN pc_two = 'G' THEN 'Single Event Groups' ELSE 'Unknown' END AS commission_type,
    CASE WHEN location_events_general = 'Suites' THEN 0.08 WHEN location_events_general IN ('ENN''s','Clubs') THEN 0.04 WHEN pc_two = 'G' AND rep_department = 'Events' THEN 0.08 WHEN pc_two = 'G' THEN 0.04 ELSE 0.0 END::DOUBLE AS commission_rate FROM y""")
 def event_commissions(t):
-    out = seats.commissions(seats.classified(blocks(t)), seats.event_commission_rules, doubled=False)
+    out = seats.commissions(seats.classified(blocks(t)), seats.EVENT_COMMISSIONS, doubled=False)
     return out.select(*ID, "commission_type", "commission_rate")
 
 
