@@ -42,6 +42,7 @@ def nearest(points: DataFrame, queries: DataFrame, dims: Sequence[str], k: int,
         return points.select(*[F.col(d).alias(f"q_{d}") for d in dims], *dims, "n", F.lit(0.0).alias("distance"))
     reach = float(extent or 0) * len(dims) ** 0.5 + 1e-9
     step = width or max(float(extent or 0), 1e-9) / max(total["c"], 1) ** (1 / len(dims))
+    step = _thin_cells(points, dims, step, 32 * k)
     offsets = F.array(*[F.array(*[F.lit(o) for o in shift]) for shift in product((-1, 0, 1), repeat=len(dims))])
     todo = queries.select(*[F.col(d).alias(f"q_{d}") for d in dims])
     done: list[DataFrame] = []
@@ -75,6 +76,20 @@ def nearest(points: DataFrame, queries: DataFrame, dims: Sequence[str], k: int,
     return reduce(DataFrame.unionByName, done)
 
 
+def _thin_cells(points: DataFrame, dims: Sequence[str], step: float, most: int) -> float:
+    """Shrink the first grid until no cell holds more than ``most`` distinct vectors.
+
+    Where the points crowd into one spot, the even grid would put them all into
+    one cell and compare them pairwise.
+    """
+    while True:
+        cells = points.groupBy(*[F.floor(F.col(d).cast("double") / step) for d in dims]).count()
+        crowd = cells.agg(F.max("count")).first()[0] or 0
+        if crowd <= most or step < 1e-9:
+            return step
+        step /= max(2.0, (crowd / most) ** (1 / len(dims)))
+
+
 def knn_vote(train: DataFrame, queries: DataFrame, dims: Sequence[str], label: str, k: int = 5) -> DataFrame:
     """Distance-weighted class vote of the k nearest rows; exact matches outvote all others.
 

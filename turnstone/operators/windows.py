@@ -24,7 +24,7 @@ def streaks(attendance: DataFrame, client: str, day: str, attended: str) -> Data
     breaks = F.sum(F.when(F.col("attended") == 0, 1).otherwise(0)).over(so_far)
     runs = per_day.withColumn("_run", breaks)
     in_run = Window.partitionBy(client, "_run").orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-    latest = runs.agg(F.max(day)).scalar()
+    latest = attendance.agg(F.max(day)).scalar()
     return runs.select(
         client,
         day,
