@@ -58,7 +58,7 @@ def with_total_rows(df: DataFrame, keys: Sequence[str], over: str, total: Any, a
 
 def missing_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null count and percent per column, from one aggregate row."""
-    one = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    one = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     return one.unpivot(["n"], list(columns), "column_name", "missing").select(
         "column_name", "missing", (F.col("missing") * 100.0 / F.col("n")).alias("missing_percent")
     )
@@ -104,7 +104,7 @@ def consecutive_tenure(df: DataFrame, key: str, season_start: str, latest: int)
 
 def modal_value(df: DataFrame, key: str, value: str, tiebreak: Column) -> DataFrame:
     """Most frequent value per key; ties go to the smaller tiebreak, then the smaller value."""
-    counts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(key, value).agg(F.count("*").alias("n"))
     best = counts.groupBy(key).agg(
         F.min(F.struct((-F.col("n")).alias("a"), tiebreak.alias("b"), F.col(value).alias("v"))).alias("m")
     )

@@ -7,11 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.functions.scalars import cut, days_between, first_match, ratio
+from turnstone.functions.scalars import first_match, ratio
 from turnstone.operators.joins import asof_backward, exists_flag, within_window
 
-ONE = F.lit(1)
-
 
 # --- identity and programs -------------------------------------------------------------
 def first_touch(df: DataFrame, email: str, when: str, season: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
@@ -145,13 +143,13 @@ def snapshot_features(
         return F.floor((F.unix_micros(at.cast("timestamp")) - F.unix_micros(latest.cast("timestamp"))) / F.lit(86_400_000_000)).cast("long")
 
     touched = contacts.where(F.col("contact_date") < at).groupBy(key).agg(
-        F.count(ONE).alias("total_lifetime_contacts"),
+        F.count("*").alias("total_lifetime_contacts"),
         age(F.max("contact_date")).alias("days_since_last_contact"),
         F.count_if(F.col("task_type") == "Call").alias("total_calls"),
         F.count_if(F.col("task_type") == "Email").alias("total_emails"),
     )
     bought = purchases.where(F.col("purchase_date") < at).groupBy(key).agg(
-        F.count(ONE).alias("total_purchase_events"),
+        F.count("*").alias("total_purchase_events"),
         age(F.max("purchase_date")).alias("days_since_last_purchase"),
         F.count_if(F.col("purchase_date") >= at - F.make_dt_interval(days=F.lit(recent_days))).alias("purchases_last_60_days"),
     )
@@ -204,7 +202,7 @@ def show_rates(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return facts.groupBy(*keys).agg(
         ratio(F.sum(F.when(paid, came)), F.count_if(paid)).alias("paid_show_rate"),
         ratio(F.sum(F.when(~paid, came)), F.count_if(~paid)).alias("comp_show_rate"),
-        ratio(F.sum(came), F.count(ONE)).alias("show_rate"),
+        ratio(F.sum(came), F.count("*")).alias("show_rate"),
     )
 
 

@@ -11,10 +11,9 @@ from turnstone.functions import fixed_values as fixed
 from turnstone.functions.scalars import first_match, lookup, ratio
 from turnstone.operators.aggregates import season_weighted_mean
 from turnstone.operators.grid import dense_grid, running_total
+from turnstone.operators.scan import rank_by_value
 from turnstone.operators.windows import percent_of_final, share_of_group
 
-ONE = F.lit(1)
-
 
 def scale_up_by_curve(
     facts: DataFrame, event: str, group: str, days_out: str, value: str, is_current: Column
@@ -60,7 +59,7 @@ def expected_attendance(sold: DataFrame, rates: DataFrame, group: str) -> DataFr
 
 def sold_curve(sales: DataFrame, games: DataFrame, group: str, event: str, place: str, days_out: str, last_day: int) -> DataFrame:
     """Places sold per game on average by day out, cumulated, on a dense day grid."""
-    sold = sales.select(group, event, place, days_out).distinct().groupBy(group, days_out).agg(F.count(ONE).alias("n"))
+    sold = sales.select(group, event, place, days_out).distinct().groupBy(group, days_out).agg(F.count("*").alias("n"))
     per_group = games.groupBy(group).agg(F.countDistinct(event).alias("num_games"))
     grid = dense_grid(per_group, {days_out: list(range(0, last_day + 1))}).join(sold, [group, days_out], "left")
     average = grid.withColumn("avg_sold", ratio(F.coalesce("n", F.lit(0)), "num_games"))
@@ -107,7 +106,7 @@ def gate_prices(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
     paid = ~F.col("is_comp")
     return sales.groupBy(*keys).agg(
         F.max(F.when(paid, F.col("price"))).alias("prepaid_price"),
-        ratio(F.sum("gross_revenue"), F.count(ONE)).alias("realised"),
+        ratio(F.sum("gross_revenue"), F.count("*")).alias("realised"),
     ).withColumn("gate_price", F.coalesce(
         F.col("prepaid_price") / fixed.GATE_PRICE_DIVISOR, F.col("realised") / fixed.GATE_PRICE_DIVISOR)
     ).withColumn("gate_price_gross", F.col("gate_price") * fixed.TAX_DIVISOR)
@@ -190,10 +189,8 @@ def simulate_types(
     with the highest score become plans, as many as the growth of sold plans
     allows; ranks come from counted values, so no event is sorted in one task.
     """
-    from turnstone.operators.scan import rank_by_value
-
     sold = seats.where("ticket_type_group <> 'Not Sold'")
-    current = sold.groupBy(event, "ticket_type_group").agg(F.count(ONE).alias("current_tickets"))
+    current = sold.groupBy(event, "ticket_type_group").agg(F.count("*").alias("current_tickets"))
     quota = current.where("ticket_type_group = 'Plans'").select(
         event, F.floor(F.col("current_tickets") * plan_growth).alias("plan_add"))
     ranked = rank_by_value(seats.where("ticket_type_group = 'Not Sold'"), [event], score, bucket, "average", True)
@@ -202,7 +199,7 @@ def simulate_types(
         (F.col("predicted") == "Nightly", "Nightly"),
     ], "Not Sold")
     added = ranked.join(quota, event, "left").groupBy(event, label.alias("ticket_type_group")).agg(
-        F.count(ONE).alias("predicted_additional_tickets"))
+        F.count("*").alias("predicted_additional_tickets"))
     return current.join(added, [event, "ticket_type_group"], "outer")
 
 

@@ -28,7 +28,7 @@ def not_in(df: DataFrame, other: DataFrame, key: str, null_aware: bool = False)
         return kept
     facts = other.agg(
         F.struct(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")
+            F.count("*").alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")
         ).alias("f")
     ).scalar()
     return kept.where((facts["n"] == 0) | ((facts["nulls"] == 0) & F.col(key).isNotNull()))

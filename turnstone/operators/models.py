@@ -6,7 +6,7 @@ the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from turnstone.functions.scalars import clamp, log_or_zero, ratio
 from turnstone.operators.sampling import keyed_random
-from turnstone.operators.scan import counted_values, rank_by_value
+from turnstone.operators.scan import counted_values
 
 SEED = 1993
 
@@ -205,7 +205,7 @@ def ranked_clusters(df: DataFrame, groups: Sequence[str], group: str, features:
     means = parts.groupBy(group, "_c").agg(F.avg(worth).alias("_worth"))
     # k rows per group: the rank is a count over k values
     better = means.select(group, F.col("_worth").alias("_other"))
-    rank = means.join(better, group).where(F.col("_other") <= F.col("_worth")).groupBy(group, "_c").agg(F.count(F.lit(1)).alias("cluster"))
+    rank = means.join(better, group).where(F.col("_other") <= F.col("_worth")).groupBy(group, "_c").agg(F.count("*").alias("cluster"))
     return parts.join(rank, [group, "_c"]).drop("_c")
 
 
@@ -222,11 +222,11 @@ def component_clusters(df: DataFrame, features: Sequence[str], components: int,
 
 # --- evaluation --------------------------------------------------------------------------------
 def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    return df.groupBy(actual, predicted).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(actual, predicted).agg(F.count("*").alias("n"))
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    return df.agg(ratio(F.count_if(F.col(actual) == F.col(predicted)), F.count(F.lit(1))).alias("accuracy"))
+    return df.agg(ratio(F.count_if(F.col(actual) == F.col(predicted)), F.count("*")).alias("accuracy"))
 
 
 def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -247,7 +247,7 @@ def roc_auc(df: DataFrame, label: str, score: str, bucket) -> DataFrame:
 
     Ranks come from counted score values, so ties and hot values cost one row each.
     """
-    counts = df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("_n"))
     ranks = counted_values(df, [], score, bucket).withColumn("rank", F.col("upto") - (F.col("n") - 1) / 2.0)
     joined = counts.join(ranks, score)
     p, n = F.sum("pos").cast("double"), F.sum("_n").cast("double")

@@ -24,7 +24,7 @@ from turnstone.session import cut_lineage
 
 def distinct_vectors(df: DataFrame, dims: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Vectors (with labels, if any) and how many rows share each."""
-    return df.groupBy(*dims, *extra).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(*dims, *extra).agg(F.count("*").alias("n"))
 
 
 def nearest(points: DataFrame, queries: DataFrame, dims: Sequence[str], k: int, width: float | None = None) -> DataFrame:
@@ -36,8 +36,8 @@ def nearest(points: DataFrame, queries: DataFrame, dims: Sequence[str], k: int,
     """
     points = cut_lineage(points.groupBy(*dims).agg(F.sum("n").alias("n")))
     extent = points.unionByName(queries, allowMissingColumns=True).agg(
-        F.greatest(*[F.max(d) - F.min(d) for d in dims]).alias("e")).first()["e"]
-    total = points.agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")).first()
+        F.array_max(F.array(*[(F.max(d) - F.min(d)).cast("double") for d in dims])).alias("e")).first()["e"]
+    total = points.agg(F.count("*").alias("c"), F.sum("n").alias("n")).first()
     if not total["c"]:
         return points.select(*[F.col(d).alias(f"q_{d}") for d in dims], *dims, "n", F.lit(0.0).alias("distance"))
     reach = float(extent or 0) * len(dims) ** 0.5 + 1e-9
@@ -128,7 +128,7 @@ def oversample_minority(
     so a retried task makes the same rows.
     """
     small = df.where(F.col(label) == minority)
-    counts = df.agg(F.count_if(F.col(label) == minority).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    counts = df.agg(F.count_if(F.col(label) == minority).alias("m"), F.count("*").alias("n")).first()
     need, m = counts["n"] - 2 * counts["m"], counts["m"]
     base = df.select(*dims, label, F.lit(False).alias("synthetic"))
     if need <= 0 or m < 2:

@@ -17,7 +17,7 @@ def fill_to(df: DataFrame, must: Column, order: Sequence[str], k: int) -> DataFr
     needed is a scalar, so nothing but those ``k`` rows is ever ranked.
     """
     included = df.where(must)
-    need = F.lit(k) - included.agg(F.count(F.lit(1))).scalar()
+    need = F.lit(k) - included.agg(F.count("*")).scalar()
     others = df.where(~F.coalesce(must, F.lit(False))).orderBy(*order).limit(k)
     packed = others.agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order]))).alias("r"))
     kept = packed.select(F.explode(F.slice("r", F.lit(1), F.greatest(need, F.lit(0)).cast("int"))).alias("x"))

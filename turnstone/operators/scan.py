@@ -104,7 +104,7 @@ def counted_values(df: DataFrame, keys: Sequence[str], value: str, bucket: Colum
 
     Copies collapse in the map-side aggregation, so repeated values cost one row.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
     return prefix_scan(counts, keys, [value], bucket, sums={"upto": F.col("n")})
 
 

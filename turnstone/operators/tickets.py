@@ -12,8 +12,6 @@ from turnstone.functions.scalars import date_range_text, days_between, first_mat
 from turnstone.operators.grid import dense_grid, zero_fill_past
 from turnstone.operators.windows import change_from_previous, day_density, within_year_density
 
-ONE = F.lit(1)
-
 
 def days_in_sales_cycle(df: DataFrame, starts: Mapping[str, str] = fixed.SALES_START) -> DataFrame:
     """Days from the season's sales start to the sale; null for a season without one."""
@@ -67,7 +65,7 @@ def seat_event_matrix(seats: DataFrame, events: DataFrame, sales: DataFrame, sea
 def sell_through(matrix: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Seats sold of all seats, and the seats an uplift of 10 or 5 percent would add, capped at full."""
     sold = F.count_if(F.col("ticket_type_final") != "Not Sold")
-    base = matrix.groupBy(*keys).agg(F.count(ONE).alias("total_seats"), sold.alias("sold_seats")).where("sold_seats > 0")
+    base = matrix.groupBy(*keys).agg(F.count("*").alias("total_seats"), sold.alias("sold_seats")).where("sold_seats > 0")
     rate = F.col("sell_thru")
     lifted = first_match([
         (rate == 1, rate), (rate < 0.7, rate * 1.1), (rate * 1.05 < 1, rate * 1.05)], F.lit(1.0))

@@ -45,7 +45,7 @@ def day_density(events: DataFrame, keys: Sequence[str], day: str, reach: int = 3
     return days.select(
         *keys,
         day,
-        F.count(F.lit(1)).over(near).alias("density"),
+        F.count("*").over(near).alias("density"),
         (F.col("_n") - F.lag("_n").over(step)).alias("days_before"),
         (F.lead("_n").over(step) - F.col("_n")).alias("days_after"),
     )
@@ -66,7 +66,7 @@ def within_year_density(events: DataFrame, keys: Sequence[str], day: str, reach:
         "_at", F.col("_pos") + F.col("_shift") * F.col("_len")
     )
     near = Window.partitionBy(*keys, "_year").orderBy("_at").rangeBetween(-reach, reach)
-    return images.withColumn("density", F.count(F.lit(1)).over(near)).where("_shift = 0").select(
+    return images.withColumn("density", F.count("*").over(near)).where("_shift = 0").select(
         *keys, day, "density"
     )
 

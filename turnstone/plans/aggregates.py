@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnstone.functions import fixed_values as fixed
 from turnstone.functions import scalars as s
 from turnstone.operators import aggregates as agg
 from turnstone.operators import scan
@@ -12,8 +11,6 @@ from turnstone.operators.joins import first_row_per_key
 from turnstone.registry import query
 from turnstone.sources.views import GAMES, LINE_TICKETS, SCANS, TICKETS, games, line_tickets, scans, tickets
 
-ONE = F.lit(1)
-
 
 @query("a1_group_aggregates", """
   SELECT l_returnflag, l_linestatus, COUNT(*) AS n, ROUND(SUM(l_extendedprice), 2) AS total,
@@ -21,7 +18,7 @@ ONE = F.lit(1)
   FROM lineitem GROUP BY 1, 2""")
 def group_aggregates(t):
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(ONE).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total"),
+        F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total"),
         F.round(F.avg("l_discount"), 6).alias("mean_discount"),
         F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"))
 
@@ -32,13 +29,13 @@ def group_aggregates(t):
 def group_by_expression(t):
     month = F.to_date(F.date_trunc("month", "o_orderdate")).alias("month")
     return t.orders.groupBy(month).agg(
-        F.count(ONE).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
 
 
 @query("a3_global", "SELECT COUNT(*) AS n, ROUND(SUM(l_extendedprice), 2) AS revenue, MAX(l_shipdate) AS latest FROM lineitem")
 def global_aggregate(t):
     return t.lineitem.agg(
-        F.count(ONE).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"), F.max("l_shipdate").alias("latest"))
+        F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"), F.max("l_shipdate").alias("latest"))
 
 
 @query("a4_count_distinct", """
@@ -176,7 +173,7 @@ WEIGHTS = {"1997-98": 0.5, "1998-99": 1.0, "1999-00": 1.5}
   SELECT arena_level, ROUND(SUM(rate * weight) / SUM(weight), 6) AS show_rate FROM w GROUP BY 1""")
 def season_weights(t):
     rates = line_tickets(t).groupBy("season", "arena_level").agg(
-        s.ratio(F.count_if("did_attend"), F.count(ONE)).alias("rate"))
+        s.ratio(F.count_if("did_attend"), F.count("*")).alias("rate"))
     out = agg.season_weighted_mean(rates, ["arena_level"], "season", WEIGHTS, {"show_rate": "rate"})
     return out.withColumn("show_rate", F.round("show_rate", 6))
 
@@ -195,13 +192,13 @@ def two_level(t):
   SELECT o_orderpriority, o_orderstatus, ROUND(SUM(o_totalprice), 2) AS revenue, COUNT(*) AS size FROM orders GROUP BY 1, 2""")
 def sum_and_size(t):
     return t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(
-        F.round(F.sum("o_totalprice"), 2).alias("revenue"), F.count(ONE).alias("size"))
+        F.round(F.sum("o_totalprice"), 2).alias("revenue"), F.count("*").alias("size"))
 
 
 @query("a21_attendance_count", f"""
   WITH {SCANS} SELECT event_date, COUNT(*) AS attendance FROM scans WHERE attended GROUP BY 1""")
 def attendance_count(t):
-    return scans(t).where("attended").groupBy("event_date").agg(F.count(ONE).alias("attendance"))
+    return scans(t).where("attended").groupBy("event_date").agg(F.count("*").alias("attendance"))
 
 
 @query("a22_quantiles", """
@@ -250,7 +247,7 @@ def across_columns(t):
          SUM(CASE WHEN o_orderstatus = 'O' THEN 1 END)::DOUBLE AS O, SUM(CASE WHEN o_orderstatus = 'P' THEN 1 END)::DOUBLE AS P
   FROM orders GROUP BY 1""")
 def pivot(t):
-    counted = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(ONE).cast("double"))
+    counted = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("*").cast("double"))
     return counted
 
 
@@ -264,7 +261,7 @@ def unpivot(t):
 
 @query("a27_value_counts", "SELECT p_type, COUNT(*) AS n FROM part GROUP BY 1")
 def value_counts(t):
-    return t.part.groupBy("p_type").agg(F.count(ONE).alias("n"))
+    return t.part.groupBy("p_type").agg(F.count("*").alias("n"))
 
 
 @query("a28_missing_report", """

@@ -14,7 +14,6 @@ from turnstone.plans.ordered import STREAK_SQL
 from turnstone.plans.relational import SURVEY_WORDS
 from turnstone.sources.views import TICKETS, scans, tickets
 
-ONE = F.lit(1)
 
 # A sign-up is an order, its email the customer's name in mixed case, its program the priority.
 SIGNUPS = """signups AS (
@@ -63,7 +62,7 @@ def first_touch(t):
 @query("c2_identity_bridge", f"""
   WITH {TICKETS}, {CONTACTS} SELECT email, MIN(transaction_date) AS min_ticket_date, COUNT(*) AS tickets FROM tickets JOIN bridge ON buyer = ticketing_id JOIN contacts USING (contact_id) GROUP BY 1""")
 def identity_bridge(t):
-    per = tickets(t).groupBy("buyer").agg(F.min("transaction_date").alias("d"), F.count(ONE).alias("n"))
+    per = tickets(t).groupBy("buyer").agg(F.min("transaction_date").alias("d"), F.count("*").alias("n"))
     return ops.with_email(per, bridge(t), contacts(t), "buyer").groupBy("email").agg(
         F.min("d").alias("min_ticket_date"), F.sum("n").alias("tickets"))
 
@@ -168,7 +167,7 @@ def digital_activity(t):
   SELECT DISTINCT t.buyer, CASE WHEN b.buyer IS NULL THEN 0 ELSE 1 END AS did_purchase FROM tickets t LEFT JOIN b ON t.buyer = b.buyer""")
 def base_vs_buyers(t):
     tk = tickets(t)
-    plans = tk.where(F.col("ticket_type").isin("Full", "Premier") & (F.col("season") == "1999-00"))
+    plans = tickets(t, "1999-00", "1999-00").where(F.col("ticket_type").isin("Full", "Premier"))
     buyers = ops.first_new_purchase(plans, "buyer", "transaction_date", F.col("is_comp"))
     return ops.labelled_base(tk.select("buyer"), buyers.select("buyer"), "buyer")
 
@@ -223,23 +222,24 @@ def renewal_features(t):
 
 
 def renewal_table(t):
-    tk = tickets(t)
-    season = tk.where("season = '1999-00'")
-    held = F.col("ticket_type").isin("Full", "Premier")
+    tk = tickets(t, "1999-00", "2000-01")
+    now, held = F.col("season") == "1999-00", F.col("ticket_type").isin("Full", "Premier")
     came, paid = F.col("did_attend").cast("int"), ~F.col("is_comp")
-    # membership, show rates, spend and games of the season in one pass
-    per_day = season.groupBy("buyer", "event_date").agg(
-        F.max(held.cast("int")).alias("m"), F.sum(F.when(paid, came)).alias("pa"), F.count_if(paid).alias("pn"), F.sum(came).alias("a"), F.count(ONE).alias("n"), F.sum("gross_revenue").alias("v"))
+    # membership now and next season, show rates, spend and games in one pass
+    per_day = tk.groupBy("buyer", "event_date").agg(
+        F.max((now & held).cast("int")).alias("m"), F.max((~now & held).cast("int")).alias("next"), F.max(now.cast("int")).alias("g"),
+        F.sum(F.when(now & paid, came)).alias("pa"), F.count_if(now & paid).alias("pn"), F.sum(F.when(now, came)).alias("a"),
+        F.count_if(now).alias("n"), F.sum(F.when(now, F.col("gross_revenue"))).alias("v"))
     base = per_day.groupBy("buyer").agg(
-        F.max("m").alias("m"), s.ratio(F.sum("pa"), F.sum("pn")).alias("paid_show_rate"), s.ratio(F.sum("a"), F.sum("n")).alias("show_rate"),
-        F.count(ONE).alias("num_games"), F.sum("v").alias("gross_revenue")).where("m = 1 AND gross_revenue > 0").drop("m")
+        F.max("m").alias("m"), F.max("next").alias("did_renew"), s.ratio(F.sum("pa"), F.sum("pn")).alias("paid_show_rate"),
+        s.ratio(F.sum("a"), F.sum("n")).alias("show_rate"), F.sum("g").alias("num_games"), F.sum("v").alias("gross_revenue"),
+    ).where("m = 1 AND gross_revenue > 0").drop("m")
     answer = s.lookup(s.lookup("o_orderpriority", SURVEY_WORDS), fixed.SURVEY_LIKELIHOOD, 0)
     touch = t.orders.where(F.col("o_orderdate") >= F.lit("1999-07-01").cast("timestamp_ntz")).groupBy(F.col("o_custkey").alias("buyer")).agg(
         F.countDistinct("o_orderkey").alias("touchpoints"), F.max(answer).alias("renewal_likelihood_survey"))
-    level = agg.modal_value(season, "buyer", "arena_level", s.lookup("arena_level", fixed.LEVEL_ORDER, 5)).drop("n")
+    level = agg.modal_value(tickets(t, "1999-00", "1999-00"), "buyer", "arena_level", s.lookup("arena_level", fixed.LEVEL_ORDER, 5)).drop("n")
     local = t.customer.select(F.col("c_custkey").alias("buyer"), (F.col("c_nationkey") < 5).cast("int").alias("is_local"))
-    following = tk.where((F.col("season") == "2000-01") & held).select("buyer").distinct().withColumn("did_renew", ONE)
-    out = ops.wide_profile(base.join(local, "buyer"), [touch, level, following], ["buyer"], ["touchpoints", "renewal_likelihood_survey", "did_renew"])
+    out = ops.wide_profile(base.join(local, "buyer"), [touch, level], ["buyer"], ["touchpoints", "renewal_likelihood_survey"])
     return out.withColumns({
         "touchpoints_agg": s.cut("touchpoints", [None, *fixed.TOUCHPOINT_EDGES, None], [0, 1, 2, 3, 4]),
         "gross_revenue_agg": s.cut("gross_revenue", [None, *fixed.SPEND_EDGES["Full"], None], [0, 1, 2, 3, 4, 5]),
@@ -264,20 +264,19 @@ def modal_level(t):
    (h.buyer IS NOT NULL)::INT AS did_renew FROM subs s LEFT JOIN rates r ON r.season = s.season AND r.buyer = s.buyer LEFT JOIN income i ON i.buyer = s.buyer LEFT JOIN ev ON ev.buyer = s.buyer
   LEFT JOIN held h ON h.buyer = s.buyer AND h.season = CASE s.season WHEN '1998-99' THEN '1999-00' ELSE '2000-01' END""")
 def member_profile(t):
-    tk = tickets(t)
-    now = tk.where(F.col("season").isin("1998-99", "1999-00"))
+    now = tickets(t, "1998-99", "1999-00")
     def has(column, value):
         return F.max((F.col(column) == value).cast("int"))
     subs = now.groupBy("season", "buyer").agg(
         has("ticket_type", "Full").alias("is_full"), has("ticket_type", "Premier").alias("is_premier"), F.sum("gross_revenue").alias("total_spend"),
         has("arena_level", "Premium").alias("is_premium"), has("arena_level", "Clubs").alias("is_club"), has("arena_level", "Lowers").alias("is_lower"), has("arena_level", "Uppers").alias("is_upper"),
-        s.ratio(F.sum(F.col("did_attend").cast("int")), F.count(ONE)).alias("show_rate")).where("total_spend > 0")
+        s.ratio(F.sum(F.col("did_attend").cast("int")), F.count("*")).alias("show_rate")).where("total_spend > 0")
     bal = F.col("c_acctbal")
     income = t.customer.select(F.col("c_custkey").alias("buyer"), s.first_match(
         [(bal.between(0, 2999), 1), (bal.between(3000, 5999), 2), (bal.between(6000, 9999), 3)], 0).alias("income_ranking"))
     ev = t.events.groupBy(F.col("user_id").alias("buyer")).agg(
         F.count_if(F.col("event_type") == "view").alias("opens"), F.max((F.col("event_type") == "click").cast("int")).alias("has_clicked"))
-    held = tk.select("buyer", F.col("season").alias("_next")).distinct().withColumn("did_renew", ONE)
+    held = tickets(t, "1999-00", "2000-01").select("buyer", F.col("season").alias("_next")).distinct().withColumn("did_renew", F.lit(1))
     out = ops.wide_profile(subs, [income, ev], ["buyer"], ["opens", "has_clicked"])
     out = ops.wide_profile(out.withColumn("_next", s.next_season("season")), [held], ["buyer", "_next"], ["did_renew"]).drop("_next")
     return out.withColumns({"total_spend": F.round("total_spend", 2), "show_rate": F.round("show_rate", 6)})
@@ -325,7 +324,7 @@ COHORTS = TICKETS + """, att AS (SELECT buyer, event_date FROM tickets WHERE did
 
 
 def cohorts(t):
-    tk = tickets(t)
+    tk = tickets(t, "1997-98", "1999-00")
     att = tk.where("did_attend")
     def plan(kind, season):
         return tk.where((F.col("ticket_type") == kind) & (F.col("season") == season)).select("buyer")
@@ -343,15 +342,15 @@ def season_cohorts(t):
 @query("c21_window_features", f"""
   WITH {COHORTS} SELECT co.buyer, obs_season, COUNT(DISTINCT event_date) AS num_games, COUNT(*) AS num_tickets, ROUND(SUM(gross_revenue), 2) AS spend FROM co JOIN tickets t ON t.buyer = co.buyer AND event_date BETWEEN season_start AND season_end GROUP BY 1, 2""")
 def window_features(t):
-    return ops.window_features(cohorts(t), tickets(t).select("buyer", "event_date", "gross_revenue"), "buyer", "event_date", [
-        F.countDistinct("event_date").alias("num_games"), F.count(ONE).alias("num_tickets"), F.round(F.sum("gross_revenue"), 2).alias("spend")])
+    return ops.window_features(cohorts(t), tickets(t, "1997-98", "1998-99").select("buyer", "event_date", "gross_revenue"), "buyer", "event_date", [
+        F.countDistinct("event_date").alias("num_games"), F.count("*").alias("num_tickets"), F.round(F.sum("gross_revenue"), 2).alias("spend")])
 
 
 @query("c22_inference_cohort", f"""
   WITH {COHORTS}, cur AS (SELECT DISTINCT buyer FROM att WHERE event_date BETWEEN DATE '2000-10-01' AND DATE '2001-03-15' AND buyer NOT IN (SELECT buyer FROM held WHERE season = '2000-01'))
   SELECT cur.buyer, COUNT(DISTINCT event_date) AS num_games, ROUND(SUM(gross_revenue), 2) AS spend FROM cur JOIN tickets t ON t.buyer = cur.buyer AND event_date BETWEEN DATE '2000-10-01' AND DATE '2001-03-15' GROUP BY 1""")
 def inference_cohort(t):
-    tk = tickets(t)
+    tk = tickets(t, "2000-01", "2000-01")
     members = tk.where((F.col("ticket_type") == "Full") & (F.col("season") == "2000-01")).select("buyer")
     now = ops.season_cohort(tk.where("did_attend"), "buyer", "event_date", members, None, "2000-01", "2000-10-01", "2001-03-15")
     return ops.window_features(now, tk.select("buyer", "event_date", "gross_revenue"), "buyer", "event_date", [

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from turnstone.functions import fixed_values as fixed
 from turnstone.functions import scalars as s
 from turnstone.operators import forecasting as ops
-from turnstone.operators import joins, scan, windows
+from turnstone.operators import windows
+from turnstone.operators.aggregates import strongest_status
 from turnstone.operators.regression import forecast_by_group
 from turnstone.registry import query
-from turnstone.sources.views import GAMES, LINE_TICKETS, SCANS, TICKETS, games, line_tickets, scans, tickets
+from turnstone.sources.views import GAMES, LINE_TICKETS, TICKETS, games, line_tickets, tickets
 
-ONE = F.lit(1)
-MONTH = F.to_date(F.date_trunc("month", "event_date"))
 WEIGHTS = {"1997-98": 0.5, "1998-99": 1.0, "1999-00": 1.5}
 WEIGHT_SQL = "CASE season WHEN '1997-98' THEN 0.5 WHEN '1998-99' THEN 1.0 WHEN '1999-00' THEN 1.5 END::DOUBLE"
 
@@ -23,7 +23,7 @@ WEIGHT_SQL = "CASE season WHEN '1997-98' THEN 0.5 WHEN '1998-99' THEN 1.0 WHEN '
   m AS (SELECT arena_level, regr_slope(y, n) AS b, regr_intercept(y, n) AS a FROM h WHERE event_date < DATE '2000-07-01' GROUP BY 1)
   SELECT arena_level, event_date, n, ROUND(a + b * n, 2) AS predicted FROM h JOIN m USING (arena_level) WHERE event_date >= DATE '2000-07-01'""")
 def ols_by_group(t):
-    per = line_tickets(t).groupBy("arena_level", "event_date").agg(F.count(ONE).alias("n"), F.sum("gross_revenue").alias("y"))
+    per = line_tickets(t).groupBy("arena_level", "event_date").agg(F.count("*").alias("n"), F.sum("gross_revenue").alias("y"))
     cut = F.lit("2000-07-01").cast("date")
     out = forecast_by_group(per.where(F.col("event_date") < cut), per.where(F.col("event_date") >= cut).drop("y"), ["arena_level"], ["n"], "y")
     return out.withColumn("predicted", F.round("predicted", 2))
@@ -35,7 +35,7 @@ def ols_by_group(t):
   u AS (SELECT arena_level, AVG(n) AS um, stddev_pop(n) AS ud FROM h WHERE event_date >= DATE '2000-07-01' GROUP BY 1)
   SELECT arena_level, event_date, n, ROUND(ym + b * sd * (n - um) / ud, 2) AS predicted FROM h JOIN m USING (arena_level) JOIN u USING (arena_level) WHERE event_date >= DATE '2000-07-01'""")
 def independent_scaling(t):
-    per = line_tickets(t).groupBy("arena_level", "event_date").agg(F.count(ONE).alias("n"), F.sum("gross_revenue").alias("y"))
+    per = line_tickets(t).groupBy("arena_level", "event_date").agg(F.count("*").alias("n"), F.sum("gross_revenue").alias("y"))
     cut = F.lit("2000-07-01").cast("date")
     out = forecast_by_group(
         per.where(F.col("event_date") < cut), per.where(F.col("event_date") >= cut).drop("y"), ["arena_level"], ["n"], "y", scale="independent")
@@ -48,7 +48,7 @@ def independent_scaling(t):
   SELECT arena_level, season, days_out::INT AS days_out, ROUND(LEAST(GREATEST(exp(a + b * days_out), 0), capacity), 6) AS predicted FROM h JOIN m USING (arena_level) WHERE season >= '1999-00'""")
 def log_target(t):
     per = tickets(t).where(F.col("days_out").between(0, 400)).groupBy("arena_level", "season", "days_out").agg(
-        F.sum("paid_seats").alias("y"), (F.count(ONE) * 30).cast("double").alias("capacity"))
+        F.sum("paid_seats").alias("y"), (F.count("*") * 30).cast("double").alias("capacity"))
     out = forecast_by_group(
         per.where("season < '1999-00'"), per.where("season >= '1999-00'"), ["arena_level"], ["days_out"], "y", log_target=True, capacity="capacity")
     return out.select("arena_level", "season", "days_out", F.round("predicted", 6).alias("predicted"))
@@ -61,7 +61,7 @@ def log_target(t):
   SELECT ev, arena_level, MIN(days_out)::INT AS days_out, arg_min(cum, days_out)::BIGINT AS cumulative, ROUND(arg_min_null(cum / NULLIF(share, 0), days_out), 4) AS projected
   FROM c LEFT JOIN u USING (arena_level, days_out) WHERE ev >= DATE '2000-07-01' GROUP BY 1, 2""")
 def curve_scale_up(t):
-    tk = tickets(t).where("days_out >= 0").withColumn("ev", MONTH)
+    tk = tickets(t).where("days_out >= 0").withColumn("ev", F.to_date(F.date_trunc("month", "event_date")))
     out = ops.scale_up_by_curve(tk, "ev", "arena_level", "days_out", "paid_seats", F.col("ev") >= F.lit("2000-07-01").cast("date"))
     return out.withColumn("projected", F.round("projected", 4))
 
@@ -130,7 +130,6 @@ STATUS = "CASE WHEN l_discount = 0.1 AND l_tax = 0 THEN 'COMP' WHEN l_quantity >
     COUNT(CASE WHEN status = 'HELD' THEN 1 END) AS num_held, COUNT(CASE WHEN status = 'AVAIL' THEN 1 END) AS num_avail FROM best JOIN games USING (event_date) GROUP BY 1, 2, 3)
   SELECT c.*, COALESCE(num_avail <= cum * 100, FALSE) AS will_sell_out FROM c LEFT JOIN curve USING (tier, days_out)""")
 def sell_out(t):
-    from turnstone.operators.aggregates import strongest_status
     status = s.first_match([((F.col("l_discount") == 0.1) & (F.col("l_tax") == 0), "COMP"), (F.col("l_quantity") > 45, "SOLD"), (F.col("l_quantity") > 25, "HELD")], "AVAIL")
     rows = t.lineitem.select(F.to_date("l_shipdate").alias("event_date"), "l_suppkey", status.alias("status"))
     best = strongest_status(rows, ["event_date", "l_suppkey"], "status", fixed.STATUS_ORDER).join(games(t).select("event_date", "tier"), "event_date")
@@ -151,7 +150,7 @@ PARKING = f"""{LINE_TICKETS}, lots AS (SELECT event_date, arena_level AS lot, se
 
 def parking(t):
     lots = line_tickets(t).groupBy("event_date", F.col("arena_level").alias("lot")).agg(
-        F.count(ONE).alias("passes"), F.sum("gross_revenue").alias("current_revenue"), F.sum(F.col("did_attend").cast("int")).alias("came"), F.sum("paid_seats").alias("cars"))
+        F.count("*").alias("passes"), F.sum("gross_revenue").alias("current_revenue"), F.sum(F.col("did_attend").cast("int")).alias("came"), F.sum("paid_seats").alias("cars"))
     cut = F.lit("2000-07-01").cast("date")
     past, upcoming = lots.where(F.col("event_date") < cut), lots.where(F.col("event_date") >= cut)
     rates = past.groupBy("lot").agg(s.ratio(F.sum("came"), F.sum("passes")).alias("show_rate"))
@@ -184,7 +183,7 @@ def gate_price_chain(t):
   SELECT tier, is_weekend, ROUND(AVG(pc), 4) AS per_cap, ROUND(AVG(pc) / 26.84::DOUBLE, 6) AS multiplier FROM a JOIN games USING (event_date) WHERE pc IS NOT NULL GROUP BY 1, 2""")
 def per_cap_table(t):
     lt = line_tickets(t)
-    crowd = lt.where("did_attend").groupBy("event_date").agg(F.count(ONE).alias("attendance"))
+    crowd = lt.where("did_attend").groupBy("event_date").agg(F.count("*").alias("attendance"))
     out = ops.per_caps(lt.select("event_date", "gross_revenue"), crowd, games(t).select("event_date", "tier", "is_weekend"), "event_date", ["tier", "is_weekend"], fixed.FOOD_BASE_PER_CAP)
     return out.withColumns({"per_cap": F.round("per_cap", 4), "multiplier": F.round("multiplier", 6)})
 
@@ -196,9 +195,9 @@ def per_cap_table(t):
   SELECT event_date, arena_level, predicted, ROUND(watp, 4) AS weighted_atp, ROUND(rev, 2) AS current_revenue, CASE WHEN arena_level = 'Uppers' THEN 100.0 ELSE 0.0 END::DOUBLE AS additional_secondary,
    ROUND(predicted * watp + CASE WHEN arena_level = 'Uppers' THEN 100.0 ELSE 0.0 END + rev, 2) AS projected_gross_revenue FROM cur LEFT JOIN w USING (arena_level)""")
 def revenue_projection(t):
-    lt = line_tickets(t)
-    now = lt.where("season = '2000-01'")
-    predicted = now.groupBy("event_date", "arena_level").agg((F.count(ONE) * 3).alias("predicted"))
+    lt = line_tickets(t, "1997-98", "1999-00")
+    now = line_tickets(t, "2000-01", "2000-01")
+    predicted = now.groupBy("event_date", "arena_level").agg((F.count("*") * 3).alias("predicted"))
     extra = predicted.where("arena_level = 'Uppers'").select("event_date", "arena_level", F.lit(100.0).alias("additional_secondary"))
     out = ops.projected_revenue(predicted, lt, now, extra, ["arena_level"], "event_date", "season", WEIGHTS)
     return out.withColumns({"weighted_atp": F.round("weighted_atp", 4), "current_revenue": F.round("current_revenue", 2), "projected_gross_revenue": F.round("projected_gross_revenue", 2)})
@@ -213,7 +212,7 @@ PLANS = f"""{LINE_TICKETS}, {GAMES}, g AS (SELECT event_date, tier, date_diff('d
 
 def budget_plans(t):
     g = games(t).where("season = '2000-01'").select("event_date", "tier", s.days_between(F.lit("2000-06-30"), "event_date").alias("d"))
-    plans = line_tickets(t).where(F.col("ticket_type").isin("Full", "Premier") & (F.col("season") == "2000-01")).groupBy("event_date", "arena_level").agg(
+    plans = line_tickets(t, "2000-01", "2000-01").where(F.col("ticket_type").isin("Full", "Premier")).groupBy("event_date", "arena_level").agg(
         F.sum("gross_revenue").alias("gross_revenue"), s.ratio(F.sum("gross_revenue"), F.sum("paid_seats")).alias("current_atp"))
     out = ops.allocate_budget(plans.join(g.select("event_date", "tier"), "event_date"), g, F.lit(900000000.0), "d")
     return out.groupBy("event_date").agg(F.sum("projected_tickets").alias("projected_tickets"))
@@ -242,8 +241,8 @@ def group_plans(t):
   SELECT event_date, ROUND(SUM(projected_tickets), 4) AS projected_tickets, ROUND(SUM(CASE WHEN ty = 'plans' THEN projected_tickets END), 4) AS projected_tickets_plans,
    ROUND(SUM(CASE WHEN ty = 'groups' THEN projected_tickets END), 4) AS projected_tickets_groups, ROUND(SUM(CASE WHEN ty = 'nightly' THEN projected_tickets END), 4) AS projected_tickets_nightly FROM u GROUP BY 1""")
 def combined_forecast(t):
-    singles = line_tickets(t).where((F.col("ticket_type") == "Singles") & (F.col("season") == "2000-01")).groupBy("event_date").agg(
-        (F.count(ONE) * 1.1).alias("projected_tickets"))
+    singles = line_tickets(t, "2000-01", "2000-01").where("ticket_type = 'Singles'").groupBy("event_date").agg(
+        (F.count("*") * 1.1).alias("projected_tickets"))
     out = ops.combine_forecasts({"plans": budget_plans(t), "groups": group_plans(t), "nightly": singles}, "event_date", "projected_tickets")
     return out.select("event_date", *[F.round(c, 4).alias(c) for c in out.columns[1:]])
 
@@ -272,7 +271,6 @@ GAME_LOG = """gl AS (SELECT l_suppkey % 20 AS team, CAST(l_shipdate AS DATE) AS
 
 def win_features(t):
     """One row per team and day: density, back-to-back, form, and the distance travelled."""
-    from pyspark.sql import Window
     gl = t.lineitem.groupBy((F.col("l_suppkey") % 20).alias("team"), F.to_date("l_shipdate").alias("day")).agg(
         F.sum("l_quantity").alias("pts"), F.min(F.col("l_partkey") % 25).alias("opponent"), (F.min("l_linenumber") % 2).alias("away"))
     near = windows.day_density(gl, ["team"], "day").select("team", "day", "density", F.when(F.col("days_before") == 1, 2).when(F.col("days_after") == 1, 1).otherwise(0).alias("back_to_back"))
@@ -300,7 +298,7 @@ def win_feature_table(t):
 def gameday(t):
     lt = line_tickets(t)
     attendance = ops.expected_attendance(sold_seats(t), ops.show_rates_by(daily_facts(t), ["tier"]), "tier").select("event_date", "tier", F.col("predicted_attendance").alias("att"))
-    crowd = lt.where("did_attend").groupBy("event_date").agg(F.count(ONE).alias("attendance"))
+    crowd = lt.where("did_attend").groupBy("event_date").agg(F.count("*").alias("attendance"))
     caps = ops.per_caps(lt.select("event_date", "gross_revenue"), crowd, games(t).select("event_date", "tier", "is_weekend"), "event_date", ["tier", "is_weekend"], fixed.FOOD_BASE_PER_CAP)
     past = lt.where(F.col("event_date") < F.lit("2000-07-01").cast("date")).groupBy("event_date").agg(
         F.count_if(F.col("arena_level") == "Suites").alias("cars"), F.sum(F.when(F.col("did_attend"), F.col("paid_seats") + F.col("comp_seats")).otherwise(0)).alias("att"))
@@ -317,7 +315,7 @@ def gameday(t):
   SELECT event_date, season, n, ROUND(r, 2) AS current_gross_revenue, NULL::DOUBLE AS predicted_gross_revenue FROM p WHERE event_date < DATE '2001-01-01' AND season = '2000-01'
   UNION ALL SELECT event_date, season, n, NULL, ROUND(a + b * n, 2) FROM p, m WHERE event_date >= DATE '2001-01-01' AND season = '2000-01'""")
 def stitched(t):
-    per = line_tickets(t).groupBy("event_date", "season").agg(F.sum("gross_revenue").alias("gross_revenue"), F.count(ONE).alias("n"))
+    per = line_tickets(t).groupBy("event_date", "season").agg(F.sum("gross_revenue").alias("gross_revenue"), F.count("*").alias("n"))
     cut = F.lit("2001-01-01").cast("date")
     past, upcoming = per.where(F.col("event_date") < cut), per.where(F.col("event_date") >= cut).drop("gross_revenue")
     forecast = forecast_by_group(past, upcoming, [], ["n"], "gross_revenue")

@@ -11,9 +11,8 @@ from turnstone.operators import models as ops
 from turnstone.plans.customers import renewal_table
 from turnstone.plans.forecasts import daily_facts, win_features
 from turnstone.registry import query
-from turnstone.sources.views import games, line_tickets, tickets
+from turnstone.sources.views import tickets
 
-ONE = F.lit(1)
 LEVELS = ["Lowers", "Clubs", "Uppers", "Suites", "Premium"]
 RENEWAL_FEATURES = [
     "is_local", "touchpoints_agg", "paid_show_rate", "show_rate", "num_games", "gross_revenue_agg", "level_num", "renewal_likelihood_survey",

@@ -11,7 +11,6 @@ from turnstone.operators import windows as win
 from turnstone.registry import query
 from turnstone.sources.views import GAMES, LINE_TICKETS, SCANS, TICKETS, games, line_tickets, scans, tickets
 
-ONE = F.lit(1)
 DAYS_OUT = list(range(0, 61))
 
 
@@ -43,7 +42,7 @@ def booking_curve(t):
     CASE o_orderpriority WHEN '5-LOW' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 4 END, o_orderpriority) AS rn
     FROM (SELECT o_custkey, o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1, 2)) WHERE rn = 1""")
 def keep_first(t):
-    counts = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.count(ONE).alias("n"))
+    counts = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
     tie = s.lookup("o_orderpriority", {"5-LOW": 1, "3-MEDIUM": 2}, 4)
     return joins.first_row_per_key(
         counts, ["o_custkey"], [-F.col("n"), tie, F.col("o_orderpriority")], ["o_orderpriority", "n"])
@@ -147,7 +146,7 @@ def cumcount(t):
   SELECT season, event_date, CASE WHEN rating IS NOT NULL THEN ROUND(AVG(rating) OVER (PARTITION BY season ORDER BY event_date ROWS UNBOUNDED PRECEDING), 4) END AS running_rating FROM d""")
 def expanding_mean(t):
     d = line_tickets(t).groupBy("season", "event_date").agg(
-        F.when(F.count(ONE) % 5 != 0, F.avg("gross_revenue")).alias("rating"))
+        F.when(F.count("*") % 5 != 0, F.avg("gross_revenue")).alias("rating"))
     out = win.expanding_mean(d, ["season"], ["event_date"], "rating", "running_rating")
     return out.select("season", "event_date", F.round("running_rating", 4).alias("running_rating"))
 
@@ -247,7 +246,7 @@ def back_to_back(t):
   SELECT o_orderkey, CASE WHEN rk <= quota THEN 'Plans' WHEN o_orderstatus = 'O' THEN 'Nightly' ELSE 'Not Sold' END AS label FROM r JOIN q USING (ev)""")
 def rank_quota(t):
     seats = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("ev"), "o_orderstatus", "o_totalprice")
-    quota = seats.where("o_orderstatus = 'F'").groupBy("ev").agg(F.floor(F.count(ONE) / 10).alias("quota"))
+    quota = seats.where("o_orderstatus = 'F'").groupBy("ev").agg(F.floor(F.count("*") / 10).alias("quota"))
     ranked = scan.rank_by_value(seats, ["ev"], "o_totalprice", F.floor(F.col("o_totalprice") / 10000), "average", True)
     return ranked.join(quota, "ev").select("o_orderkey", s.first_match(
         [(F.col("rank") <= F.col("quota"), "Plans"), (F.col("o_orderstatus") == "O", "Nightly")], "Not Sold").alias("label"))
@@ -295,7 +294,7 @@ def seeded_sample(t):
 @query("o6_random_split")
 def random_split(t):
     parts = sampling.keyed_split(t.orders, ["o_orderkey"], 0.8, 1993)
-    return parts.groupBy("part").agg(F.count(ONE).alias("rows"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
+    return parts.groupBy("part").agg(F.count("*").alias("rows"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
 
 
 @query("o6_ordered_split", """

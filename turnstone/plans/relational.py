@@ -11,7 +11,7 @@ from turnstone.operators import joins
 from turnstone.operators.grid import dense_grid
 from turnstone.registry import query
 from turnstone.sources.tables import run_sql
-from turnstone.sources.views import GAMES, LINE_TICKETS, SCANS, TICKETS, games, line_tickets, scans, tickets
+from turnstone.sources.views import GAMES, LINE_TICKETS, TICKETS, games, line_tickets, tickets
 
 
 def at(text):
@@ -99,7 +99,7 @@ def contains(t):
          COUNT(*) AS lines FROM lineitem GROUP BY 1""")
 def searched_case(t):
     kind = s.first_match([(F.col("l_quantity") > 40, "bulk"), (F.col("l_discount") > 0.05, "deal")], "plain")
-    return t.lineitem.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("lines"))
+    return t.lineitem.groupBy(kind.alias("kind")).agg(F.count("*").alias("lines"))
 
 
 SURVEY_WORDS = {
@@ -213,7 +213,7 @@ def sentinel_date(t):
 def safe_cast(t):
     text = F.when(F.col("p_size") % 3 == 0, F.col("p_name")).otherwise(
         F.concat(F.col("p_size").cast("string"), F.lit(".75")))
-    return t.part.select(text.alias("part_text")).groupBy("part_text").agg(F.count(F.lit(1)).alias("n")).withColumn(
+    return t.part.select(text.alias("part_text")).groupBy("part_text").agg(F.count("*").alias("n")).withColumn(
         "number", s.whole_number("part_text").cast("double"))
 
 
@@ -240,7 +240,7 @@ def reorder(t):
 def inner(t):
     # the fact is reduced to one row per customer before it moves
     per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("v"))
+        F.count("*").alias("n"), F.sum("o_totalprice").alias("v"))
     return per_customer.join(t.customer.select("c_custkey", "c_mktsegment"), "c_custkey").groupBy("c_mktsegment").agg(
         F.sum("n").alias("orders"), F.round(F.sum("v"), 2).alias("revenue"))
 
@@ -249,7 +249,7 @@ def inner(t):
   SELECT c_custkey, COALESCE(n, 0) AS orders FROM customer
   LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
 def left(t):
-    n = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    n = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
     return t.customer.select("c_custkey").join(n, "c_custkey", "left").select(
         "c_custkey", F.coalesce("n", F.lit(0)).alias("orders"))
 
@@ -262,7 +262,7 @@ def left(t):
   FROM cap LEFT JOIN paid ON cap.event_date = paid.event_date AND cap.arena_level = paid.arena_level""")
 def multi_key(t):
     keys = ["event_date", "arena_level"]
-    cap = line_tickets(t).groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"))
+    cap = line_tickets(t).groupBy(*keys).agg(F.count("*").alias("lines"))
     paid = line_tickets(t).where(~F.col("is_comp")).groupBy(*keys).agg(F.sum("paid_seats").alias("paid"))
     return cap.join(paid, keys, "left").withColumn("paid", F.coalesce("paid", F.lit(0)))
 
@@ -273,7 +273,7 @@ def multi_key(t):
   FROM line_tickets JOIN games USING (event_date, season) GROUP BY 1""")
 def using(t):
     per_day = line_tickets(t).groupBy("event_date", "season").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("paid_seats").alias("p"))
+        F.count("*").alias("n"), F.sum("paid_seats").alias("p"))
     return per_day.join(games(t), ["event_date", "season"]).groupBy("tier").agg(
         F.sum("n").alias("tickets"), F.sum("p").alias("paid"))
 
@@ -301,9 +301,9 @@ def full_outer_chain(t):
   SELECT COALESCE(a.k, b.k) AS nation, customers::DOUBLE AS customers, suppliers::DOUBLE AS suppliers FROM a FULL OUTER JOIN b ON a.k = b.k""")
 def full_outer_coalesce(t):
     a = t.customer.where("c_acctbal > 9500").groupBy(F.col("c_nationkey").alias("nation")).agg(
-        F.count(F.lit(1)).cast("double").alias("customers"))
+        F.count("*").cast("double").alias("customers"))
     b = t.supplier.where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("nation")).agg(
-        F.count(F.lit(1)).cast("double").alias("suppliers"))
+        F.count("*").cast("double").alias("suppliers"))
     return a.join(b, "nation", "outer")
 
 
@@ -313,7 +313,7 @@ def full_outer_coalesce(t):
   SELECT COALESCE(user_id, c_custkey) AS id, clicks, c_acctbal FROM a FULL OUTER JOIN b ON user_id = c_custkey
   WHERE clicks IS NOT NULL""")
 def outer_not_null(t):
-    a = t.events.where("event_type = 'click'").groupBy(F.col("user_id").alias("id")).agg(F.count(F.lit(1)).alias("clicks"))
+    a = t.events.where("event_type = 'click'").groupBy(F.col("user_id").alias("id")).agg(F.count("*").alias("clicks"))
     b = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("id"), "c_acctbal")
     return a.join(b, "id", "outer").where(F.col("clicks").isNotNull())
 
@@ -325,7 +325,7 @@ def outer_not_null(t):
 def function_key(t):
     # one normalised key column on each side, then a plain equi join
     mixed = t.customer.select(F.lower(F.concat(F.lit("Nation_"), F.col("c_nationkey").cast("string"))).alias("nation"))
-    per_key = mixed.groupBy("nation").agg(F.count(F.lit(1)).alias("customers"))
+    per_key = mixed.groupBy("nation").agg(F.count("*").alias("customers"))
     return per_key.join(t.nation.select(F.lower("n_name").alias("nation")).distinct(), "nation")
 
 
@@ -344,7 +344,7 @@ def constant_conjunct(t):
 def point_in_time(t):
     buys = t.events.where("event_type = 'purchase' AND value > 150").groupBy("user_id").agg(F.min("ts").alias("bought"))
     facts = joins.point_in_time(t.events.select("user_id", "ts"), buys, "user_id", "ts", "bought", at("2024-01-20"))
-    return facts.groupBy("user_id").agg(F.count(F.lit(1)).alias("events_before"))
+    return facts.groupBy("user_id").agg(F.count("*").alias("events_before"))
 
 
 @query("j11_grid", f"""
@@ -455,7 +455,7 @@ def keyed_glue(t):
   SELECT p_partkey, p_size, COALESCE(sold, 0) AS times_sold FROM part
   LEFT JOIN (SELECT l_partkey, COUNT(*) AS sold FROM lineitem GROUP BY 1) ON p_partkey = l_partkey""")
 def from_dimension(t):
-    sold = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("sold"))
+    sold = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("sold"))
     return t.part.select("p_partkey", "p_size").join(sold, "p_partkey", "left").select(
         "p_partkey", "p_size", F.coalesce("sold", F.lit(0)).alias("times_sold"))
 
@@ -469,13 +469,13 @@ def interval_join(t):
     w = t.events.where("event_type = 'signup'").groupBy("user_id").agg(F.min("ts").alias("w_start")).withColumn(
         "w_end", F.col("w_start") + F.expr("INTERVAL 10 DAY"))
     inside = joins.within_window(t.events.select("user_id", "ts", "value"), w, "user_id", "ts", "w_start", "w_end")
-    return inside.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    return inside.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
 # --- set operations ---------------------------------------------------------------
 def early_late(t):
-    lt = line_tickets(t).select("event_date", "ticket_type", "paid_seats", "gross_revenue", "season")
-    return lt.where("season = '1997-98'"), lt.where("season = '1998-99'")
+    columns = ["event_date", "ticket_type", "paid_seats", "gross_revenue", "season"]
+    return [line_tickets(t, season, season).select(*columns) for season in ("1997-98", "1998-99")]
 
 
 @query("u1_union_all", f"""

@@ -157,7 +157,7 @@ def bins(t):
     WHEN days_out <= 14 THEN 'D: 1-2 Weeks Out' WHEN days_out <= 30 THEN 'E: 2-4 Weeks Out' WHEN days_out <= 60 THEN 'F: 1-2 Months Out'
     WHEN days_out <= 90 THEN 'G: 2-3 Months Out' ELSE 'H: 3+ Months Out' END AS bucket, COUNT(*) AS n FROM tickets GROUP BY 1""")
 def days_out_bucket(t):
-    return tickets(t).groupBy(s.days_out_bucket("days_out").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return tickets(t).groupBy(s.days_out_bucket("days_out").alias("bucket")).agg(F.count("*").alias("n"))
 
 
 @query("f18_date_range_text", f"""
@@ -201,4 +201,4 @@ def sequence_explode(t):
     first = F.col("l_linenumber") * 10
     seats = F.sequence(first, first + n - 1)
     return t.lineitem.select(F.size(seats).alias("n"), F.explode(seats).alias("seat")).groupBy("seat", "n").agg(
-        F.count(F.lit(1)).alias("lines"))
+        F.count("*").alias("lines"))

@@ -51,7 +51,7 @@ def csv_read(t):
   SELECT o_orderpriority, COUNT(*) AS orders, ROUND(SUM(o_totalprice), 2) AS revenue FROM orders GROUP BY 1""")
 def csv_write(t):
     report = t.orders.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("revenue"))
     path = io.write_csv(report, run_folder(t.spark, "csv-out"))
     return io.read_csv(t.spark, path, "o_orderpriority STRING, orders BIGINT, revenue DOUBLE")
 
@@ -59,7 +59,7 @@ def csv_write(t):
 @query("s7_overwrite_table", """
   SELECT year(l_shipdate)::INT AS ship_year, COUNT(*) AS lines FROM lineitem GROUP BY 1""")
 def overwrite_table(t):
-    yearly = t.lineitem.groupBy(F.year("l_shipdate").alias("ship_year")).agg(F.count(F.lit(1)).alias("lines"))
+    yearly = t.lineitem.groupBy(F.year("l_shipdate").alias("ship_year")).agg(F.count("*").alias("lines"))
     return t.spark.read.parquet(io.write_table(yearly, run_folder(t.spark, "table"), ["ship_year"]))
 
 
@@ -127,6 +127,6 @@ def product_generator(t):
   FROM line_tickets GROUP BY 1, 2""")
 def csv_export(t):
     report = line_tickets(t).groupBy("season", "ticket_type").agg(
-        F.count(F.lit(1)).alias("tickets"), F.sum("paid_seats").alias("paid_seats"))
+        F.count("*").alias("tickets"), F.sum("paid_seats").alias("paid_seats"))
     path = io.write_csv(report, run_folder(t.spark, "export"))
     return io.read_csv(t.spark, path, "season STRING, ticket_type STRING, tickets BIGINT, paid_seats BIGINT")

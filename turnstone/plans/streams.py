@@ -13,7 +13,7 @@ from turnstone.streaming import boards
 def hourly_sales(t):
     sales = boards.read_sales(t.spark, t.path("events"), t.events, "ts", "2 hours")
     windows = boards.windowed_counts(
-        sales, "ts", "1 hour", ["event_type"], [F.count(F.lit(1)).alias("sales"), F.sum("value").alias("revenue")])
+        sales, "ts", "1 hour", ["event_type"], [F.count("*").alias("sales"), F.sum("value").alias("revenue")])
     return boards.run_to_table(windows, ["event_type"], "hourly-sales").withColumn("revenue", F.round("revenue", 2))
 
 
@@ -22,7 +22,7 @@ def hourly_sales(t):
 def daily_sales(t):
     sales = boards.read_sales(t.spark, t.path("events"), t.events, "ts", "2 hours")
     windows = boards.windowed_counts(
-        sales, "ts", "1 day", [], [F.count(F.lit(1)).alias("sales"), F.sum("value").alias("revenue")])
+        sales, "ts", "1 day", [], [F.count("*").alias("sales"), F.sum("value").alias("revenue")])
     return boards.run_to_table(windows, [], "daily-sales").withColumn("revenue", F.round("revenue", 2))
 
 
@@ -31,5 +31,5 @@ def daily_sales(t):
   FROM events, generate_series(0, 3) g(k) GROUP BY 1""")
 def last_hour_sales(t):
     sales = boards.read_sales(t.spark, t.path("events"), t.events, "ts", "2 hours")
-    windows = boards.windowed_counts(sales, "ts", "1 hour", [], [F.count(F.lit(1)).alias("sales")], slide="15 minutes")
+    windows = boards.windowed_counts(sales, "ts", "1 hour", [], [F.count("*").alias("sales")], slide="15 minutes")
     return boards.run_to_table(windows, [], "last-hour-sales")

@@ -11,7 +11,6 @@ from turnstone.operators import tickets as ops
 from turnstone.registry import query
 from turnstone.sources.views import BLOCKS, GAMES, LINE_TICKETS, TICKETS, blocks, games, line_tickets, tickets
 
-ONE = F.lit(1)
 ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 ID_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -29,7 +28,7 @@ def in_list(groups):
   FROM (SELECT *, unnest(generate_series(seat_num, seat_num + num_seats - 1))::INT AS seat FROM blocks) GROUP BY 1, 2""")
 def explode_blocks(t):
     return seats.explode_blocks(blocks(t)).groupBy("section_name", "seat").agg(
-        F.count(ONE).alias("seats_sold"), F.round(F.sum("block_purchase_price"), 5).alias("price"),
+        F.count("*").alias("seats_sold"), F.round(F.sum("block_purchase_price"), 5).alias("price"),
         F.round(F.sum("paid_amount"), 3).alias("paid"))
 
 
@@ -55,7 +54,7 @@ def places(t):
 def level_by_code(t):
     level = s.label_of(F.left("price_code", F.lit(1)), fixed.ARENA_LEVEL_INTERNAL, "Other")
     return blocks(t).groupBy(level.alias("arena_level_internal")).agg(
-        F.count(ONE).alias("blocks"), F.round(F.sum("block_purchase_price"), 2).alias("gross_revenue"))
+        F.count("*").alias("blocks"), F.round(F.sum("block_purchase_price"), 2).alias("gross_revenue"))
 
 
 # The SQL twins state the rules first-match-first, i.e. in reverse order.
@@ -214,7 +213,7 @@ def day_in_cycle(t):
   WITH {BLOCKS} SELECT section_name || '-' || row_name || '-' || seat::VARCHAR AS seat_id, event_name || '-' || section_name || '-' || row_name || '-' || seat::VARCHAR AS seat_event_id, COUNT(*) AS n
   FROM (SELECT *, unnest(generate_series(seat_num, seat_num + num_seats - 1)) AS seat FROM blocks) GROUP BY 1, 2""")
 def seat_ids(t):
-    return seats.seat_ids(seats.explode_blocks(blocks(t))).groupBy("seat_id", "seat_event_id").agg(F.count(ONE).alias("n"))
+    return seats.seat_ids(seats.explode_blocks(blocks(t))).groupBy("seat_id", "seat_event_id").agg(F.count("*").alias("n"))
 
 
 @query("d15_event_state", f"""
@@ -238,8 +237,8 @@ def gameday_check(t):
     times_full::DOUBLE AS times_full, times_premier::DOUBLE AS times_premier, times_other::DOUBLE AS times_other, times_nightly::DOUBLE AS times_nightly FROM part LEFT JOIN f ON p_partkey = seat_id""")
 def seat_lifetime(t):
     manifest = t.part.select(F.col("p_partkey").alias("seat_id"), F.col("p_size").alias("seat_x"))
-    lt = line_tickets(t)
-    out = ops.seat_lifetime(manifest, [lt.where("season = '1997-98'"), lt.where("season = '1998-99'")], "seat_id")
+    sales = [line_tickets(t, season, season) for season in ("1997-98", "1998-99")]
+    out = ops.seat_lifetime(manifest, sales, "seat_id")
     counts = ["times_paid", "times_comp", "attended", "times_full", "times_premier", "times_other", "times_nightly"]
     return out.withColumns({"gross_revenue": F.round("gross_revenue", 2), **{c: F.col(c).cast("double") for c in counts}})
 
@@ -261,7 +260,7 @@ def seat_matrix(t):
   WITH {MATRIX} SELECT event, pc, CASE WHEN ticket_type_final IN ('Full','Annual Suites','Premier','Flex','Quarter','Sponsor','Trade') THEN 'Plans' WHEN ticket_type_final = 'Groups' THEN 'Groups'
    WHEN ticket_type_final = 'Secondary' THEN 'Secondary' WHEN ticket_type_final = 'Not Sold' THEN 'Not Sold' ELSE 'Nightly' END AS ticket_type_group, COUNT(*) AS seats, ROUND(SUM(price), 2) AS price FROM matrix GROUP BY 1, 2, 3""")
 def seat_event_matrix(t):
-    return seat_matrix(t).groupBy("event", "pc", "ticket_type_group").agg(F.count(ONE).alias("seats"), F.round(F.sum("price"), 2).alias("price"))
+    return seat_matrix(t).groupBy("event", "pc", "ticket_type_group").agg(F.count("*").alias("seats"), F.round(F.sum("price"), 2).alias("price"))
 
 
 @query("d18_sell_through", f"""
@@ -315,7 +314,7 @@ def market_mix(t):
     tk = tickets(t)
     singles = tk.where("ticket_type = 'Singles'")
     mix = ops.market_mix({
-        "resale": (tk.where("ticket_type = 'Groups'"), ONE),
+        "resale": (tk.where("ticket_type = 'Groups'"), F.lit(1)),
         "box office": (singles.where("days_out >= 0"), F.col("paid_seats")),
         "online": (singles.where("days_out < 0"), F.col("paid_seats")),
     }, ["event_date", "arena_level"])
@@ -352,7 +351,7 @@ def live_board(t):
   SELECT g.sales_hour, g.event_type, (CASE WHEN g.sales_hour <= TIMESTAMP '2024-01-20 15:30:00' THEN COALESCE(sold, 0) ELSE sold END)::DOUBLE AS sold
   FROM g LEFT JOIN s ON g.sales_hour = s.sales_hour AND g.event_type = s.event_type""")
 def hourly_grid(t):
-    out = ops.hourly_board(t.events.select("ts", "event_type"), "ts", "event_type", F.count(ONE), NOW)
+    out = ops.hourly_board(t.events.select("ts", "event_type"), "ts", "event_type", F.count("*"), NOW)
     return out.withColumn("sold", F.col("sold").cast("double"))
 
 
