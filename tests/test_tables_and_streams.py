@@ -25,6 +25,22 @@ def test_publish_and_bound_parameters(frame):
     assert io.run_sql(df.sparkSession, "SELECT k FROM {d} WHERE v > :floor", {"d": df}, floor=2.5).first()["k"] == 2
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    a = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    left = io.write_bucketed(a, "bucketed_left", ["k"], 4, str(tmp_path / "l"))
+    right = io.write_bucketed(a.withColumnRenamed("v", "w"), "bucketed_right", ["k"], 4, str(tmp_path / "r"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left.join(right, "k")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE bucketed_left")
+        spark.sql("DROP TABLE bucketed_right")
+
+
 def test_shared_folder_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

@@ -247,7 +247,7 @@ def across_columns(t):
          SUM(CASE WHEN o_orderstatus = 'O' THEN 1 END)::DOUBLE AS O, SUM(CASE WHEN o_orderstatus = 'P' THEN 1 END)::DOUBLE AS P
   FROM orders GROUP BY 1""")
 def pivot(t):
-    counted = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("*").cast("double"))
+    counted = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1)).cast("double"))
     return counted
 
 

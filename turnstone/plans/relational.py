@@ -41,7 +41,7 @@ def lateral_alias(t):
 
 
 @query("p3_alias_in_where", """
-  SELECT * FROM (SELECT o_orderkey, date_diff('day', o_orderdate, DATE '2001-08-01') AS days_out FROM orders)
+  SELECT * FROM (SELECT o_orderkey, date_diff('day', o_orderdate, DATE '2001-08-01')::INT AS days_out FROM orders)
   WHERE days_out BETWEEN 0 AND 50""")
 def alias_in_where(t):
     days = t.orders.select("o_orderkey", s.days_between(F.to_date("o_orderdate"), F.lit("2001-08-01")).alias("days_out"))

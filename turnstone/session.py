@@ -34,8 +34,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is configured."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="turnstone-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="turnstone-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 

@@ -88,7 +88,7 @@ def tickets(t: Tables, first: str | None = None, last: str | None = None) -> Dat
 
 TICKETS = LINE_TICKETS + """, tickets AS (
   SELECT lt.*, o_custkey AS buyer, CAST(o_orderdate AS DATE) AS transaction_date,
-         date_diff('day', CAST(o_orderdate AS DATE), event_date) AS days_out
+         date_diff('day', CAST(o_orderdate AS DATE), event_date)::INT AS days_out
   FROM line_tickets lt JOIN orders ON l_orderkey = o_orderkey)"""
 
 
