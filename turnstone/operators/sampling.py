@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.operators.scan import counted_values
+from turnstone.operators.scan import values_at_ranks
 
 
 def fill_to(df: DataFrame, must: Column, order: Sequence[str], k: int) -> DataFrame:
@@ -54,7 +54,5 @@ def ordered_split(df: DataFrame, order: str, share: float, bucket: Column) -> Da
 
     The cut is the exact value at that rank, so no row is numbered globally.
     """
-    counts = counted_values(df, [], order, bucket)
-    total = df.agg(F.count(order)).scalar()
-    cut = counts.where(F.col("upto") >= F.ceil(F.lit(share) * total)).agg(F.min(order)).scalar()
-    return df.withColumn("is_train", F.col(order) <= cut)
+    last = values_at_ranks(df, [], order, {"cut": lambda n: F.ceil(F.lit(share) * n) - 1}, bucket)
+    return df.withColumn("is_train", F.col(order) <= last.select("cut").scalar())

@@ -10,7 +10,7 @@ per key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,6 +125,37 @@ def rank_by_value(
     return df.join(ranks, [*keys, value], "left")
 
 
+def values_at_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Callable[[Column], Column]], bucket: Column
+) -> DataFrame:
+    """The values at given 0-based ranks per key, one column per rank, and the row count ``_total``.
+
+    A histogram of value buckets finds the bucket each rank falls into; only the
+    rows of those buckets are then counted by value.  ``ranks`` maps a name to a
+    function of the row count.
+    """
+    keys = list(keys)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value, bucket.alias(BUCKET))
+    histogram = rows.groupBy(*keys, BUCKET).agg(F.count("*").alias("_n"))
+    of_key = Window.partitionBy(*(keys or [F.lit(0)]))
+    placed = histogram.withColumns({
+        "_before": F.coalesce(
+            F.sum("_n").over(of_key.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_total": F.sum("_n").over(of_key),
+    })
+    wanted = F.array(*[
+        F.struct(F.lit(name).alias("name"), rank(F.col("_total")).cast("long").alias("rank")) for name, rank in ranks.items()])
+    targets = placed.withColumn("_w", F.explode(wanted)).where(
+        (F.col("_w.rank") >= F.col("_before")) & (F.col("_w.rank") < F.col("_before") + F.col("_n"))
+    ).select(*keys, BUCKET, "_before", "_total", F.col("_w.name").alias("_name"), F.col("_w.rank").alias("_rank"))
+    near = rows.join(targets.select(*keys, BUCKET).distinct(), [*keys, BUCKET]).groupBy(*keys, BUCKET, value).agg(F.count("*").alias("_n"))
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = near.withColumn("_upto", F.sum("_n").over(inside))
+    hits = targets.join(counted, [*keys, BUCKET]).where(F.col("_before") + F.col("_upto") > F.col("_rank"))
+    return hits.groupBy(*keys).agg(
+        *[F.min(F.when(F.col("_name") == name, F.col(value))).alias(name) for name in ranks], F.max("_total").alias("_total"))
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], bucket: Column,
     interpolation: str = "linear",
@@ -133,30 +164,20 @@ def exact_quantiles(
 
     ``interpolation`` is ``linear``, ``midpoint``, ``lower`` or ``higher``.
     """
-    keys = list(keys)
-    counts = counted_values(df, keys, value, bucket)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    if keys:
-        placed = counts.join(totals, keys)
-    else:
-        placed = counts.withColumn("_total", totals.select("_total").scalar())
-    aggs = []
+    ranks: dict[str, Callable[[Column], Column]] = {}
     for name, q in quantiles.items():
+        ranks[f"_lo_{name}"] = lambda n, q=q: F.floor(F.lit(float(q)) * (n - 1))
+        ranks[f"_hi_{name}"] = lambda n, q=q: F.ceil(F.lit(float(q)) * (n - 1))
+    ends = values_at_ranks(df, keys, value, ranks, bucket)
+
+    def between(name: str, q: float) -> Column:
+        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         at = F.lit(float(q)) * (F.col("_total") - 1)
-        aggs += [
-            F.min(F.when(F.col("upto") > F.floor(at), F.col(value))).alias(f"_lo_{name}"),
-            F.min(F.when(F.col("upto") > F.ceil(at), F.col(value))).alias(f"_hi_{name}"),
-            F.max(at - F.floor(at)).alias(f"_w_{name}"),
-        ]
-    ends = placed.groupBy(*keys).agg(*aggs)
-
-    def between(name: str) -> Column:
-        lo, hi, w = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_w_{name}")
         return {
-            "linear": lo + (hi - lo) * w,
+            "linear": lo + (hi - lo) * (at - F.floor(at)),
             "midpoint": (lo + hi) / 2.0,
             "lower": lo,
             "higher": hi,
         }[interpolation]
 
-    return ends.select(*keys, *[between(n).alias(n) for n in quantiles])
+    return ends.select(*keys, *[between(n, q).alias(n) for n, q in quantiles.items()])
