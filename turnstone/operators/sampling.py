@@ -54,5 +54,5 @@ def ordered_split(df: DataFrame, order: str, share: float, bucket: Column) -> Da
 
     The cut is the exact value at that rank, so no row is numbered globally.
     """
-    last = values_at_ranks(df, [], order, {"cut": lambda n: F.ceil(F.lit(share) * n) - 1}, bucket)
-    return df.withColumn("is_train", F.col(order) <= last.select("cut").scalar())
+    last = values_at_ranks(df, [], order, {"cut": lambda n: F.floor(F.lit(share) * n + 1e-9) - 1}, bucket)
+    return df.withColumn("is_train", F.coalesce(F.col(order) <= last.select("cut").scalar(), F.lit(False)))
