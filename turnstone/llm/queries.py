@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, simhash
+from turnstone.llm import bpe, quality, simhash
 from turnstone.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = byte_bpe()
     tokens = bpe.encode(read(spark, folder, "documents"), ranks, pattern)
     return token_digests(bpe.decode(tokens, ranks)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(documents, read(spark, folder, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality.judge(documents, model).select("doc_id", *counts, "base_failed", "kept", "probability")
