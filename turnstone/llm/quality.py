@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.llm.common import labelled_texts, sampled_labels, slices, texts
+from turnstone.llm.hashing import SPACES, hash_words
 from turnstone.llm.linear import calibrate, fit_sparse, sigmoid
 
 #: Bound of the labelled sample.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 BITS = 15
 TABLE = 1 << BITS
 FAMILIES = 3
@@ -32,29 +33,16 @@ WINDOW = 8
 KEEP_PROBABILITY = 0.35
 
 SYMBOLS = b"#*$%&|<>"
-SPACES = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-REMEMBERED = 500_000
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_HASHES = WordHashes()
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    found = text.split()
-    return np.fromiter(map(_HASHES.__getitem__, found), dtype=np.uint64, count=len(found))
+def hashed_texts(part: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Each text with the hashes of its words, case kept."""
+    all_texts = texts(part, "text")
+    hashes, counts = hash_words(all_texts)
+    return zip(all_texts, np.split(hashes, np.cumsum(counts)[:-1]))
 
 
 def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
@@ -120,8 +108,8 @@ def _feature_rows(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             index, value = [], []
-            for text in texts(part, "text"):
-                each = [np.unique(f, return_counts=True) for f in families(text, word_hashes(text))]
+            for text, hashes in hashed_texts(part):
+                each = [np.unique(f, return_counts=True) for f in families(text, hashes)]
                 index.append(np.concatenate([i for i, _ in each]).astype("<i4").tobytes())
                 value.append(np.concatenate([n / max(n.sum(), 1) for _, n in each]).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -146,7 +134,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Mo
     if len(set(label[~aside])) < 2 or len(set(label[aside])) < 2:
         aside[:] = False
     fit = np.flatnonzero(~aside)
-    weights, bias = fit_sparse([data[i] for i in fit], label[fit], FAMILIES * TABLE, penalty=1e-6, steps=80, rate=1.0)
+    weights, bias = fit_sparse([data[i] for i in fit], label[fit], FAMILIES * TABLE, penalty=1e-6, steps=60, rate=1.0)
     score = np.array([bias + (weights[i] * v).sum() for i, v in data])
     judged = aside if aside.any() else ~aside
     slope, offset = calibrate(score[judged], label[judged])
@@ -169,8 +157,7 @@ def measure(documents: DataFrame, model: Model) -> DataFrame:
         judge = shared.value
         for part in slices(batches, "text"):
             out = []
-            for text in texts(part, "text"):
-                hashes = word_hashes(text)
+            for text, hashes in hashed_texts(part):
                 out.append((
                     len(hashes),
                     len(text.translate(None, SPACES + CONTINUATION)),
