@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, quality, simhash
+from turnstone.llm import bpe, decontaminate, quality, simhash
 from turnstone.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.train(documents, read(spark, folder, "labels"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality.judge(documents, model).select("doc_id", *counts, "base_failed", "kept", "probability")
+
+
+@query("op2_benchmark_decontamination")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
