@@ -1,7 +1,7 @@
 """Benchmark passages inside documents: SimHash windows of item size, multi-index blocks, exact check.
 
 Every position of every document starts a window as long as an item (item lengths
-are rounded down to a step of a tenth; the probe is that much of the item).  A
+are rounded down on a scale with steps of a fifth; the probe is that much of the item).  A
 window's SimHash comes from running bit counts.  Four 16-bit blocks with a table of
 all values near an item's block find every window within the radius: a fingerprint
 within ``RADIUS`` bits differs in at most ``RADIUS // 4`` bits of some block.
@@ -58,7 +58,7 @@ def _rounded(count: int) -> int:
     """The largest step of the length scale that is not above ``count``."""
     step = at = 1
     while at <= count:
-        step, at = at, max(at + 1, at * 11 // 10)
+        step, at = at, max(at + 1, at * 6 // 5)
     return step
 
 
@@ -91,9 +91,9 @@ class Probes:
     def match(self, windows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """For each item the positions of the windows within the radius."""
         parts = windows.view(np.uint16).reshape(-1, BLOCKS)
-        hit = self.tables[0][parts[:, 0]]
+        hit = self.tables[0].take(parts[:, 0], mode="clip")
         for block in range(1, BLOCKS):
-            hit |= self.tables[block][parts[:, block]]
+            hit |= self.tables[block].take(parts[:, block], mode="clip")
         found = np.flatnonzero(hit)
         if found.size:
             values = windows[found]
@@ -117,19 +117,26 @@ def probe_groups(items: list[tuple[int | None, bytes]], radius: int) -> list[Pro
 
 
 def _bit_counts(values: np.ndarray, most: int) -> np.ndarray:
-    """Running counts of each of the 64 bits, modulo the type's range (differences stay right)."""
-    kind = np.uint8 if most < 256 else np.uint16 if most < 65536 else np.uint32
-    out = np.zeros((len(values) + 1, 64), dtype=kind)
-    np.cumsum(np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=kind, out=out[1:])
+    """Running counts of each of the 64 bits, in lanes of 64-bit sums.
+
+    Lanes may carry into each other, but the difference of two sums is right modulo
+    2**64, and no lane of it can overflow: it counts ``most`` shingles at most.
+    """
+    kind = np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32
+    bits = np.unpackbits(values.view(np.uint8), bitorder="little").reshape(-1, 64).astype(kind, copy=False)
+    lanes = bits.view(np.uint64)
+    out = np.zeros((len(values) + 1, lanes.shape[1]), dtype=np.uint64)
+    np.cumsum(lanes, axis=0, out=out[1:])
     return out
 
 
-def _windows(counts: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
+def _windows(counts: np.ndarray, length: int, most: int) -> Iterator[tuple[int, np.ndarray]]:
     """Fingerprints of the windows of ``length`` shingles, a step of them at a time."""
-    half = counts.dtype.type(length // 2)
+    kind = np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32
+    half = kind(length // 2)
     for at in range(0, len(counts) - length, STEP):
         stop = min(at + STEP, len(counts) - length)
-        ones = counts[at + length : stop + length] - counts[at:stop]
+        ones = (counts[at + length : stop + length] - counts[at:stop]).view(kind)
         yield at, np.packbits(ones > half, bitorder="little").view(np.uint64)
 
 
@@ -143,10 +150,11 @@ def _search(hashes: np.ndarray, words: np.ndarray, groups: list[Probes], similar
         found = shingles(hashes, size)
         if not len(found) or not own:
             continue
-        counts = _bit_counts(found, max(g.length for g in own))
+        most = max(g.length for g in own)
+        counts = _bit_counts(found, most)
         held = np.maximum(np.diff(first) - size + 1, 0)  # shingles of each text
         for group in own:
-            for at, prints in _windows(counts, group.length):
+            for at, prints in _windows(counts, group.length, most):
                 for number, near in group.match(prints):
                     for start in (near + at).tolist():
                         row = int(row_of[start])
