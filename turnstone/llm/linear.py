@@ -10,11 +10,12 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_sparse(
-    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, penalty: float, steps: int, rate: float
+    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, penalty: float, steps: int, rate: float,
+    balanced: bool = True,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam; each row is (feature numbers, values).  Deterministic.
 
-    Classes weigh alike.  Without rows of both classes all weights are zero and the
+    ``balanced`` lets both classes weigh alike.  Without rows of both classes all weights are zero and the
     bias is the log odds of the only class, with one pseudo row of each.
     """
     labels = labels.astype(np.float64)
@@ -27,7 +28,7 @@ def fit_sparse(
     index = np.concatenate([i for i, _ in rows]).astype(np.int64)
     value = np.concatenate([v for _, v in rows]).astype(np.float64)
     row_of = np.repeat(np.arange(len(rows)), counts)
-    share = np.where(labels > 0, 0.5 / good, 0.5 / (len(labels) - good))
+    share = np.where(labels > 0, 0.5 / good, 0.5 / (len(labels) - good)) if balanced else np.full(len(labels), 1 / len(labels))
     bias, m, v, mb, vb = 0.0, np.zeros(size), np.zeros(size), 0.0, 0.0
     for step in range(1, steps + 1):
         z = np.bincount(row_of, weights[index] * value, len(rows)) + bias

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, decontaminate, quality, simhash
-from turnstone.llm.common import read
+from turnstone.llm import bpe, decontaminate, quality, simhash, toxicity
+from turnstone.llm.common import read, text_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +67,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_benchmark_decontamination")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    held_out = text_crc("doc_id", toxicity.FOLDS) == 0
+    model = toxicity.train(documents, read(spark, folder, "labels"), keep=~held_out)
+    return toxicity.score(documents, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
