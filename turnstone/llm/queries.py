@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, decontaminate, quality, simhash, toxicity
+from turnstone.llm import bpe, decontaminate, quality, simhash, toxicity, url_filter, warc
 from turnstone.llm.common import read, text_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,46 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     held_out = text_crc("doc_id", toxicity.FOLDS) == 0
     model = toxicity.train(documents, read(spark, folder, "labels"), keep=~held_out)
     return toxicity.score(documents, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def warc_sql() -> str:
+    """The digest in base 32 from twenty bits (five hex digits) at a time."""
+    chunk = "('0x' || sha1(payload)[{lo}:{hi}])::int"
+    letters = " || ".join(
+        f"'{warc.BASE32}'[(({chunk.format(lo=at + 1, hi=at + 5)} >> {shift}) & 31) + 1]" for at in range(0, 40, 5) for shift in (15, 10, 5, 0))
+    return f"""
+with p as (select page_id, coalesce(html, '') as payload from pages),
+d as (select page_id, strlen(payload)::bigint as payload_bytes, {letters} as payload_digest, max(page_id) over (partition by payload) as latest from p)
+select page_id, payload_bytes, payload_digest, case when page_id = latest then 'response' else 'revisit' end as record_type,
+  case when page_id <> latest then latest end as refers_to from d"""
+
+
+@query("op5_warc", warc_sql())
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(read(spark, folder, "pages"))
+
+
+#: Fixed rules of the url query.
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+#: Hosts of the corpus with one of these words in a label are on the block list.
+SPAM_WORDS = ["adult", "ads", "bets", "casino", "pills", "spam"]
+SPAM_LABEL = f"(^|[.-])({'|'.join(SPAM_WORDS)})([.-]|$)"
+
+URL_SQL = f"""
+with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+r(rule, rhost, rpath, verdict) as (values ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+f as (select h.*, rule, verdict, row_number() over (partition by page_id order by length(rule) desc) as k
+  from h left join r on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath))
+select page_id, host, path, rule, coalesce(verdict, case when regexp_matches(host, '{SPAM_LABEL}') then 'block' else 'allow' end) as verdict
+from f where k = 1"""
+
+
+@query("op1_url_filter", URL_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).distinct()
+    blocked = hosts.where(F.col("host").rlike(SPAM_LABEL))
+    return url_filter.judge(pages, URL_RULES, blocked).select("page_id", "host", "path", "rule", "verdict")
