@@ -52,11 +52,12 @@ def keys_of(host: Column, path: Column, path_lengths: Sequence[int]) -> Column:
     """All keys that a rule fitting this url can have: parent domain + beginning of the path."""
     labels = F.split(host, r"\.", -1)
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    out = []
-    for length in sorted(set(path_lengths)):
+
+    def of_length(length: int) -> Column:
         start = F.substring(path, 1, length)
-        out.append(F.when(F.length(path) >= length, F.transform(domains, lambda d, s=start: F.concat(d, s))).otherwise(F.array().cast("array<string>")))
-    return F.concat(*out)
+        return F.when(F.length(path) >= length, F.transform(domains, lambda d: F.concat(d, start))).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*map(of_length, sorted(set(path_lengths))))
 
 
 @dataclass(frozen=True)
