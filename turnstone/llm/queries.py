@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, decontaminate, quality, simhash, toxicity, url_filter, warc
+from turnstone.llm import bpe, chat, decontaminate, html_text, quality, simhash, toxicity, url_filter, warc
 from turnstone.llm.common import read, text_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,36 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).distinct()
     blocked = hosts.where(F.col("host").rlike(SPAM_LABEL))
     return url_filter.judge(pages, URL_RULES, blocked).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op9_html_extraction")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    text = html_text.main_text(pages, html_text.learn(pages)).drop("html")
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def chat_sql() -> str:
+    """Lengths count each escaped character: backslashes and control strings grow by one."""
+    marks = " + ".join(f"(length({{0}}) - length(replace({{0}}, '{c}', ''))) / {len(c)}" for c in [*chat.CONTROL, "\\"])
+    size = "length({0}) + " + marks
+    fixed = len(chat.TURN) + len(chat.TEXT) + len(chat.END)
+    return f"""
+with t as (select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum({fixed} + {size.format('role')} + {size.format('text')})::bigint as formatted_chars
+from t group by conv_id"""
+
+
+@query("op10_chat_formatting", chat_sql())
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("int").alias("turn"), "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], turns.schema)
+    trees, members = chat.format_conversations(turns.unionByName(probe))
+    found = chat.read_back(trees).drop("formatted")
+    return members.join(found, "leaf").drop("leaf")
