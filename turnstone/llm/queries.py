@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, chat, decontaminate, html_text, quality, simhash, toxicity, url_filter, warc
+from turnstone.llm import bpe, chat, decontaminate, html_text, language_model, quality, simhash, toxicity, url_filter, warc
 from turnstone.llm.common import read, text_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     trees, members = chat.format_conversations(turns.unionByName(probe))
     found = chat.read_back(trees).drop("formatted")
     return members.join(found, "leaf").drop("leaf")
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    held_out = text_crc("doc_id", language_model.HELD_OUT_FOLDS) == language_model.HELD_OUT
+    found = language_model.score(documents, ~held_out)
+    return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
