@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from turnstone.llm.common import list_array, slices, staged
+from turnstone.llm.common import held, list_array, slices, staged
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: A match that ends this near to a chunk's end may have been changed by the cut.
 MARGIN = 8
 #: Pieces that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 @lru_cache(maxsize=4)
@@ -112,9 +112,6 @@ class Encoder:
         return self.pieces(found)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 class Vocabulary:
     """Broadcast ranks and the pattern, with a name by content."""
 
@@ -125,10 +122,7 @@ class Vocabulary:
 
     def encoder(self) -> Encoder:
         """One encoder for each worker and vocabulary, so that pieces stay known between tasks."""
-        if self.name not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[self.name] = Encoder(self.shared.value, self.pattern)
-        return _ENCODERS[self.name]
+        return held(self.name, lambda: Encoder(self.shared.value, self.pattern))
 
 
 def _with_ids(part: pa.RecordBatch, drop: set[str], each: list[bytes]) -> pa.RecordBatch:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from turnstone.session import run_folder
 UPPER = bytes(range(65, 91))
 LOWER = bytes.maketrans(UPPER, UPPER.lower())
 #: Bytes of text that one numpy step sees; batches are cut to it (one longer text is a step of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +31,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Any] = {}
+
+
+def held(name: str, make: Callable[[], Any]) -> Any:
+    """What a worker keeps between tasks under a name by content; a worker holds one such thing at a time."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def words(text: bytes) -> list[bytes]:
     """Lower-cased words; ``bytes.split`` cuts at exactly 0x20 and 0x09-0x0D."""
     return text.translate(LOWER).split()

@@ -13,7 +13,7 @@ import xxhash
 SPACES = b" \t\n\x0b\x0c\r"
 #: Longer words are hashed on their own; texts are cut between words into buffers of about this size.
 LONG_WORD = 1 << 16
-BUFFER = 4 << 20
+BUFFER = 5 << 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.llm.common import LOWER, labelled_texts, sampled_labels, slices, texts
+from turnstone.llm.common import LOWER, held, labelled_texts, sampled_labels, slices, texts
 from turnstone.llm.linear import fit_sparse, sigmoid
 
 #: Bound of the labelled sample, and of the words that get a weight.
@@ -32,7 +32,7 @@ MIN_TOXIC_ROWS = 3
 THRESHOLD = 0.5
 #: Training rows: crc32 of the id as text, modulo this, is not 0.
 FOLDS = 5
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 #: Letters that a character can stand for.
 LOOKALIKES = {
@@ -193,15 +193,9 @@ class Model:
     bias: float
 
 
-_READERS: dict[str, Reader] = {}
-
-
 def _reader(model: Model) -> Reader:
     """One reader for each worker and model, so that tokens stay known between tasks."""
-    if model.name not in _READERS:
-        _READERS.clear()
-        _READERS[model.name] = Reader(model.characters, model.known)
-    return _READERS[model.name]
+    return held(model.name, lambda: Reader(model.characters, model.known))
 
 
 def _toxic_words(sample: DataFrame, characters: CharacterModel) -> DataFrame:
