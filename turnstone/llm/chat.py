@@ -150,8 +150,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def trees(distinct: DataFrame) -> DataFrame:
     """Prefix trees of distinct conversations (``path, leaf, roles, texts``)."""
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = distinct.select("path", "leaf", "roles", "texts").repartitionByRange(parts, "path").sortWithinPartitions("path")
+    ordered = distinct.select("path", "leaf", "roles", "texts").repartitionByRange("path").sortWithinPartitions("path")
     return ordered.mapInArrow(_emit, TREES)
 
 

@@ -26,6 +26,8 @@ from turnstone.llm.common import slices
 MAX_NAMES = 5000
 CLIP = 4.0
 PRIOR_ROWS = 20.0
+#: Score of a text in a container that doesn't belong to the article around it.
+INSERTED = -0.05
 
 #: Elements whose content is never text.
 HIDDEN = ["script", "style", "noscript", "template", "iframe", "svg", "math", "object", "select", "textarea", "button", "head", "title"]
@@ -194,8 +196,12 @@ def _score(token: Token, weights: Weights) -> float:
     if not count:
         return 0.0
     own = [weights.word(c) for c in token.inside]
-    least = min(own, default=0.0)
-    return count * (least if least < 0 else own[-1] if own else 0.3)
+    if min(own, default=0.0) >= 0:
+        return count * (own[-1] if own else 0.3)
+    # Boilerplate within an article is left out but doesn't end the run.
+    first = next(i for i, w in enumerate(own) if w < 0)
+    within = any(c.split(".")[0] in ("article", "main") for c in token.inside[:first])
+    return INSERTED if within else count * min(own)
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:

@@ -194,7 +194,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, queri
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """``node, root`` of every node of the edges ``a, b``; the root is the least node it reaches.
+    """``node, root`` of every node of the edges ``a, b`` but the roots; a root is the least node of those it reaches.
 
     Alternates two steps until nothing changes: each node's larger neighbours move to
     its least neighbour, then its smaller neighbours and itself do.
