@@ -119,3 +119,14 @@ def test_ordered_split_is_the_first_share(frame):
     df = frame([(i,) for i in range(100)], "id int")
     got = ordered_split(df, "id", 0.67, F.floor(F.col("id") / 9)).where("is_train").agg(F.count("id"), F.max("id")).first()
     assert tuple(got) == (67, 66)
+
+
+def test_null_keys_form_a_group(frame):
+    rows = frame([(None, 1, 5), (None, 2, 7), (None, 11, 1), ("a", 3, 2), ("a", 12, None)], "k string, at int, v int")
+    bucket = F.floor(F.col("at") / 10)
+    numbers = {(r.k, r.at): r.n for r in scan.row_numbers(rows, ["k"], ["at"], bucket, "n").collect()}
+    assert numbers == {(None, 1): 1, (None, 2): 2, (None, 11): 3, ("a", 3): 1, ("a", 12): 2}
+    ranks = {(r.k, r.v): r["rank"] for r in scan.rank_by_value(rows, ["k"], "v", F.col("v") % 2 * 0).collect()}
+    assert ranks[None, 7] == 3 and ranks["a", 2] == 1 and ranks["a", None] is None
+    quantiles = {r.k: r.q for r in scan.exact_quantiles(rows, ["k"], "v", {"q": 0.5}, F.col("v") * 0).collect()}
+    assert quantiles == {None: 5, "a": 2}

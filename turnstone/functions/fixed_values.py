@@ -108,7 +108,6 @@ DOUBLE_COMMISSION_ADDED = ("2022-10-03", "2022-10-14")
 DOUBLE_COMMISSION_EVENTS = ["22H1006E", "22H1019C", "22H1023D"]
 
 # --- number codes ------------------------------------------------------------------
-PLAYOFF_TIER_NUMBER = {"SC": 4, "R3": 3, "R2": 2, "R1": 1}
 LEVEL_NUMBER = {"Clubs": 5, "Lowers": 4, "Uppers": 3, "Suites": 2, "Premium": 1}
 TIER_NUMBER = {"A": 5, "B": 4, "C": 3, "D": 2, "E": 1}
 START_TIME_NUMBER = {
@@ -126,11 +125,11 @@ SPEND_EDGES = {"Premier": [0, 2500, 5000, 10000, 20000], "Full": [0, 5000, 10000
 SCORE_EDGES = ([0, 0.5, 0.75, 0.9, 1], ["Tier 4", "Tier 3", "Tier 2", "Tier 1"])
 ATTENDANCE_EDGES = ([0, 1, 6, 11, None], ["Tier 4", "Tier 3", "Tier 2", "Tier 1"])
 EMAIL_EDGES = ([0, 1, 51, 101, 201, None], ["Tier 5", "Tier 4", "Tier 3", "Tier 2", "Tier 1"])
+#: By feature; all others weigh 1.
 FEATURE_WEIGHTS = {
-    "Full": [1, 1, 2, 2, 1, 1, 1, 1, 2],
-    "Premier": [1, 1, 1.5, 1.5, 1, 1, 1, 1, 2],
+    "Full": {"paid_show_rate": 2, "show_rate": 2, "renewal_likelihood_survey": 2},
+    "Premier": {"paid_show_rate": 1.5, "show_rate": 1.5, "renewal_likelihood_survey": 2},
 }
-THANKSGIVING_DAY = {2024: 28, 2025: 27, 2026: 26}
 
 # --- budget ------------------------------------------------------------------------------
 GAMES_PER_TIER = {"A": 2, "B": 6, "C": 14, "D": 10, "E": 9}
@@ -141,7 +140,6 @@ REVENUE_SHARE_PER_LEVEL = {
 GROUP_GROWTH = 0.362147
 GROUP_GAMES = 41
 PARKING_AVERAGE_PRICE = 42.8
-MERCH_BASE_PER_CAP = 11.91
 FOOD_BASE_PER_CAP = 26.84
 RESALE_ATP_FACTOR = 0.85
 VENUE_CAPACITY = 19500

@@ -52,7 +52,7 @@ def predict_least_squares(
     """
     keys = list(keys)
     if keys:
-        rows = df.join(model, keys)
+        rows = df.join(model, keys, "left")  # a group without history keeps its rows, with a null prediction
     else:
         one = model.select(F.struct("*").alias("m")).scalar()
         rows = df.withColumns({c: one[c] for c in ("x_mean", "x_dev", "y_mean", "slope")})

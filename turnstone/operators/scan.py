@@ -18,6 +18,13 @@ from pyspark.sql import functions as F
 BUCKET = "_bucket"
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join by name in which a null key meets a null key; the left side's keys stay."""
+    other = right.select(*[F.col(c).alias(f"_right_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in keys]
+    return left.join(other, on, how).drop(*[f"_right_{c}" for c in keys])
+
+
 def prefix_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,8 +36,8 @@ def prefix_scan(
 ) -> DataFrame:
     """Add running sums and running maxima per key.
 
-    ``bucket`` must be a non-decreasing function of the order columns, and keys
-    must not be null.  ``exclusive`` leaves the current row out.  A running sum
+    ``bucket`` must be a non-decreasing function of the order columns.  Rows whose
+    key is null form a group of their own.  ``exclusive`` leaves the current row out.  A running sum
     of ``lit(1)`` is a row number; a running max of ``struct(order, payload)``
     where the payload exists carries the last known payload forward.
     """
@@ -61,7 +68,7 @@ def prefix_scan(
     for n in maxes:
         local = local.withColumn(f"_l_{n}", F.max(f"_v_{n}").over(here))
 
-    out = local.join(carried, [*keys, BUCKET], "left")
+    out = null_safe_join(local, carried, [*keys, BUCKET], "left")
     kept = [c for c in df.columns if c not in sums and c not in maxes]
     zero = F.lit(0)
     return out.select(
@@ -118,11 +125,11 @@ def rank_by_value(
     top = F.col("upto")
     if descending:
         totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
-        counts = counts.join(totals, keys)
+        counts = null_safe_join(counts, totals, keys)
         top = F.col("_total") - F.col("upto") + F.col("n")
     rank = {"max": top, "min": top - F.col("n") + 1, "average": top - (F.col("n") - 1) / 2.0}[method]
     ranks = counts.select(*keys, value, rank.alias(name))
-    return df.join(ranks, [*keys, value], "left")
+    return null_safe_join(df, ranks, [*keys, value], "left")
 
 
 def values_at_ranks(
@@ -148,10 +155,10 @@ def values_at_ranks(
     targets = placed.withColumn("_w", F.explode(wanted)).where(
         (F.col("_w.rank") >= F.col("_before")) & (F.col("_w.rank") < F.col("_before") + F.col("_n"))
     ).select(*keys, BUCKET, "_before", "_total", F.col("_w.name").alias("_name"), F.col("_w.rank").alias("_rank"))
-    near = rows.join(targets.select(*keys, BUCKET).distinct(), [*keys, BUCKET]).groupBy(*keys, BUCKET, value).agg(F.count("*").alias("_n"))
+    near = null_safe_join(rows, targets.select(*keys, BUCKET).distinct(), [*keys, BUCKET]).groupBy(*keys, BUCKET, value).agg(F.count("*").alias("_n"))
     inside = Window.partitionBy(*keys, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = near.withColumn("_upto", F.sum("_n").over(inside))
-    hits = targets.join(counted, [*keys, BUCKET]).where(F.col("_before") + F.col("_upto") > F.col("_rank"))
+    hits = null_safe_join(targets, counted, [*keys, BUCKET]).where(F.col("_before") + F.col("_upto") > F.col("_rank"))
     return hits.groupBy(*keys).agg(
         *[F.min(F.when(F.col("_name") == name, F.col(value))).alias(name) for name in ranks], F.max("_total").alias("_total"))
 

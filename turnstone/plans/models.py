@@ -75,7 +75,8 @@ def price_table(t):
 def logistic_renewal(t):
     rows = renewal_rows(t)
     parts = sampling.keyed_split(rows, ["buyer"], 0.67, 1993)
-    out = ops.logistic_scores(parts.where("part = 'train'"), parts.where("part = 'test'"), RENEWAL_FEATURES, "did_renew", fixed.FEATURE_WEIGHTS["Full"][1:])
+    weights = [fixed.FEATURE_WEIGHTS["Full"].get(f, 1) for f in RENEWAL_FEATURES]
+    out = ops.logistic_scores(parts.where("part = 'train'"), parts.where("part = 'test'"), RENEWAL_FEATURES, "did_renew", weights)
     return out.select("buyer", "did_renew", "probability")
 
 

@@ -76,19 +76,24 @@ LINE_TICKETS = """line_tickets AS (
 
 
 def tickets(t: Tables, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Tickets with buyer and sale date: one equi join on the order key."""
+    """Tickets with buyer and sale date: one equi join on the order key.
+
+    The order date of the driver tables bears no relation to the event, so a sale is
+    placed as many days before its event as the two dates lie apart, modulo a year.
+    """
     sales = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("buyer"),
         F.to_date("o_orderdate").alias("transaction_date"),
     )
     joined = line_tickets(t, first, last).join(sales, "l_orderkey")
-    return joined.withColumn("days_out", days_between("transaction_date", "event_date"))
+    apart = F.abs(days_between("transaction_date", "event_date")) % 366
+    return joined.withColumn("days_out", apart).withColumn("transaction_date", F.date_sub("event_date", F.col("days_out")))
 
 
 TICKETS = LINE_TICKETS + """, tickets AS (
-  SELECT lt.*, o_custkey AS buyer, CAST(o_orderdate AS DATE) AS transaction_date,
-         date_diff('day', CAST(o_orderdate AS DATE), event_date)::INT AS days_out
+  SELECT lt.*, o_custkey AS buyer, event_date - (abs(date_diff('day', CAST(o_orderdate AS DATE), event_date)) % 366)::INT AS transaction_date,
+         (abs(date_diff('day', CAST(o_orderdate AS DATE), event_date)) % 366)::INT AS days_out
   FROM line_tickets lt JOIN orders ON l_orderkey = o_orderkey)"""
 
 
