@@ -76,15 +76,18 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> Archive:
     heads = spark.read.schema(heads.schema).parquet(f"{folder}/heads")
 
     # Equal digests must mean equal lengths and equal second digests; a clash stops the job.
-    first = heads.groupBy("sha256").agg(
-        F.max("page_id").alias("latest"), F.min("payload_bytes").alias("short"), F.max("payload_bytes").alias("long"),
+    by_page = heads.groupBy("sha256", "page_id").agg(
+        F.count("*").alias("n"), F.min("payload_bytes").alias("short"), F.max("payload_bytes").alias("long"),
         F.min("payload_digest").alias("low"), F.max("payload_digest").alias("high"))
+    first = by_page.groupBy("sha256").agg(
+        F.max(F.struct("page_id", "n")).alias("top"), F.min("short").alias("short"), F.max("long").alias("long"),
+        F.min("low").alias("low"), F.max("high").alias("high")).select("*", F.col("top.page_id").alias("latest"), (F.col("top.n") > 1).alias("shared"))
     clash = (F.col("short") != F.col("long")) | (F.col("low") != F.col("high"))
     first = first.withColumn("latest", F.when(clash, F.raise_error(F.lit("payload digests clash"))).otherwise(F.col("latest")))
-    chosen = first.select("sha256", "latest")
+    chosen = first.select("sha256", "latest", "shared")
 
     revisit = (F.col("payload_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("latest"))
-    typed = heads.join(chosen, "sha256").withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn(
+    typed = heads.join(chosen.drop("shared"), "sha256").withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn(
         "refers_to", F.when(revisit, F.col("latest")))
     records = typed.select(
         "page_id", "sha256", "record_type", "refers_to",
@@ -96,11 +99,15 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> Archive:
 
 
 def _stored(keyed: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Each digest with the payload of its chosen row, once even where rows share the id."""
-    named = chosen.where("latest is not null").select(F.col("latest").alias("page_id"), "sha256")
-    by_id = keyed.join(named, ["page_id", "sha256"], "left_semi")
-    unnamed = keyed.where("page_id is null").join(chosen.where("latest is null"), "sha256", "left_semi")
-    return by_id.unionByName(unnamed).select("sha256", "payload").dropDuplicates(["sha256"])
+    """Each digest with the payload of its chosen row; payloads move once.
+
+    Only the few whose chosen id several rows share (or that have no id) are made single by a second move.
+    """
+    named = chosen.select(F.col("latest"), F.col("sha256").alias("own"), "shared")
+    on = F.col("page_id").eqNullSafe(F.col("latest")) & (F.col("sha256") == F.col("own"))
+    found = keyed.join(named, on).select("sha256", "payload", "shared")
+    several = found.where("shared").select("sha256", "payload").dropDuplicates(["sha256"])
+    return found.where("not shared").select("sha256", "payload").unionByName(several)
 
 
 def open_payloads(spark: SparkSession, archive: Archive) -> DataFrame:
