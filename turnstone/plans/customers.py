@@ -293,12 +293,13 @@ def score_tiers(t):
 
 
 @query("c18_campaign_list", """
-  WITH sc AS (SELECT c_custkey, c_nationkey % 6 - 2 AS survey, (c_acctbal + 1000) / 11000 AS p FROM customer), bad AS (SELECT * FROM sc WHERE survey IN (-1, -2) AND p < 0.3)
+  WITH sc AS (SELECT c_custkey, c_nationkey % 6 - 2 AS survey, (c_acctbal + 1000) / 11000 AS p FROM customer), bad AS (SELECT * FROM sc WHERE survey IN (-1, -2))
   SELECT c_custkey, survey, ROUND(p, 6) AS p FROM bad UNION ALL
-  SELECT c_custkey, survey, ROUND(p, 6) FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY p, c_custkey) AS rn FROM sc WHERE NOT (survey IN (-1, -2) AND p < 0.3)) WHERE rn <= 500 - (SELECT COUNT(*) FROM bad)""")
+  SELECT c_custkey, survey, ROUND(p, 6) FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY p, c_custkey) AS rn FROM sc WHERE survey IN (0, 1, 2)) WHERE rn <= 500 - (SELECT COUNT(*) FROM bad)""")
 def campaign_list(t):
     sc = t.customer.select("c_custkey", (F.col("c_nationkey") % 6 - 2).alias("survey"), ((F.col("c_acctbal") + 1000) / 11000).alias("p"))
-    out = sampling.fill_to(sc, F.col("survey").isin(-1, -2) & (F.col("p") < 0.3), ["p", "c_custkey"], 500)
+    answered = sc.where(F.col("survey").between(-2, 2))
+    out = sampling.fill_to(answered, F.col("survey") < 0, ["p", "c_custkey"], 500)
     return out.withColumn("p", F.round("p", 6))
 
 

@@ -43,11 +43,11 @@ def independent_scaling(t):
 
 
 @query("m3_log_target", f"""
-  WITH {TICKETS}, h AS (SELECT arena_level, season, days_out, SUM(paid_seats) AS y, COUNT(*) * 30 AS capacity FROM tickets WHERE days_out BETWEEN 0 AND 400 GROUP BY 1, 2, 3),
+  WITH {TICKETS}, h AS (SELECT arena_level, season, days_out, SUM(paid_seats) AS y, COUNT(*) * 30 AS capacity FROM tickets GROUP BY 1, 2, 3),
   m AS (SELECT arena_level, regr_slope(CASE WHEN y > 0 THEN ln(y) ELSE 0 END, days_out) AS b, regr_intercept(CASE WHEN y > 0 THEN ln(y) ELSE 0 END, days_out) AS a FROM h WHERE season < '1999-00' GROUP BY 1)
   SELECT arena_level, season, days_out::INT AS days_out, ROUND(LEAST(GREATEST(exp(a + b * days_out), 0), capacity), 6) AS predicted FROM h JOIN m USING (arena_level) WHERE season >= '1999-00'""")
 def log_target(t):
-    per = tickets(t).where(F.col("days_out").between(0, 400)).groupBy("arena_level", "season", "days_out").agg(
+    per = tickets(t).groupBy("arena_level", "season", "days_out").agg(
         F.sum("paid_seats").alias("y"), (F.count("*") * 30).cast("double").alias("capacity"))
     out = forecast_by_group(
         per.where("season < '1999-00'"), per.where("season >= '1999-00'"), ["arena_level"], ["days_out"], "y", log_target=True, capacity="capacity")
@@ -55,13 +55,13 @@ def log_target(t):
 
 
 @query("m20_curve_scale_up", f"""
-  WITH {TICKETS}, d AS (SELECT date_trunc('month', event_date)::DATE AS ev, arena_level, days_out, SUM(paid_seats) AS v FROM tickets WHERE days_out >= 0 GROUP BY 1, 2, 3),
+  WITH {TICKETS}, d AS (SELECT date_trunc('month', event_date)::DATE AS ev, arena_level, days_out, SUM(paid_seats) AS v FROM tickets GROUP BY 1, 2, 3),
   c AS (SELECT *, SUM(v) OVER (PARTITION BY ev, arena_level ORDER BY days_out DESC ROWS UNBOUNDED PRECEDING) AS cum, SUM(v) OVER (PARTITION BY ev, arena_level) AS fin FROM d),
   u AS (SELECT arena_level, days_out, AVG(cum / NULLIF(fin, 0)) AS share FROM c WHERE ev < DATE '2000-07-01' GROUP BY 1, 2)
   SELECT ev, arena_level, MIN(days_out)::INT AS days_out, arg_min(cum, days_out)::BIGINT AS cumulative, ROUND(arg_min_null(cum / NULLIF(share, 0), days_out), 4) AS projected
   FROM c LEFT JOIN u USING (arena_level, days_out) WHERE ev >= DATE '2000-07-01' GROUP BY 1, 2""")
 def curve_scale_up(t):
-    tk = tickets(t).where("days_out >= 0").withColumn("ev", F.to_date(F.date_trunc("month", "event_date")))
+    tk = tickets(t).withColumn("ev", F.to_date(F.date_trunc("month", "event_date")))
     out = ops.scale_up_by_curve(tk, "ev", "arena_level", "days_out", "paid_seats", F.col("ev") >= F.lit("2000-07-01").cast("date"))
     return out.withColumn("projected", F.round("projected", 4))
 

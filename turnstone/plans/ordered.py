@@ -11,7 +11,7 @@ from turnstone.operators import windows as win
 from turnstone.registry import query
 from turnstone.sources.views import GAMES, LINE_TICKETS, SCANS, TICKETS, games, line_tickets, scans, tickets
 
-DAYS_OUT = list(range(0, 61))
+DAYS_OUT = list(range(0, 366))
 
 
 @query("booking_curve", """
@@ -63,12 +63,11 @@ def value_on_first_row(t):
 
 
 @query("w3_running_sum", f"""
-  WITH {TICKETS}, d AS (SELECT season, arena_level, days_out, SUM(paid_seats) AS paid FROM tickets WHERE days_out BETWEEN 0 AND 60 GROUP BY 1, 2, 3)
+  WITH {TICKETS}, d AS (SELECT season, arena_level, days_out, SUM(paid_seats) AS paid FROM tickets GROUP BY 1, 2, 3)
   SELECT season, arena_level, days_out, paid::BIGINT AS paid,
          SUM(paid) OVER (PARTITION BY season, arena_level ORDER BY days_out ROWS UNBOUNDED PRECEDING)::BIGINT AS cumulative FROM d""")
 def running_sum(t):
-    d = tickets(t).where(F.col("days_out").between(0, 60)).groupBy("season", "arena_level", "days_out").agg(
-        F.sum("paid_seats").alias("paid"))
+    d = tickets(t).groupBy("season", "arena_level", "days_out").agg(F.sum("paid_seats").alias("paid"))
     return grid.running_total(d, ["season", "arena_level"], ["days_out"], "paid", "cumulative")
 
 
@@ -83,17 +82,14 @@ def cumsum_raw_rows(t):
 
 
 @query("w5_forward_fill", f"""
-  WITH {TICKETS}, d AS (SELECT arena_level, days_out, SUM(gross_revenue) AS sold FROM tickets WHERE days_out BETWEEN 0 AND 60 AND ticket_type = 'Full' AND is_comp = FALSE
-      AND season = '1998-99' GROUP BY 1, 2),
-  g AS (SELECT arena_level, x AS days_out FROM (SELECT DISTINCT arena_level FROM tickets), (SELECT unnest(generate_series(0, 60)) AS x))
-  SELECT g.arena_level, g.days_out::INT AS days_out, ROUND(LAST_VALUE(sold IGNORE NULLS) OVER (PARTITION BY g.arena_level ORDER BY g.days_out
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS sold FROM g LEFT JOIN d USING (arena_level, days_out)""")
+  WITH {TICKETS}, d AS (SELECT season, arena_level, days_out, SUM(gross_revenue) AS sold FROM tickets GROUP BY 1, 2, 3),
+  g AS (SELECT season, arena_level, x AS days_out FROM (SELECT DISTINCT season, arena_level FROM tickets), (SELECT unnest(generate_series(0, 365)) AS x))
+  SELECT g.season, g.arena_level, g.days_out::INT AS days_out, ROUND(LAST_VALUE(sold IGNORE NULLS) OVER (PARTITION BY g.season, g.arena_level ORDER BY g.days_out
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS sold FROM g LEFT JOIN d USING (season, arena_level, days_out)""")
 def forward_fill(t):
-    lt = tickets(t)
-    d = lt.where(F.col("days_out").between(0, 60) & (F.col("ticket_type") == "Full") & ~F.col("is_comp") & (F.col("season") == "1998-99")).groupBy(
-        "arena_level", "days_out").agg(F.sum("gross_revenue").alias("sold"))
-    g = grid.dense_grid(line_tickets(t).select("arena_level").distinct(), {"days_out": DAYS_OUT})
-    filled = grid.fill_forward(g.join(d, ["arena_level", "days_out"], "left"), ["arena_level"], ["days_out"], "sold")
+    d = tickets(t).groupBy("season", "arena_level", "days_out").agg(F.sum("gross_revenue").alias("sold"))
+    g = grid.dense_grid(line_tickets(t).select("season", "arena_level").distinct(), {"days_out": DAYS_OUT})
+    filled = grid.fill_forward(g.join(d, ["season", "arena_level", "days_out"], "left"), ["season", "arena_level"], ["days_out"], "sold")
     return filled.withColumn("sold", F.round("sold", 2))
 
 
@@ -187,14 +183,14 @@ def change_by_season(t):
 
 
 CURVE_SQL = f"""
-  WITH {TICKETS}, d AS (SELECT season, ticket_type, days_out, SUM(paid_seats)::BIGINT AS paid FROM tickets WHERE days_out >= 0 GROUP BY 1, 2, 3),
+  WITH {TICKETS}, d AS (SELECT season, ticket_type, days_out, SUM(paid_seats)::BIGINT AS paid FROM tickets GROUP BY 1, 2, 3),
   c AS (SELECT *, SUM(paid) OVER (PARTITION BY season, ticket_type ORDER BY days_out DESC ROWS UNBOUNDED PRECEDING)::BIGINT AS cumulative FROM d),
   f AS (SELECT *, arg_min(cumulative, days_out) OVER (PARTITION BY season, ticket_type) AS final FROM c)"""
 
 
 @query("w14_final_in_group", CURVE_SQL + """ SELECT season, ticket_type, days_out::INT AS days_out, cumulative, final FROM f""")
 def final_in_group(t):
-    d = tickets(t).where("days_out >= 0").groupBy("season", "ticket_type", "days_out").agg(F.sum("paid_seats").alias("paid"))
+    d = tickets(t).groupBy("season", "ticket_type", "days_out").agg(F.sum("paid_seats").alias("paid"))
     return win.percent_of_final(d, ["season", "ticket_type"], "days_out", "paid").select(
         "season", "ticket_type", "days_out", "cumulative", "final")
 
@@ -202,7 +198,7 @@ def final_in_group(t):
 @query("w15_percent_of_final", CURVE_SQL + """
   SELECT season, ticket_type, days_out::INT AS days_out, ROUND(cumulative / NULLIF(final, 0), 6) AS share_in, (final - cumulative + paid)::BIGINT AS "left" FROM f""")
 def percent_of_final(t):
-    d = tickets(t).where("days_out >= 0").groupBy("season", "ticket_type", "days_out").agg(F.sum("paid_seats").alias("paid"))
+    d = tickets(t).groupBy("season", "ticket_type", "days_out").agg(F.sum("paid_seats").alias("paid"))
     return win.percent_of_final(d, ["season", "ticket_type"], "days_out", "paid").select(
         "season", "ticket_type", "days_out", F.round("share_in", 6).alias("share_in"), "left")
 

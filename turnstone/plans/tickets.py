@@ -232,12 +232,12 @@ def gameday_check(t):
   WITH {LINE_TICKETS}, f AS (SELECT season, seat_id, SUM(gross_revenue) AS gross_revenue, SUM(paid_seats) AS times_paid, SUM(comp_seats) AS times_comp, SUM(did_attend::INT) AS attended,
     COUNT(CASE WHEN ticket_type = 'Full' THEN 1 END) AS times_full, COUNT(CASE WHEN ticket_type = 'Premier' THEN 1 END) AS times_premier,
     COUNT(CASE WHEN ticket_type IN ('Sponsor','Trade') THEN 1 END) AS times_other, COUNT(CASE WHEN ticket_type IN ('Flex','Groups','Nightly Suites','Secondary','Singles') THEN 1 END) AS times_nightly
-    FROM line_tickets WHERE season IN ('1997-98', '1998-99') GROUP BY 1, 2)
+    FROM line_tickets GROUP BY 1, 2)
   SELECT p_partkey AS seat_id, p_size AS seat_x, season, ROUND(gross_revenue, 2) AS gross_revenue, times_paid::DOUBLE AS times_paid, times_comp::DOUBLE AS times_comp, attended::DOUBLE AS attended,
     times_full::DOUBLE AS times_full, times_premier::DOUBLE AS times_premier, times_other::DOUBLE AS times_other, times_nightly::DOUBLE AS times_nightly FROM part LEFT JOIN f ON p_partkey = seat_id""")
 def seat_lifetime(t):
     manifest = t.part.select(F.col("p_partkey").alias("seat_id"), F.col("p_size").alias("seat_x"))
-    sales = [line_tickets(t, season, season) for season in ("1997-98", "1998-99")]
+    sales = [line_tickets(t, None, "1997-98"), line_tickets(t, "1998-99")]
     out = ops.seat_lifetime(manifest, sales, "seat_id")
     counts = ["times_paid", "times_comp", "attended", "times_full", "times_premier", "times_other", "times_nightly"]
     return out.withColumns({"gross_revenue": F.round("gross_revenue", 2), **{c: F.col(c).cast("double") for c in counts}})
@@ -439,10 +439,9 @@ def singles_share(t):
 
 @query("d30_attendance_history", f"""
   WITH {LINE_TICKETS} SELECT season, event_date, arena_level, SUM(paid_seats)::BIGINT AS paid_seats, SUM(comp_seats)::BIGINT AS comp_seats, SUM(CASE WHEN NOT is_comp THEN did_attend::INT ELSE 0 END)::BIGINT AS paid_attended,
-   SUM(CASE WHEN is_comp THEN did_attend::INT ELSE 0 END)::BIGINT AS comp_attended FROM line_tickets WHERE season <> '1996-97' GROUP BY 1, 2, 3""")
+   SUM(CASE WHEN is_comp THEN did_attend::INT ELSE 0 END)::BIGINT AS comp_attended FROM line_tickets GROUP BY 1, 2, 3""")
 def attendance_history(t):
-    lt = line_tickets(t)
-    return ops.attendance_history([lt.where("season < '1996-97'"), lt.where("season > '1996-97'")], ["season", "event_date", "arena_level"])
+    return ops.attendance_history([line_tickets(t, None, "1996-97"), line_tickets(t, "1997-98")], ["season", "event_date", "arena_level"])
 
 
 @query("d31_market_counties", """
