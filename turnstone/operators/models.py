@@ -6,7 +6,8 @@ the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
 
@@ -39,6 +40,12 @@ def held(df: DataFrame):
         df.unpersist()
 
 
+def concurrently(fit: Callable, items: Sequence) -> list:
+    """Independent fits over a short stated list, their jobs submitted side by side."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return list(pool.map(fit, items))
+
+
 def vectors(df: DataFrame, features: Sequence[str], name: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=name, handleInvalid="skip").transform(df)
 
@@ -66,21 +73,22 @@ def polynomial_regression(train: DataFrame, rows: DataFrame, features: Sequence[
 
 def boosted_regression_by_group(
     train: DataFrame, rows: DataFrame, group: str, groups: Sequence[str], features: Sequence[str], target: str,
-    capacity: str | None = None, trees: int = 20,
+    capacity: str | None = None, trees: int = 100,
 ) -> DataFrame:
     """Boosted trees on the log target, one model per listed group; predictions back on the target's scale."""
-    parts = []
-    for g in groups:
+
+    def fit(g: str) -> DataFrame:
         data = vectors(train.where(F.col(group) == g).withColumn("_y", F.log1p(F.col(target).cast("double"))), features, "_x")
         with held(data.select("_x", "_y")) as fitted:
             model = GBTRegressor(featuresCol="_x", labelCol="_y", maxIter=trees, maxDepth=4, seed=SEED, predictionCol="_p").fit(fitted)
         out = model.transform(vectors(rows.where(F.col(group) == g), features, "_x"))
         value = F.expm1("_p")
-        parts.append(out.withColumn("predicted", clamp(value, capacity) if capacity else F.greatest(value, F.lit(0.0))).drop("_x", "_p"))
-    return reduce(DataFrame.unionByName, parts)
+        return out.withColumn("predicted", clamp(value, capacity) if capacity else F.greatest(value, F.lit(0.0))).drop("_x", "_p")
+
+    return reduce(DataFrame.unionByName, concurrently(fit, groups))
 
 
-def boosted_log_regression(train: DataFrame, rows: DataFrame, features: Sequence[str], target: str, trees: int = 20) -> DataFrame:
+def boosted_log_regression(train: DataFrame, rows: DataFrame, features: Sequence[str], target: str, trees: int = 100) -> DataFrame:
     data = vectors(train.withColumn("_y", log_or_zero(target)), features, "_x").select("_x", "_y")
     with held(data) as fitted:
         model = GBTRegressor(featuresCol="_x", labelCol="_y", maxIter=trees, maxDepth=4, seed=SEED, predictionCol="_p").fit(fitted)
@@ -88,7 +96,7 @@ def boosted_log_regression(train: DataFrame, rows: DataFrame, features: Sequence
 
 
 def price_table(
-    prices: DataFrame, event: str, code: str, days_out: str, features: Sequence[str], target: str, codes: Sequence[str], trees: int = 20
+    prices: DataFrame, event: str, code: str, days_out: str, features: Sequence[str], target: str, codes: Sequence[str], trees: int = 100
 ) -> DataFrame:
     """Predicted price of each event's latest row per code, one column per code."""
     steps = Pipeline(stages=[
@@ -155,14 +163,14 @@ def boosted_scores(train: DataFrame, rows: DataFrame, features: Sequence[str], l
     return out.select(*rows.columns, vector_to_array("probability")[1].alias("probability"))
 
 
-def feature_importances(train: DataFrame, features: Sequence[str], label: str, trees: int = 20) -> DataFrame:
+def feature_importances(train: DataFrame, features: Sequence[str], label: str, trees: int = 100) -> DataFrame:
     with held(vectors(train, features, "_x").select("_x", F.col(label).cast("double").alias("_y"))) as fitted:
         model = GBTClassifier(featuresCol="_x", labelCol="_y", maxIter=trees, maxDepth=4, seed=SEED).fit(fitted)
     values = model.featureImportances.toArray()
     return train.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, values)], "feature string, importance double")
 
 
-def forest_classes(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str], trees: int = 20) -> DataFrame:
+def forest_classes(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str], trees: int = 100) -> DataFrame:
     """Random-forest class with one probability column per class."""
     return _classes(RandomForestClassifier(numTrees=trees, maxDepth=6, seed=SEED), train, rows, features, label, classes)
 
@@ -201,7 +209,7 @@ def clusters(df: DataFrame, features: Sequence[str], k: int, name: str = "cluste
 
 def ranked_clusters(df: DataFrame, groups: Sequence[str], group: str, features: Sequence[str], worth: str, k: int) -> DataFrame:
     """KMeans per group, clusters renamed by the rank of their mean worth so labels agree across groups."""
-    parts = reduce(DataFrame.unionByName, [clusters(df.where(F.col(group) == g), features, k, "_c") for g in groups])
+    parts = reduce(DataFrame.unionByName, concurrently(lambda g: clusters(df.where(F.col(group) == g), features, k, "_c"), groups))
     means = parts.groupBy(group, "_c").agg(F.avg(worth).alias("_worth"))
     # k rows per group: the rank is a count over k values
     better = means.select(group, F.col("_worth").alias("_other"))
@@ -254,7 +262,7 @@ def roc_auc(df: DataFrame, label: str, score: str, bucket) -> DataFrame:
     return joined.agg(((F.sum(F.col("pos") * F.col("rank")) - p * (p + 1) / 2) / (p * (n - p))).alias("auc"))
 
 
-def grid_search(train: DataFrame, features: Sequence[str], label: str, strengths: Sequence[float], mixes: Sequence[float], folds: int = 3) -> DataFrame:
+def grid_search(train: DataFrame, features: Sequence[str], label: str, strengths: Sequence[float], mixes: Sequence[float], folds: int = 5) -> DataFrame:
     """Cross-validated accuracy of each logistic setting."""
     data = vectors(standardise(train, train, features), features, "_x").select("_x", F.col(label).cast("double").alias("_y"))
     learner = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=25)
@@ -267,7 +275,7 @@ def grid_search(train: DataFrame, features: Sequence[str], label: str, strengths
     return train.sparkSession.createDataFrame(rows, "strength double, mix double, accuracy double").withColumn("is_best", F.col("accuracy") == best)
 
 
-def eliminate_features(train: DataFrame, features: Sequence[str], label: str, folds: int = 3) -> DataFrame:
+def eliminate_features(train: DataFrame, features: Sequence[str], label: str, folds: int = 5) -> DataFrame:
     """Drop the weakest coefficient step by step; accuracy per number of features by cross-validation."""
     scaled = standardise(train, train, features).select(*features, F.col(label).cast("double").alias("_y"))
     split = scaled.withColumn("_fold", F.pmod(F.xxhash64(F.lit(SEED), *features), F.lit(folds)))

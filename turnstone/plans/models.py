@@ -11,7 +11,8 @@ from turnstone.operators import models as ops
 from turnstone.plans.customers import renewal_table
 from turnstone.plans.forecasts import daily_facts, win_features
 from turnstone.registry import query
-from turnstone.sources.views import tickets
+from turnstone.session import cut_lineage
+from turnstone.sources.views import games, tickets
 
 LEVELS = ["Lowers", "Clubs", "Uppers", "Suites", "Premium"]
 RENEWAL_FEATURES = [
@@ -20,18 +21,19 @@ RENEWAL_FEATURES = [
 
 
 def game_rows(t):
+    """One row a game, computed once: every fit passes over it many times."""
     per = daily_facts(t).groupBy("event_date", "season", "tier", "is_weekend", "is_premier").agg(
         F.sum("paid_seats").alias("paid"), F.sum("comp_seats").alias("comp"), F.sum("gross_revenue").alias("revenue"),
         F.sum(F.when(F.col("did_attend"), F.col("paid_seats") + F.col("comp_seats")).otherwise(0)).alias("attendance"))
     return per.withColumns({
         "tier_num": s.lookup("tier", fixed.TIER_NUMBER, 0), "weekend": F.col("is_weekend").cast("int"),
         "week_day": s.lookup(s.dow0("event_date"), {6: 1, 5: 2, 0: 2}, 3), "atp": F.coalesce(s.ratio("revenue", "paid"), F.lit(0.0)),
-    }).drop("is_weekend")
+    }).drop("is_weekend").transform(cut_lineage)
 
 
 def renewal_rows(t):
     table = renewal_table(t).withColumn("level_num", s.lookup("arena_level", fixed.LEVEL_ORDER, 5))
-    return table.na.fill(0.0, ["paid_show_rate", "show_rate"])
+    return cut_lineage(table.na.fill(0.0, ["paid_show_rate", "show_rate"]))
 
 
 @query("m4_polynomial")
@@ -43,32 +45,32 @@ def polynomial(t):
 
 
 def level_days(t):
-    lt = tickets(t).where(F.col("days_out").between(0, 120)).groupBy("arena_level", "season", "days_out").agg(F.sum("paid_seats").alias("seats"))
-    return lt.withColumn("capacity", F.lit(5000.0)).withColumn("start", F.left("season", F.lit(4)).cast("int"))
+    lt = tickets(t).groupBy("arena_level", "season", "days_out").agg(F.sum("paid_seats").alias("seats"))
+    return cut_lineage(lt.withColumn("capacity", F.lit(5000.0)).withColumn("start", F.left("season", F.lit(4)).cast("int")))
 
 
 @query("m5_boosted_by_level")
 def boosted_by_level(t):
     rows = level_days(t)
     out = ops.boosted_regression_by_group(
-        rows.where("start < 1999"), rows.where("start >= 1999"), "arena_level", LEVELS, ["days_out"], "seats", "capacity", trees=8)
+        rows.where("start < 1999"), rows.where("start >= 1999"), "arena_level", LEVELS, ["days_out"], "seats", "capacity")
     return out.select("arena_level", "season", "days_out", "seats", "predicted")
 
 
 @query("m6_boosted_log_seats")
 def boosted_log_seats(t):
     g = game_rows(t)
-    out = ops.boosted_log_regression(g.where("season < '2000-01'"), g.where("season >= '2000-01'"), ["weekend", "tier_num", "week_day", "is_premier"], "paid", trees=10)
+    out = ops.boosted_log_regression(g.where("season < '2000-01'"), g.where("season >= '2000-01'"), ["weekend", "tier_num", "week_day", "is_premier"], "paid")
     return out.select("event_date", "paid", "predicted")
 
 
 @query("m7_price_table")
 def price_table(t):
-    p = tickets(t).where("days_out >= 0 AND NOT is_comp").groupBy("event_date", "arena_level", "days_out").agg(
+    p = tickets(t).where("NOT is_comp").groupBy("event_date", "arena_level", "days_out").agg(
         (F.sum("gross_revenue") / F.sum("paid_seats")).alias("current_price")).withColumns({
             "level_num": s.lookup("arena_level", fixed.LEVEL_NUMBER, 0), "weekday": s.dow0("event_date"), "month": F.month("event_date")})
-    rows = p.select("event_date", "arena_level", "days_out", "current_price", "level_num", "weekday", "month")
-    return ops.price_table(rows, "event_date", "arena_level", "days_out", ["level_num", "days_out", "weekday", "month"], "current_price", LEVELS, trees=8)
+    rows = cut_lineage(p.select("event_date", "arena_level", "days_out", "current_price", "level_num", "weekday", "month"))
+    return ops.price_table(rows, "event_date", "arena_level", "days_out", ["level_num", "days_out", "weekday", "month"], "current_price", LEVELS)
 
 
 @query("m8_logistic_renewal")
@@ -83,20 +85,23 @@ def logistic_renewal(t):
 @query("m9_boosted_lead_scores")
 def boosted_lead_scores(t):
     rows = renewal_rows(t)
-    out = ops.boosted_scores(rows, rows, RENEWAL_FEATURES, "did_renew", trees=10)
+    out = ops.boosted_scores(rows, rows, RENEWAL_FEATURES, "did_renew")
     edges, labels = fixed.SCORE_EDGES
     return out.select("buyer", "probability", s.cut("probability", edges, labels).alias("prediction_group"))
 
 
 @query("m10_forest_win_model")
 def forest_win_model(t):
-    rows = win_features(t).where(F.col("last_3").isNotNull()).withColumn("decision", F.when(F.col("pts") > F.col("last_3"), "win").otherwise("loss"))
+    known = win_features(t).where(F.col("last_3").isNotNull())
+    rows = cut_lineage(known.withColumn("decision", F.when(F.col("pts") > F.col("last_3"), "win").otherwise("loss")))
     cut = F.lit("2000-07-01").cast("date")
     features = ["back_to_back", "density", "distance", "last_3"]
-    parts = []
-    for away in (0, 1):
+
+    def fit(away: int):
         side = rows.where(F.col("away") == away)
-        parts.append(ops.forest_classes(side.where(F.col("day") < cut), side.where(F.col("day") >= cut), features, "decision", ["loss", "win"], trees=8))
+        return ops.forest_classes(side.where(F.col("day") < cut), side.where(F.col("day") >= cut), features, "decision", ["loss", "win"])
+
+    parts = ops.concurrently(fit, (0, 1))
     out = parts[0].unionByName(parts[1]).withColumn("diff", F.abs(F.col("p_win") - F.col("p_loss")))
     near = sampling.relabel_closest(out, F.col("predicted") == "loss", ["diff", "team", "day"], 9, ["team", "day"])
     return near.select("team", "day", "p_win", "p_loss", F.when(F.col("chosen"), "tie").otherwise(F.col("predicted")).alias("predicted"))
@@ -129,9 +134,10 @@ def multinomial_tiers(t):
 
 @query("m13_game_clusters")
 def game_clusters(t):
-    g = game_rows(t).where(F.col("season").isin("1997-98", "1998-99"))
+    g = game_rows(t)
+    seasons = [r.season for r in games(t).select("season").distinct().orderBy("season").collect()]  # one a year
     features = ["week_day", "is_premier", "paid", "atp", "attendance"]
-    seasonal = ops.ranked_clusters(g.select("event_date", "season", "revenue", *features), ["1997-98", "1998-99"], "season", features, "revenue", 4)
+    seasonal = ops.ranked_clusters(g.select("event_date", "season", "revenue", *features), seasons, "season", features, "revenue", 4)
     whole = ops.clusters(seasonal.withColumnRenamed("cluster", "cluster_season"), features, 4)
     return whole.select("event_date", "season", "cluster_season", "cluster")
 
@@ -180,12 +186,12 @@ def roc_auc(t):
 
 @query("m16_grid_search")
 def grid_search(t):
-    return ops.grid_search(renewal_rows(t), RENEWAL_FEATURES, "did_renew", [0.001, 0.1], [0.0, 1.0], folds=2)
+    return ops.grid_search(renewal_rows(t), RENEWAL_FEATURES, "did_renew", [0.001, 0.01, 0.1, 1.0], [0.0, 0.5, 1.0])
 
 
 @query("m17_feature_elimination")
 def feature_elimination(t):
-    return ops.eliminate_features(renewal_rows(t), RENEWAL_FEATURES[2:7], "did_renew", folds=2)
+    return ops.eliminate_features(renewal_rows(t), RENEWAL_FEATURES, "did_renew")
 
 
 @query("m18_odds_ratios")
@@ -195,7 +201,7 @@ def odds_ratios(t):
 
 @query("m18_importances")
 def importances(t):
-    return ops.feature_importances(renewal_rows(t), RENEWAL_FEATURES, "did_renew", trees=5)
+    return ops.feature_importances(renewal_rows(t), RENEWAL_FEATURES, "did_renew")
 
 
 @query("m19_oversample")
