@@ -130,3 +130,17 @@ def test_null_keys_form_a_group(frame):
     assert ranks[None, 7] == 3 and ranks["a", 2] == 1 and ranks["a", None] is None
     quantiles = {r.k: r.q for r in scan.exact_quantiles(rows, ["k"], "v", {"q": 0.5}, F.col("v") * 0).collect()}
     assert quantiles == {None: 5, "a": 2}
+
+
+def test_buckets_follow_the_data_and_cut_a_hot_key(spark, rows):
+    df = spark.createDataFrame(rows)
+    bucket = scan.even_buckets(df, scan.seconds("t"), rows=200)
+    sizes = [r["count"] for r in df.groupBy(bucket).count().collect()]
+    assert max(sizes) <= 200 and len(sizes) <= 3 * len(rows) / 200
+    got = scan.row_numbers(df, ["key"], ["t", "id"], bucket, "n").toPandas().sort_values("id")
+    want = rows.sort_values(["key", "t", "id"])
+    want["n"] = want.groupby("key").cumcount() + 1
+    np.testing.assert_array_equal(got["n"], want.sort_values("id")["n"])
+    for value in (F.lit(None).cast("double"), F.lit(3)):
+        assert df.groupBy(scan.even_buckets(df, value, rows=200)).count().count() == 1
+    assert scan.even_buckets(df.limit(0), F.col("v")) is not None

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.operators.sampling import keyed_random
-from turnstone.operators.scan import row_numbers
+from turnstone.operators.scan import even_buckets, row_numbers
 from turnstone.session import cut_lineage
 
 
@@ -139,7 +139,7 @@ def oversample_minority(
     others = near.where((F.col("distance") > 0) | (F.col("n") > 1))
     ranked = others.withColumn("_r", F.row_number().over(Window.partitionBy(*qs).orderBy("distance", *dims))).where(F.col("_r") <= k)
     lists = ranked.groupBy(*qs).agg(F.sort_array(F.collect_list(F.struct("_r", *dims))).alias("_near"))
-    numbered = row_numbers(small.select(key, *dims), [], [key], F.floor(F.col(key) / 10000), "_i")
+    numbered = row_numbers(small.select(key, *dims), [], [key], even_buckets(small, F.col(key)), "_i")
     copies = F.lit(need // m) + (F.col("_i") <= need % m).cast("int")
     drawn = numbered.withColumn("_copies", copies).where("_copies > 0").withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     paired = drawn.join(lists.withColumnsRenamed({f"q_{d}": d for d in dims}), list(dims))

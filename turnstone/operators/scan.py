@@ -16,6 +16,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+#: Cells of the histogram that buckets are made of; the driver sees no more counts than that.
+CELLS = 1 << 14
+ROWS_PER_BUCKET = 1_000_000
+
+
+def even_buckets(df: DataFrame, value: Column, rows: int = ROWS_PER_BUCKET) -> Column:
+    """A non-decreasing bucket of a number, made so that a bucket holds at most ``rows`` rows of ``df``.
+
+    One pass finds the range, another counts the rows of equally wide cells, and
+    neighbouring cells are joined as long as they fit.  So buckets follow the data as it
+    grows, and a key with a third of all rows is cut like the others.  A cell that alone
+    exceeds the bound stays whole.  Null values are a bucket before all others.
+    """
+    value = value.cast("double")
+    seen = df.agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).first()
+    if seen["n"] <= rows or seen["low"] is None or seen["low"] == seen["high"]:
+        return F.when(value.isNotNull(), 0)
+    cells = int(min(CELLS, 64 * -(-seen["n"] // rows)))
+    cell = F.least(F.floor((value - seen["low"]) / (seen["high"] - seen["low"]) * cells), F.lit(cells - 1)).cast("int")
+    counts = {c["cell"]: c["n"] for c in df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).where("cell is not null").collect()}
+    number, held, numbers = 0, 0, []
+    for at in range(cells):
+        if held and held + counts.get(at, 0) > rows:
+            number, held = number + 1, 0
+        held += counts.get(at, 0)
+        numbers.append(number)
+    return F.element_at(F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>"), cell + 1)
+
+
+def seconds(time: Column | str) -> Column:
+    """Seconds of a time without a zone since 1970, rounded down: non-decreasing also where a zone has gaps."""
+    return F.unix_date(F.to_date(time)) * F.lit(86400).cast("long") + F.hour(time) * 3600 + F.minute(time) * 60 + F.floor(F.second(time))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

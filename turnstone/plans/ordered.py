@@ -77,7 +77,7 @@ def running_sum(t):
 def cumsum_raw_rows(t):
     out = scan.prefix_scan(
         t.events.select("user_id", "event_id", "ts", "value"), ["user_id"], ["ts", "event_id"],
-        F.date_trunc("day", "ts"), sums={"spent_so_far": F.col("value")})
+        scan.even_buckets(t.events, scan.seconds("ts")), sums={"spent_so_far": F.col("value")})
     return out.select("user_id", "event_id", F.round("spent_so_far", 2).alias("spent_so_far"))
 
 
@@ -106,7 +106,7 @@ def ratio_to_report(t):
 def shift_raw_rows(t):
     out = scan.previous_value(
         t.events.select("user_id", "event_id", "ts", "value"), ["user_id"], ["ts", "event_id"],
-        F.date_trunc("day", "ts"), "value", "previous_value")
+        scan.even_buckets(t.events, scan.seconds("ts")), "value", "previous_value")
     return out.select("user_id", "event_id", F.round("previous_value", 2).alias("previous_value"))
 
 
@@ -133,7 +133,8 @@ def streak(t):
 @query("w9_cumcount", """
   SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit_no FROM events""")
 def cumcount(t):
-    out = scan.row_numbers(t.events.select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), "visit_no")
+    bucket = scan.even_buckets(t.events, scan.seconds("ts"))
+    out = scan.row_numbers(t.events.select("user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], bucket, "visit_no")
     return out.select("user_id", "event_id", "visit_no")
 
 
@@ -161,7 +162,7 @@ def trailing_mean(t):
   SELECT o_orderkey, (COUNT(*) OVER (PARTITION BY o_orderpriority ORDER BY floor(o_totalprice / 1000)))::BIGINT AS rank_max FROM orders""")
 def rank_max(t):
     rows = t.orders.select("o_orderkey", "o_orderpriority", F.floor(F.col("o_totalprice") / 1000).alias("v"))
-    return scan.rank_by_value(rows, ["o_orderpriority"], "v", F.floor(F.col("v") / 10), "max", name="rank_max").select("o_orderkey", "rank_max")
+    return scan.rank_by_value(rows, ["o_orderpriority"], "v", scan.even_buckets(rows, F.col("v")), "max", name="rank_max").select("o_orderkey", "rank_max")
 
 
 @query("w12_rank_average", """
@@ -169,7 +170,7 @@ def rank_max(t):
   SELECT o_orderkey, RANK() OVER (PARTITION BY g ORDER BY v DESC) + (COUNT(*) OVER (PARTITION BY g, v) - 1) / 2.0::DOUBLE AS rank_avg FROM b""")
 def rank_average(t):
     rows = t.orders.select("o_orderkey", "o_orderpriority", F.floor(F.col("o_totalprice") / 1000).alias("v"))
-    return scan.rank_by_value(rows, ["o_orderpriority"], "v", F.floor(F.col("v") / 10), "average", True, "rank_avg").select("o_orderkey", "rank_avg")
+    return scan.rank_by_value(rows, ["o_orderpriority"], "v", scan.even_buckets(rows, F.col("v")), "average", True, "rank_avg").select("o_orderkey", "rank_avg")
 
 
 @query("w13_change_by_season", f"""
@@ -244,7 +245,7 @@ def back_to_back(t):
 def rank_quota(t):
     seats = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("ev"), "o_orderstatus", "o_totalprice")
     quota = seats.where("o_orderstatus = 'F'").groupBy("ev").agg(F.floor(F.count("*") / 10).alias("quota"))
-    ranked = scan.rank_by_value(seats, ["ev"], "o_totalprice", F.floor(F.col("o_totalprice") / 10000), "average", True)
+    ranked = scan.rank_by_value(seats, ["ev"], "o_totalprice", scan.even_buckets(seats, F.col("o_totalprice")), "average", True)
     return ranked.join(quota, "ev").select("o_orderkey", s.first_match(
         [(F.col("rank") <= F.col("quota"), "Plans"), (F.col("o_orderstatus") == "O", "Nightly")], "Not Sold").alias("label"))
 
@@ -297,4 +298,5 @@ def random_split(t):
 @query("o6_ordered_split", """
   SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) <= floor(0.67::DOUBLE * COUNT(*) OVER () + 1e-9) AS is_train FROM orders""")
 def ordered_split(t):
-    return sampling.ordered_split(t.orders.select("o_orderkey"), "o_orderkey", 0.67, F.floor(F.col("o_orderkey") / 1000))
+    rows = t.orders.select("o_orderkey")
+    return sampling.ordered_split(rows, "o_orderkey", 0.67, scan.even_buckets(rows, F.col("o_orderkey")))
