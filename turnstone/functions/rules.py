@@ -1,6 +1,6 @@
-"""Rule tables: facts computed once per row, rules that name the facts they need.
+"""Rule tables: facts computed once per row as bits of one number, rules that name the facts they need.
 
-The rules of a table pick one number per row and the labels are looked up by it.
+A rule is one test of that number under a mask.  The rules of a table pick one number per row and the labels are looked up by it.
 Written as a CASE over text columns the same rules repeat every comparison; large
 tables then compile into a method the JVM refuses to optimise.
 """
@@ -30,12 +30,14 @@ def apply_rules(
     "not x" asks that a fact is missing.  The last rule that fits stays.
     """
     asked = sorted(set().union(*[words_of(t) for t in tables.values()]))
-    names = {fact: f"_is_{i}" for i, fact in enumerate(asked)}
-    out = df.withColumns({names[f]: F.coalesce(facts[f], F.lit(False)) for f in asked})
+    bit = {fact: 1 << i for i, fact in enumerate(asked)}  # at most 63 facts
+    mask = reduce(Column.bitwiseOR, [F.when(facts[f], F.lit(bit[f]).cast("long")).otherwise(0) for f in asked])
+    out = df.withColumn("_facts", mask)
 
     def fits(words: Sequence[str]) -> Column:
-        tests = [~F.col(names[w[4:]]) if w.startswith("not ") else F.col(names[w]) for w in words]
-        return reduce(lambda a, b: a & b, tests)
+        asked_for = sum(bit[w.removeprefix("not ")] for w in words)
+        needed = sum(bit[w] for w in words if not w.startswith("not "))
+        return F.col("_facts").bitwiseAND(F.lit(asked_for).cast("long")) == F.lit(needed).cast("long")
 
     out = out.withColumns({
         f"_rule_{t}": last_match([(fits(rule[-1]), i) for i, rule in enumerate(rules, 1)], 0) for t, rules in tables.items()})
@@ -44,4 +46,4 @@ def apply_rules(
         for place, (column, default) in enumerate(defaults[table]):
             options = F.array(F.lit(default), *[F.lit(rule[place]) for rule in rules])
             values[column] = F.get(options, F.col(f"_rule_{table}"))
-    return out.withColumns(values).drop(*names.values(), *[f"_rule_{t}" for t in tables])
+    return out.withColumns(values).drop("_facts", *[f"_rule_{t}" for t in tables])

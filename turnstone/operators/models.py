@@ -6,7 +6,7 @@ the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import reduce
@@ -46,8 +46,18 @@ def concurrently(fit: Callable, items: Sequence) -> list:
         return list(pool.map(fit, items))
 
 
-def vectors(df: DataFrame, features: Sequence[str], name: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=name, handleInvalid="skip").transform(df)
+def means_of(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Means of the training rows; 0 for a feature without any value."""
+    found = train.agg(F.struct(*[F.avg(f).alias(f) for f in features])).first()[0]
+    return {f: float(found[f] or 0.0) for f in features}
+
+
+def vectors(df: DataFrame, features: Sequence[str], name: str = "features", fill: Mapping[str, float] | None = None) -> DataFrame:
+    """A vector of the features for every row.  A null feature counts as ``fill``, or as 0, the mean of standardised ones."""
+    fill = fill or dict.fromkeys(features, 0.0)
+    ready = df.withColumns({f"_f_{f}": F.coalesce(F.col(f).cast("double"), F.lit(fill[f])) for f in features})
+    names = [f"_f_{f}" for f in features]
+    return VectorAssembler(inputCols=names, outputCol=name).transform(ready).drop(*names)
 
 
 def standardise(train: DataFrame, rows: DataFrame, features: Sequence[str], weights: Sequence[float] | None = None) -> DataFrame:
@@ -62,13 +72,13 @@ def standardise(train: DataFrame, rows: DataFrame, features: Sequence[str], weig
 # --- regression -------------------------------------------------------------------------
 def polynomial_regression(train: DataFrame, rows: DataFrame, features: Sequence[str], target: str, degree: int = 4) -> DataFrame:
     steps = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="_x"),
         PolynomialExpansion(degree=degree, inputCol="_x", outputCol="_p"),
         LinearRegression(featuresCol="_p", labelCol=target, predictionCol="predicted"),
     ])
-    with held(train.select(*features, target)) as data:
+    means = means_of(train, features)
+    with held(vectors(train, features, "_x", means).select("_x", target)) as data:
         model = steps.fit(data)
-    return model.transform(rows).drop("_x", "_p")
+    return model.transform(vectors(rows, features, "_x", means)).drop("_x", "_p")
 
 
 def boosted_regression_by_group(
@@ -78,10 +88,12 @@ def boosted_regression_by_group(
     """Boosted trees on the log target, one model per listed group; predictions back on the target's scale."""
 
     def fit(g: str) -> DataFrame:
-        data = vectors(train.where(F.col(group) == g).withColumn("_y", F.log1p(F.col(target).cast("double"))), features, "_x")
+        own = train.where(F.col(group) == g).withColumn("_y", F.log1p(F.col(target).cast("double")))
+        means = means_of(own, features)
+        data = vectors(own, features, "_x", means)
         with held(data.select("_x", "_y")) as fitted:
             model = GBTRegressor(featuresCol="_x", labelCol="_y", maxIter=trees, maxDepth=4, seed=SEED, predictionCol="_p").fit(fitted)
-        out = model.transform(vectors(rows.where(F.col(group) == g), features, "_x"))
+        out = model.transform(vectors(rows.where(F.col(group) == g), features, "_x", means))
         value = F.expm1("_p")
         return out.withColumn("predicted", clamp(value, capacity) if capacity else F.greatest(value, F.lit(0.0))).drop("_x", "_p")
 
@@ -89,10 +101,11 @@ def boosted_regression_by_group(
 
 
 def boosted_log_regression(train: DataFrame, rows: DataFrame, features: Sequence[str], target: str, trees: int = 100) -> DataFrame:
-    data = vectors(train.withColumn("_y", log_or_zero(target)), features, "_x").select("_x", "_y")
+    means = means_of(train, features)
+    data = vectors(train.withColumn("_y", log_or_zero(target)), features, "_x", means).select("_x", "_y")
     with held(data) as fitted:
         model = GBTRegressor(featuresCol="_x", labelCol="_y", maxIter=trees, maxDepth=4, seed=SEED, predictionCol="_p").fit(fitted)
-    return model.transform(vectors(rows, features, "_x")).withColumn("predicted", F.exp("_p")).drop("_x", "_p")
+    return model.transform(vectors(rows, features, "_x", means)).withColumn("predicted", F.exp("_p")).drop("_x", "_p")
 
 
 def price_table(
@@ -100,16 +113,16 @@ def price_table(
 ) -> DataFrame:
     """Predicted price of each event's latest row per code, one column per code."""
     steps = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="_x"),
         MinMaxScaler(inputCol="_x", outputCol="_s"),
         GBTRegressor(featuresCol="_s", labelCol=target, maxIter=trees, maxDepth=4, seed=SEED, predictionCol="predicted"),
     ])
     train = prices.withColumn("_u", keyed_random([event, code, days_out], SEED)).where(F.col("_u") < 0.8)
-    with held(train.select(*features, target)) as data:
+    means = means_of(train, features)
+    with held(vectors(train, features, "_x", means).select("_x", target)) as data:
         model = steps.fit(data)
     latest = prices.groupBy(event, code).agg(F.min_by(F.struct(*features), days_out).alias("_f")).select(
         event, code, *[F.col(f"_f.{f}").alias(f) for f in features if f not in (event, code)])
-    return model.transform(latest).groupBy(event).pivot(code, list(codes)).agg(F.first("predicted"))
+    return model.transform(vectors(latest, features, "_x", means)).groupBy(event).pivot(code, list(codes)).agg(F.first("predicted"))
 
 
 # --- classification ----------------------------------------------------------------------
@@ -156,15 +169,16 @@ def boosted_scores(train: DataFrame, rows: DataFrame, features: Sequence[str], l
     """Boosted-tree probability; the rare class weighs as much as the frequent one."""
     counts = train.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
     heavy = counts["n"] / max(counts["p"], 1)
-    data = vectors(train.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(heavy))).otherwise(1.0)), features, "_x")
+    means = means_of(train, features)
+    data = vectors(train.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(heavy))).otherwise(1.0)), features, "_x", means)
     with held(data.select("_x", F.col(label).cast("double").alias("_y"), "_w")) as fitted:
         model = GBTClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", maxIter=trees, maxDepth=depth, stepSize=0.1, seed=SEED).fit(fitted)
-    out = model.transform(vectors(rows, features, "_x"))
+    out = model.transform(vectors(rows, features, "_x", means))
     return out.select(*rows.columns, vector_to_array("probability")[1].alias("probability"))
 
 
 def feature_importances(train: DataFrame, features: Sequence[str], label: str, trees: int = 100) -> DataFrame:
-    with held(vectors(train, features, "_x").select("_x", F.col(label).cast("double").alias("_y"))) as fitted:
+    with held(vectors(train, features, "_x", means_of(train, features)).select("_x", F.col(label).cast("double").alias("_y"))) as fitted:
         model = GBTClassifier(featuresCol="_x", labelCol="_y", maxIter=trees, maxDepth=4, seed=SEED).fit(fitted)
     values = model.featureImportances.toArray()
     return train.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, values)], "feature string, importance double")
@@ -185,11 +199,12 @@ def multinomial_classes(train: DataFrame, rows: DataFrame, features: Sequence[st
 
 def _classes(learner, train, rows, features, label, classes):
     code = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)).cast("double") - 1
-    data = vectors(train.withColumn("_y", code), features, "_x").select("_x", "_y")
+    means = means_of(train, features)
+    data = vectors(train.withColumn("_y", code), features, "_x", means).select("_x", "_y")
     learner.setFeaturesCol("_x").setLabelCol("_y").setProbabilityCol("_prob").setRawPredictionCol("_raw").setPredictionCol("_pred")
     with held(data) as fitted:
         model = learner.fit(fitted)
-    out = model.transform(vectors(rows, features, "_x")).withColumn("_a", vector_to_array("_prob"))
+    out = model.transform(vectors(rows, features, "_x", means)).withColumn("_a", vector_to_array("_prob"))
     names = F.array(*[F.lit(c) for c in classes])
     return out.select(
         *rows.columns, F.element_at(names, (F.col("_pred") + 1).cast("int")).alias("predicted"),
@@ -219,7 +234,7 @@ def ranked_clusters(df: DataFrame, groups: Sequence[str], group: str, features:
 
 def component_clusters(df: DataFrame, features: Sequence[str], components: int, k: int, seed: int = SEED) -> DataFrame:
     """Principal components of encoded answers, clustered."""
-    data = vectors(df, features, "_x")
+    data = vectors(df, features, "_x", means_of(df, features))
     with held(data) as fitted:
         pca = PCA(k=components, inputCol="_x", outputCol="_pc").fit(fitted)
         projected = pca.transform(fitted)

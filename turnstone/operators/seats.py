@@ -52,11 +52,20 @@ PLACES = {
 
 
 def places(df: DataFrame) -> DataFrame:
-    """All place labels of the first price-code character, 'Other' where unlisted."""
-    labels = {name: label_of("pc_one", groups, "Other") for name, groups in PLACES.items()}
+    """All place labels of the first price-code character, 'Other' where unlisted: one look-up in a constant map."""
+    other = dict.fromkeys(PLACES, "Other")
+    table: dict[str, dict[str, str]] = {}
+    for name, groups in PLACES.items():
+        for label, codes in groups.items():  # the label stated last wins
+            for code in codes:
+                table.setdefault(code, dict(other))[name] = label
+    rows = {code: F.array(*[F.lit(x) for x in row.values()]) for code, row in table.items()}
+    found = F.try_element_at(F.create_map(*[x for code, row in rows.items() for x in (F.lit(code), row)]), F.col("pc_one"))
+    df = df.withColumn("_places", F.coalesce(found, F.array(*[F.lit("Other")] * len(PLACES))))
+    labels = {name: F.get("_places", F.lit(i)) for i, name in enumerate(PLACES)}
     general = labels["location_general"]
     labels["hrr_location"] = F.when(general == "General", "Bowl").otherwise(general)
-    return df.withColumns(labels)
+    return df.withColumns(labels).drop("_places")
 
 
 def premium(df: DataFrame) -> DataFrame:
