@@ -121,10 +121,16 @@ def plan_summary(df: DataFrame, keys: Sequence[str], customer: str) -> DataFrame
     )
 
 
-def live_board(sales: DataFrame, event: str, when: str, seats: str, as_of, next_n: int = 5) -> DataFrame:
+def live_board(
+    sales: DataFrame, event: str, when: str, seats: str, as_of, next_n: int = 5,
+    revenue: DataFrame | None = None, status: DataFrame | None = None, games: DataFrame | None = None,
+) -> DataFrame:
     """Seats sold today, yesterday and in the last hour per event, with a flag on the next events.
 
     One conditional aggregate; the next events are a top-n of the reduced table.
+    ``revenue`` (event, ``gross_revenue``) and ``games`` (event and any fields) are joined
+    to events that have them; ``status`` (event, ``status`` of a seat) gives the next events
+    their capacity and the share of it sold or held, 0 for all others.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     day, today = F.to_date(when), F.to_date(F.lit(as_of))
@@ -135,8 +141,15 @@ def live_board(sales: DataFrame, event: str, when: str, seats: str, as_of, next_
         F.sum(F.when(F.col(when) >= now - F.expr("INTERVAL 1 HOUR"), F.col(seats)).otherwise(0)).alias("last_hours_tickets"),
     )
     upcoming = board.where(F.col(event) >= today).select(event).orderBy(event).limit(next_n).withColumn("_next", F.lit(True))
-    return board.join(upcoming, event, "left").withColumn(
-        "next_5_flag", F.coalesce("_next", F.lit(False))).drop("_next")
+    board = board.join(upcoming, event, "left").withColumn("next_5_flag", F.coalesce("_next", F.lit(False))).drop("_next")
+    if revenue is not None:
+        board = board.join(revenue.groupBy(event).agg(F.sum("gross_revenue").alias("gross_revenue")), event, "left")
+    if status is not None:
+        taken = F.count_if(F.col("status").isin("SOLD", "HELD"))
+        seen = status.join(upcoming.select(event), event, "left_semi").groupBy(event).agg(
+            F.count("*").alias("capacity"), ratio(taken, F.count("*")).alias("sell_through"))
+        board = board.join(seen, event, "left").withColumn("sell_through", F.coalesce("sell_through", F.lit(0.0)))
+    return board.join(games, event, "left") if games is not None else board
 
 
 def hourly_board(sales: DataFrame, when: str, kind: str, value: Column, as_of) -> DataFrame:

@@ -200,8 +200,11 @@ def contact_outcomes(t):
     return ops.contact_outcomes(contact, buys, "user_id", within_days=2)
 
 
-RENEWAL = TICKETS + """, base AS (SELECT DISTINCT buyer FROM tickets WHERE season = '1999-00' AND ticket_type IN ('Full', 'Premier')),
+RENEWAL = TICKETS + """, base AS (SELECT buyer, CASE WHEN MAX((ticket_type = 'Full')::INT) = 1 THEN 'Full' ELSE 'Premier' END AS plan FROM tickets WHERE season = '1999-00' AND ticket_type IN ('Full', 'Premier') GROUP BY 1),
+  years AS (SELECT DISTINCT buyer, left(season, 4)::INT AS y FROM tickets WHERE ticket_type IN ('Full', 'Premier') AND season <= '1999-00'),
+  ten AS (SELECT buyer, COUNT(*) AS tenure FROM (SELECT buyer, y, ROW_NUMBER() OVER (PARTITION BY buyer ORDER BY y DESC) AS k FROM years) WHERE y = 1999 - k + 1 GROUP BY 1),
   rates AS (SELECT buyer, SUM(CASE WHEN NOT is_comp THEN did_attend::INT END)::DOUBLE / NULLIF(COUNT(CASE WHEN NOT is_comp THEN 1 END), 0) AS paid_rate, SUM(did_attend::INT)::DOUBLE / COUNT(*) AS show_rate,
+     COUNT(DISTINCT CASE WHEN did_attend THEN event_date END)::DOUBLE / COUNT(DISTINCT event_date) AS self_rate,
      SUM(gross_revenue) AS spend, COUNT(DISTINCT event_date) AS games FROM tickets WHERE season = '1999-00' GROUP BY 1),
   touch AS (SELECT o_custkey AS buyer, COUNT(DISTINCT o_orderkey) AS touchpoints, MAX(CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 WHEN '4-NOT SPECIFIED' THEN -1 ELSE -2 END) AS likely
      FROM orders WHERE o_orderdate >= TIMESTAMP '1999-07-01' GROUP BY 1),
@@ -211,38 +214,53 @@ RENEWAL = TICKETS + """, base AS (SELECT DISTINCT buyer FROM tickets WHERE seaso
 
 
 @query("c14_renewal_features", f"""
-  WITH {RENEWAL} SELECT b.buyer, (c_nationkey < 5)::INT AS is_local, COALESCE(touchpoints, 0) AS touchpoints, ROUND(paid_rate, 6) AS paid_show_rate, ROUND(show_rate, 6) AS show_rate, games AS num_games, ROUND(spend, 2) AS gross_revenue, lv.arena_level AS arena_level,
+  WITH {RENEWAL} SELECT b.buyer, plan, tenure, ROUND(self_rate, 6) AS self_show_rate, (c_nationkey < 5)::INT AS is_local, COALESCE(touchpoints, 0) AS touchpoints, ROUND(paid_rate, 6) AS paid_show_rate, ROUND(show_rate, 6) AS show_rate, games AS num_games, ROUND(spend, 2) AS gross_revenue, lv.arena_level AS arena_level,
    COALESCE(likely, 0) AS renewal_likelihood_survey, CASE WHEN COALESCE(touchpoints, 0) <= 0 THEN 0 WHEN touchpoints <= 3 THEN 1 WHEN touchpoints <= 7 THEN 2 WHEN touchpoints <= 15 THEN 3 ELSE 4 END AS touchpoints_agg,
-   CASE WHEN spend <= 0 THEN 0 WHEN spend <= 5000 THEN 1 WHEN spend <= 10000 THEN 2 WHEN spend <= 20000 THEN 3 WHEN spend <= 40000 THEN 4 ELSE 5 END AS gross_revenue_agg, (n.buyer IS NOT NULL)::INT AS did_renew
-  FROM base b JOIN customer ON c_custkey = b.buyer JOIN rates r ON r.buyer = b.buyer LEFT JOIN touch t ON t.buyer = b.buyer LEFT JOIN lv ON lv.buyer = b.buyer AND rn = 1 LEFT JOIN nxt n ON n.buyer = b.buyer WHERE spend > 0""")
+   CASE WHEN spend <= 0 THEN 0 WHEN spend <= CASE plan WHEN 'Full' THEN 5000 ELSE 2500 END THEN 1 WHEN spend <= CASE plan WHEN 'Full' THEN 10000 ELSE 5000 END THEN 2
+    WHEN spend <= CASE plan WHEN 'Full' THEN 20000 ELSE 10000 END THEN 3 WHEN spend <= CASE plan WHEN 'Full' THEN 40000 ELSE 20000 END THEN 4 ELSE 5 END AS gross_revenue_agg, (n.buyer IS NOT NULL)::INT AS did_renew
+  FROM base b JOIN ten ON ten.buyer = b.buyer JOIN customer ON c_custkey = b.buyer JOIN rates r ON r.buyer = b.buyer LEFT JOIN touch t ON t.buyer = b.buyer LEFT JOIN lv ON lv.buyer = b.buyer AND rn = 1 LEFT JOIN nxt n ON n.buyer = b.buyer WHERE spend > 0""")
 def renewal_features(t):
     return renewal_table(t).select(
-        "buyer", "is_local", "touchpoints", F.round("paid_show_rate", 6).alias("paid_show_rate"), F.round("show_rate", 6).alias("show_rate"), "num_games",
+        "buyer", "plan", "tenure", F.round("self_show_rate", 6).alias("self_show_rate"), "is_local", "touchpoints", F.round("paid_show_rate", 6).alias("paid_show_rate"), F.round("show_rate", 6).alias("show_rate"), "num_games",
         F.round("gross_revenue", 2).alias("gross_revenue"), "arena_level", "renewal_likelihood_survey", "touchpoints_agg", "gross_revenue_agg", "did_renew")
 
 
-def renewal_table(t):
-    tk = tickets(t, "1999-00", "2000-01")
-    now, held = F.col("season") == "1999-00", F.col("ticket_type").isin("Full", "Premier")
+def renewal_table(t, season: str = "1999-00"):
+    """Plan holders of a season: plan, tenure, three show rates (paid tickets, all tickets, days), spend, and whether they renewed.
+
+    Tenure counts the seasons in a row, up to this one, in which a plan was held.
+    """
+    start = int(season[:4])
+    tk = tickets(t, None, f"{start + 1}-{(start + 2) % 100:02}")
+    now, held = F.col("season") == season, F.col("ticket_type").isin("Full", "Premier")
+    later = F.col("season") > season
     came, paid = F.col("did_attend").cast("int"), ~F.col("is_comp")
-    # membership now and next season, show rates, spend and games in one pass
+    # membership by season, show rates, spend and games in one pass
     per_day = tk.groupBy("buyer", "event_date").agg(
-        F.max((now & held).cast("int")).alias("m"), F.max((~now & held).cast("int")).alias("next"), F.max(now.cast("int")).alias("g"),
+        F.max((now & held).cast("int")).alias("m"), F.max((later & held).cast("int")).alias("next"), F.max(now.cast("int")).alias("g"),
+        F.max((now & (F.col("ticket_type") == "Full")).cast("int")).alias("full"), F.max((now & F.col("did_attend")).cast("int")).alias("self"),
+        F.max(F.when(held & ~later, F.left("season", F.lit(4)).cast("int"))).alias("year"),
         F.sum(F.when(now & paid, came)).alias("pa"), F.count_if(now & paid).alias("pn"), F.sum(F.when(now, came)).alias("a"),
         F.count_if(now).alias("n"), F.sum(F.when(now, F.col("gross_revenue"))).alias("v"))
     base = per_day.groupBy("buyer").agg(
         F.max("m").alias("m"), F.max("next").alias("did_renew"), s.ratio(F.sum("pa"), F.sum("pn")).alias("paid_show_rate"),
-        s.ratio(F.sum("a"), F.sum("n")).alias("show_rate"), F.sum("g").alias("num_games"), F.sum("v").alias("gross_revenue"),
+        s.ratio(F.sum("a"), F.sum("n")).alias("show_rate"), s.ratio(F.sum("self"), F.sum("g")).alias("self_show_rate"),
+        F.sum("g").alias("num_games"), F.sum("v").alias("gross_revenue"),
+        F.when(F.max("full") == 1, "Full").otherwise("Premier").alias("plan"), F.collect_set("year").alias("_years"),
     ).where("m = 1 AND gross_revenue > 0").drop("m")
+    # seasons of a buyer, latest first, are as many as the club is old; the run ends at the first gap
+    gaps = F.filter(F.sequence(F.lit(1), F.size("_years") + 1), lambda k: ~F.array_contains("_years", F.lit(start) - k))
+    base = base.withColumn("tenure", F.element_at(gaps, 1).cast("long")).drop("_years")
     answer = s.lookup(s.lookup("o_orderpriority", SURVEY_WORDS), fixed.SURVEY_LIKELIHOOD, 0)
-    touch = t.orders.where(F.col("o_orderdate") >= F.lit("1999-07-01").cast("timestamp_ntz")).groupBy(F.col("o_custkey").alias("buyer")).agg(
+    touch = t.orders.where(F.col("o_orderdate") >= F.lit(f"{start}-07-01").cast("timestamp_ntz")).groupBy(F.col("o_custkey").alias("buyer")).agg(
         F.countDistinct("o_orderkey").alias("touchpoints"), F.max(answer).alias("renewal_likelihood_survey"))
-    level = agg.modal_value(tickets(t, "1999-00", "1999-00"), "buyer", "arena_level", s.lookup("arena_level", fixed.LEVEL_ORDER, 5)).drop("n")
+    level = agg.modal_value(tickets(t, season, season), "buyer", "arena_level", s.lookup("arena_level", fixed.LEVEL_ORDER, 5)).drop("n")
     local = t.customer.select(F.col("c_custkey").alias("buyer"), (F.col("c_nationkey") < 5).cast("int").alias("is_local"))
     out = ops.wide_profile(base.join(local, "buyer"), [touch, level], ["buyer"], ["touchpoints", "renewal_likelihood_survey"])
     return out.withColumns({
         "touchpoints_agg": s.cut("touchpoints", [None, *fixed.TOUCHPOINT_EDGES, None], [0, 1, 2, 3, 4]),
-        "gross_revenue_agg": s.cut("gross_revenue", [None, *fixed.SPEND_EDGES["Full"], None], [0, 1, 2, 3, 4, 5]),
+        "gross_revenue_agg": F.when(F.col("plan") == "Full", s.cut("gross_revenue", [None, *fixed.SPEND_EDGES["Full"], None], [0, 1, 2, 3, 4, 5])).otherwise(
+            s.cut("gross_revenue", [None, *fixed.SPEND_EDGES["Premier"], None], [0, 1, 2, 3, 4, 5])),
     })
 
 

@@ -16,7 +16,7 @@ from turnstone.sources.views import games, tickets
 
 LEVELS = ["Lowers", "Clubs", "Uppers", "Suites", "Premium"]
 RENEWAL_FEATURES = [
-    "is_local", "touchpoints_agg", "paid_show_rate", "show_rate", "num_games", "gross_revenue_agg", "level_num", "renewal_likelihood_survey",
+    "is_local", "tenure", "paid_show_rate", "show_rate", "self_show_rate", "num_games", "gross_revenue_agg", "level_num", "renewal_likelihood_survey",
 ]
 
 
@@ -31,8 +31,8 @@ def game_rows(t):
     }).drop("is_weekend").transform(cut_lineage)
 
 
-def renewal_rows(t):
-    table = renewal_table(t).withColumn("level_num", s.lookup("arena_level", fixed.LEVEL_ORDER, 5))
+def renewal_rows(t, season: str = "1999-00"):
+    table = renewal_table(t, season).withColumn("level_num", s.lookup("arena_level", fixed.LEVEL_ORDER, 5))
     return cut_lineage(table.na.fill(0.0, ["paid_show_rate", "show_rate"]))
 
 
@@ -75,11 +75,16 @@ def price_table(t):
 
 @query("m8_logistic_renewal")
 def logistic_renewal(t):
-    rows = renewal_rows(t)
-    parts = sampling.keyed_split(rows, ["buyer"], 0.67, 1993)
-    weights = [fixed.FEATURE_WEIGHTS["Full"].get(f, 1) for f in RENEWAL_FEATURES]
-    out = ops.logistic_scores(parts.where("part = 'train'"), parts.where("part = 'test'"), RENEWAL_FEATURES, "did_renew", weights)
-    return out.select("buyer", "did_renew", "probability")
+    """Fitted on the holders of one season, scored on those of the next, a model for each plan."""
+    last, running = renewal_rows(t, "1998-99"), renewal_rows(t, "1999-00")
+
+    def fit(plan: str):
+        weights = [fixed.FEATURE_WEIGHTS[plan].get(f, 1) for f in RENEWAL_FEATURES]
+        own = F.col("plan") == plan
+        return ops.logistic_scores(last.where(own), running.where(own), RENEWAL_FEATURES, "did_renew", weights)
+
+    full, premier = ops.concurrently(fit, ("Full", "Premier"))
+    return full.unionByName(premier).select("buyer", "plan", "did_renew", "probability")
 
 
 @query("m9_boosted_lead_scores")

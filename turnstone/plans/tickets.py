@@ -336,12 +336,25 @@ NOW = "2024-01-20 15:30:00"
 @query("d23_live_board", """
   WITH s AS (SELECT (DATE '2024-01-10' + (user_id % 40)::INT)::DATE AS event_date, ts, 1 AS seats FROM events WHERE ts <= TIMESTAMP '2024-01-20 15:30:00'),
   b AS (SELECT event_date, SUM(seats)::BIGINT AS total_seats, SUM(CASE WHEN ts::DATE = DATE '2024-01-20' THEN seats ELSE 0 END)::BIGINT AS todays_tickets,
-   SUM(CASE WHEN ts::DATE = DATE '2024-01-19' THEN seats ELSE 0 END)::BIGINT AS yesterdays_tickets, SUM(CASE WHEN ts >= TIMESTAMP '2024-01-20 14:30:00' THEN seats ELSE 0 END)::BIGINT AS last_hours_tickets FROM s GROUP BY 1)
-  SELECT *, event_date IN (SELECT event_date FROM b WHERE event_date >= DATE '2024-01-20' ORDER BY 1 LIMIT 5) AS next_5_flag FROM b""")
+   SUM(CASE WHEN ts::DATE = DATE '2024-01-19' THEN seats ELSE 0 END)::BIGINT AS yesterdays_tickets, SUM(CASE WHEN ts >= TIMESTAMP '2024-01-20 14:30:00' THEN seats ELSE 0 END)::BIGINT AS last_hours_tickets FROM s GROUP BY 1),
+  n AS (SELECT event_date FROM b WHERE event_date >= DATE '2024-01-20' ORDER BY 1 LIMIT 5),
+  l AS (SELECT (DATE '2024-01-10' + (l_suppkey % 40)::INT)::DATE AS event_date, l_extendedprice AS price, CASE WHEN l_quantity > 40 THEN 'SOLD' WHEN l_quantity > 25 THEN 'HELD' ELSE 'AVAIL' END AS status FROM lineitem),
+  r AS (SELECT event_date, SUM(price) AS v FROM l GROUP BY 1),
+  st AS (SELECT event_date, COUNT(*) AS capacity, COUNT(CASE WHEN status IN ('SOLD', 'HELD') THEN 1 END)::DOUBLE / COUNT(*) AS sell_through FROM l WHERE event_date IN (SELECT event_date FROM n) GROUP BY 1)
+  SELECT b.*, b.event_date IN (SELECT event_date FROM n) AS next_5_flag, ROUND(v, 2) AS gross_revenue, capacity, ROUND(COALESCE(sell_through, 0), 8) AS sell_through,
+   substr('ABCDE', (day(b.event_date) % 5 + 1)::INT, 1) AS tier, strftime(b.event_date, '%a') AS day_of_week, (day(b.event_date) % 2)::INT AS is_premier
+  FROM b LEFT JOIN r ON r.event_date = b.event_date LEFT JOIN st ON st.event_date = b.event_date""")
 def live_board(t):
     sales = t.events.select(
         F.date_add(F.lit("2024-01-10").cast("date"), (F.col("user_id") % 40).cast("int")).alias("event_date"), "ts", F.lit(1).alias("seats"))
-    return ops.live_board(sales, "event_date", "ts", "seats", NOW)
+    day = F.date_add(F.lit("2024-01-10").cast("date"), (F.col("l_suppkey") % 40).cast("int")).alias("event_date")
+    status = s.first_match([(F.col("l_quantity") > 40, "SOLD"), (F.col("l_quantity") > 25, "HELD")], "AVAIL")
+    seats = t.lineitem.select(day, F.col("l_extendedprice").alias("gross_revenue"), status.alias("status"))
+    games = sales.select("event_date").distinct().select(
+        "event_date", s.lookup(F.dayofmonth("event_date") % 5, dict(enumerate("ABCDE"))).alias("tier"),
+        F.date_format("event_date", "EEE").alias("day_of_week"), (F.dayofmonth("event_date") % 2).alias("is_premier"))
+    out = ops.live_board(sales, "event_date", "ts", "seats", NOW, revenue=seats, status=seats, games=games)
+    return out.withColumns({"gross_revenue": F.round("gross_revenue", 2), "sell_through": F.round("sell_through", 8)})
 
 
 @query("d24_hourly_grid", """
