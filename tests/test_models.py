@@ -114,3 +114,30 @@ def test_polynomial_recovers_a_polynomial(spark):
     df = spark.createDataFrame([(x / 10.0, (x / 10.0) ** 3) for x in range(-20, 21)], "x double, y double")
     out = ops.polynomial_regression(df, df, ["x"], "y").toPandas()
     assert np.abs(out["predicted"] - out["y"]).max() < 0.05
+
+
+def test_rows_with_null_features_are_scored(spark):
+    rows = [(i, float(i % 7) if i % 5 else None, float(i % 3), int(i % 7 > 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y int")
+    out = ops.logistic_scores(df, df, ["a", "b"], "y").toPandas()
+    assert len(out) == 60 and out.probability.between(0, 1).all() and out.a.isna().sum() == 12
+    whole = ops.polynomial_regression(df, df.select("id", "a", "b"), ["a", "b"], "y", degree=2).toPandas()
+    assert len(whole) == 60 and whole.predicted.notna().all()
+    placed = ops.clusters(df, ["a", "b"], 3).toPandas()
+    assert len(placed) == 60 and set(placed.cluster) <= {0, 1, 2}
+
+
+def test_a_feature_without_values_counts_as_zero(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id int, a double")
+    assert ops.means_of(df, ["a"]) == {"a": 0.0}
+    assert [r.x[0] for r in ops.vectors(df, ["a"], "x").collect()] == [0.0, 0.0]
+
+
+def test_renewal_weights_go_by_feature_name():
+    from turnstone.functions.fixed_values import FEATURE_WEIGHTS
+    from turnstone.plans.models import RENEWAL_FEATURES
+
+    full = dict(zip(RENEWAL_FEATURES, [FEATURE_WEIGHTS["Full"].get(f, 1) for f in RENEWAL_FEATURES]))
+    assert full == {"is_local": 1, "tenure": 1, "paid_show_rate": 2, "show_rate": 2, "self_show_rate": 1, "num_games": 1,
+                    "gross_revenue_agg": 1, "level_num": 1, "renewal_likelihood_survey": 2}
+    assert FEATURE_WEIGHTS["Premier"]["paid_show_rate"] == 1.5

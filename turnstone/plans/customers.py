@@ -144,7 +144,8 @@ def engagement_counts(t):
 
 
 @query("c10_digital_activity", """
-  SELECT c_custkey AS id, COALESCE(f.n, 0) AS form_submissions, COALESCE(c.n, 0) AS contest_activities, COALESCE(x.n, 0) AS transactions, COALESCE(x.m, 0) AS is_plus FROM customer
+  SELECT c_custkey AS id, COALESCE(f.n, 0) AS form_submissions, COALESCE(c.n, 0) AS contest_activities, COALESCE(x.n, 0) AS transactions, COALESCE(x.m, 0) AS is_plus, COALESCE(s.n, 0) AS survey_responses FROM customer
+  LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED' GROUP BY 1) s ON s.o_custkey = c_custkey
   LEFT JOIN (SELECT user_id, COUNT(DISTINCT event_id) AS n FROM events WHERE event_type = 'signup' GROUP BY 1) f ON f.user_id = c_custkey
   LEFT JOIN (SELECT user_id, COUNT(DISTINCT event_type || ' ' || CAST(ts AS DATE)::VARCHAR) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY 1) c ON c.user_id = c_custkey
   LEFT JOIN (SELECT user_id, COUNT(*) AS n, MAX((value > 100)::INT) AS m FROM events WHERE event_type = 'purchase' GROUP BY 1) x ON x.user_id = c_custkey""")
@@ -159,7 +160,8 @@ def digital_activity(t):
         F.sum("forms").alias("form_submissions"), F.sum("contests").alias("contest_activities"),
         F.sum("buys").alias("transactions"), F.max("plus").alias("is_plus"))
     base = t.customer.select(F.col("c_custkey").alias("id"))
-    return ops.wide_profile(base, [per], ["id"], ["form_submissions", "contest_activities", "transactions", "is_plus"])
+    surveys = t.orders.where("o_orderpriority <> '4-NOT SPECIFIED'").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("survey_responses"))
+    return ops.wide_profile(base, [per, surveys], ["id"], ["form_submissions", "contest_activities", "transactions", "is_plus", "survey_responses"])
 
 
 @query("c11_base_vs_buyers", f"""
@@ -273,12 +275,13 @@ def modal_level(t):
 
 @query("c16_member_profile", f"""
   WITH {TICKETS}, subs AS (SELECT season, buyer, MAX((ticket_type = 'Full')::INT) AS is_full, MAX((ticket_type = 'Premier')::INT) AS is_premier, SUM(gross_revenue) AS total_spend, MAX((arena_level = 'Premium')::INT) AS is_premium,
-     MAX((arena_level = 'Clubs')::INT) AS is_club, MAX((arena_level = 'Lowers')::INT) AS is_lower, MAX((arena_level = 'Uppers')::INT) AS is_upper FROM tickets WHERE season IN ('1998-99', '1999-00') GROUP BY 1, 2 HAVING SUM(gross_revenue) > 0),
+     MAX((arena_level = 'Clubs')::INT) AS is_club, MAX((arena_level = 'Lowers')::INT) AS is_lower, MAX((arena_level = 'Uppers')::INT) AS is_upper, MAX((ticket_type = 'Groups')::INT) AS is_community, COUNT(CASE WHEN is_comp THEN 1 END) AS discounts FROM tickets WHERE season IN ('1998-99', '1999-00') GROUP BY 1, 2 HAVING SUM(gross_revenue) > 0),
   rates AS (SELECT season, buyer, SUM(did_attend::INT)::DOUBLE / COUNT(*) AS show_rate FROM tickets WHERE season IN ('1998-99', '1999-00') GROUP BY 1, 2),
-  income AS (SELECT c_custkey AS buyer, CASE WHEN c_acctbal BETWEEN 0 AND 2999 THEN 1 WHEN c_acctbal BETWEEN 3000 AND 5999 THEN 2 WHEN c_acctbal BETWEEN 6000 AND 9999 THEN 3 ELSE 0 END AS income_ranking FROM customer),
+  income AS (SELECT c_custkey AS buyer, CASE WHEN c_acctbal BETWEEN 0 AND 2999 THEN 1 WHEN c_acctbal BETWEEN 3000 AND 5999 THEN 2 WHEN c_acctbal BETWEEN 6000 AND 9999 THEN 3 ELSE 0 END AS income_ranking, c_mktsegment AS segment, n_name AS home, r_name AS census_region
+     FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey),
   ev AS (SELECT user_id AS buyer, COUNT(CASE WHEN event_type = 'view' THEN 1 END) AS opens, MAX((event_type = 'click')::INT) AS has_clicked FROM events GROUP BY 1),
   held AS (SELECT DISTINCT season, buyer FROM tickets)
-  SELECT s.season, s.buyer, is_full, is_premier, ROUND(total_spend, 2) AS total_spend, is_premium, is_club, is_lower, is_upper, ROUND(show_rate, 6) AS show_rate, income_ranking, COALESCE(opens, 0) AS opens, COALESCE(has_clicked, 0) AS has_clicked,
+  SELECT s.season, s.buyer, is_full, is_premier, ROUND(total_spend, 2) AS total_spend, is_premium, is_club, is_lower, is_upper, is_community, discounts, ROUND(show_rate, 6) AS show_rate, income_ranking, segment, home, census_region, COALESCE(opens, 0) AS opens, COALESCE(has_clicked, 0) AS has_clicked,
    (h.buyer IS NOT NULL)::INT AS did_renew FROM subs s LEFT JOIN rates r ON r.season = s.season AND r.buyer = s.buyer LEFT JOIN income i ON i.buyer = s.buyer LEFT JOIN ev ON ev.buyer = s.buyer
   LEFT JOIN held h ON h.buyer = s.buyer AND h.season = CASE s.season WHEN '1998-99' THEN '1999-00' ELSE '2000-01' END""")
 def member_profile(t):
@@ -287,10 +290,11 @@ def member_profile(t):
         return F.max((F.col(column) == value).cast("int"))
     subs = now.groupBy("season", "buyer").agg(
         has("ticket_type", "Full").alias("is_full"), has("ticket_type", "Premier").alias("is_premier"), F.sum("gross_revenue").alias("total_spend"),
-        has("arena_level", "Premium").alias("is_premium"), has("arena_level", "Clubs").alias("is_club"), has("arena_level", "Lowers").alias("is_lower"), has("arena_level", "Uppers").alias("is_upper"),
+        has("ticket_type", "Groups").alias("is_community"), F.count_if("is_comp").alias("discounts"), has("arena_level", "Premium").alias("is_premium"), has("arena_level", "Clubs").alias("is_club"), has("arena_level", "Lowers").alias("is_lower"), has("arena_level", "Uppers").alias("is_upper"),
         s.ratio(F.sum(F.col("did_attend").cast("int")), F.count("*")).alias("show_rate")).where("total_spend > 0")
     bal = F.col("c_acctbal")
-    income = t.customer.select(F.col("c_custkey").alias("buyer"), s.first_match(
+    people = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"), "left").join(t.region, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    income = people.select(F.col("c_custkey").alias("buyer"), F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("home"), F.col("r_name").alias("census_region"), s.first_match(
         [(bal.between(0, 2999), 1), (bal.between(3000, 5999), 2), (bal.between(6000, 9999), 3)], 0).alias("income_ranking"))
     ev = t.events.groupBy(F.col("user_id").alias("buyer")).agg(
         F.count_if(F.col("event_type") == "view").alias("opens"), F.max((F.col("event_type") == "click").cast("int")).alias("has_clicked"))

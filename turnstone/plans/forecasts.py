@@ -290,24 +290,35 @@ def win_feature_table(t):
 @query("m32_gameday", f"""
   WITH {RATES}, r AS (SELECT tier, SUM(CASE WHEN did_attend THEN paid_seats ELSE 0 END)::DOUBLE / NULLIF(SUM(paid_seats), 0) AS pr, SUM(CASE WHEN did_attend THEN comp_seats ELSE 0 END)::DOUBLE / NULLIF(SUM(comp_seats), 0) AS cr FROM line_tickets JOIN games USING (event_date) GROUP BY 1),
   a AS (SELECT event_date, tier, paid_seats * pr + comp_seats * cr AS att FROM sold LEFT JOIN r USING (tier)),
-  pc AS (SELECT tier, is_weekend, AVG(pc) AS pc FROM (SELECT event_date, SUM(gross_revenue) / NULLIF(COUNT(CASE WHEN did_attend THEN 1 END), 0) AS pc FROM line_tickets GROUP BY 1) JOIN games USING (event_date) WHERE pc IS NOT NULL GROUP BY 1, 2),
+  pc AS (SELECT tier, is_weekend, AVG(pc) AS pc, AVG(mc) AS mc FROM (SELECT event_date, SUM(gross_revenue) / NULLIF(COUNT(CASE WHEN did_attend THEN 1 END), 0) AS pc,
+     SUM(CASE WHEN arena_level = 'Premium' THEN gross_revenue ELSE 0 END) / NULLIF(COUNT(CASE WHEN did_attend THEN 1 END), 0) AS mc FROM line_tickets GROUP BY 1) JOIN games USING (event_date) WHERE pc IS NOT NULL GROUP BY 1, 2),
   pk AS (SELECT tier, regr_slope(cars, att) AS b, regr_intercept(cars, att) AS i FROM (SELECT event_date, COUNT(CASE WHEN arena_level = 'Suites' THEN 1 END) AS cars, SUM(CASE WHEN did_attend THEN paid_seats + comp_seats ELSE 0 END) AS att FROM line_tickets WHERE event_date < DATE '2000-07-01' GROUP BY 1) JOIN games USING (event_date) GROUP BY 1),
   rv AS (SELECT event_date, SUM(gross_revenue) AS rev FROM line_tickets GROUP BY 1)
-  SELECT event_date, tier, ROUND(rev, 2) AS gross_revenue, ROUND(att, 4) AS predicted_attendance, ROUND(GREATEST(i + b * att, 0), 4) AS predicted_parking, ROUND(GREATEST(i + b * att, 0) * 42.8::DOUBLE, 4) AS predicted_parking_revenue, ROUND(att * pc, 2) AS predicted_fandb
+  SELECT event_date, tier, ROUND(rev, 2) AS gross_revenue, ROUND(att, 4) AS predicted_attendance, ROUND(GREATEST(i + b * att, 0), 4) AS predicted_parking, ROUND(GREATEST(i + b * att, 0) * 42.8::DOUBLE, 4) AS predicted_parking_revenue, ROUND(att * pc, 2) AS predicted_fandb, ROUND(att * mc, 2) AS predicted_merch,
+   ROUND(900000000.0::DOUBLE * {TIER_SHARE} / CASE tier WHEN 'A' THEN 2 WHEN 'B' THEN 6 WHEN 'C' THEN 14 WHEN 'D' THEN 10 WHEN 'E' THEN 9 END, 2) AS budget_goal
   FROM a JOIN games USING (event_date, tier) JOIN pc USING (tier, is_weekend) JOIN pk USING (tier) JOIN rv USING (event_date)""")
 def gameday(t):
     lt = line_tickets(t)
     attendance = ops.expected_attendance(sold_seats(t), ops.show_rates_by(daily_facts(t), ["tier"]), "tier").select("event_date", "tier", F.col("predicted_attendance").alias("att"))
-    crowd = lt.where("did_attend").groupBy("event_date").agg(F.count("*").alias("attendance"))
-    caps = ops.per_caps(lt.select("event_date", "gross_revenue"), crowd, games(t).select("event_date", "tier", "is_weekend"), "event_date", ["tier", "is_weekend"], fixed.FOOD_BASE_PER_CAP)
-    past = lt.where(F.col("event_date") < F.lit("2000-07-01").cast("date")).groupBy("event_date").agg(
+    # crowd, spend, cars and revenue of a day come from one pass over the fact
+    per_day = lt.groupBy("event_date").agg(
+        F.count_if("did_attend").alias("attendance"), F.sum("gross_revenue").alias("rev"),
+        F.sum(F.when(F.col("arena_level") == "Premium", F.col("gross_revenue")).otherwise(0.0)).alias("merch"),
         F.count_if(F.col("arena_level") == "Suites").alias("cars"), F.sum(F.when(F.col("did_attend"), F.col("paid_seats") + F.col("comp_seats")).otherwise(0)).alias("att"))
+    crowd, by = per_day.where("attendance > 0").select("event_date", "attendance"), ["tier", "is_weekend"]
+    calendar = games(t).select("event_date", *by)
+    caps = ops.per_caps(per_day.select("event_date", F.col("rev").alias("gross_revenue")), crowd, calendar, "event_date", by, fixed.FOOD_BASE_PER_CAP).select(
+        *by, F.col("per_cap").alias("food"))
+    goods = ops.per_caps(per_day.select("event_date", F.col("merch").alias("gross_revenue")), crowd, calendar, "event_date", by, fixed.MERCH_BASE_PER_CAP).select(
+        *by, F.col("per_cap").alias("goods"))
+    past = per_day.where(F.col("event_date") < F.lit("2000-07-01").cast("date")).select("event_date", "cars", "att")
     parked = forecast_by_group(past.join(games(t).select("event_date", "tier"), "event_date"), attendance, ["tier"], ["att"], "cars").withColumn(
         "predicted", F.greatest("predicted", F.lit(0.0)))
-    revenue = lt.groupBy("event_date").agg(F.sum("gross_revenue").alias("rev"))
-    out = parked.join(games(t).select("event_date", "is_weekend"), "event_date").join(caps, ["tier", "is_weekend"]).join(revenue, "event_date")
+    out = parked.join(games(t).select("event_date", "is_weekend"), "event_date").join(caps, by).join(goods, by).join(per_day.select("event_date", "rev"), "event_date")
+    goal = 900000000.0 * s.lookup("tier", fixed.REVENUE_SHARE_PER_TIER) / s.lookup("tier", fixed.GAMES_PER_TIER)
     return out.select("event_date", "tier", F.round("rev", 2).alias("gross_revenue"), F.round("att", 4).alias("predicted_attendance"), F.round("predicted", 4).alias("predicted_parking"),
-                      F.round(F.col("predicted") * fixed.PARKING_AVERAGE_PRICE, 4).alias("predicted_parking_revenue"), F.round(F.col("att") * F.col("per_cap"), 2).alias("predicted_fandb"))
+                      F.round(F.col("predicted") * fixed.PARKING_AVERAGE_PRICE, 4).alias("predicted_parking_revenue"), F.round(F.col("att") * F.col("food"), 2).alias("predicted_fandb"),
+                      F.round(F.col("att") * F.col("goods"), 2).alias("predicted_merch"), F.round(goal, 2).alias("budget_goal"))
 
 
 @query("m33_stitched", f"""

@@ -8,11 +8,11 @@ from turnstone.functions import fixed_values as fixed
 from turnstone.functions import scalars as s
 from turnstone.operators import encoding, neighbours, sampling
 from turnstone.operators import models as ops
-from turnstone.plans.customers import renewal_table
-from turnstone.plans.forecasts import daily_facts, win_features
+from turnstone.plans.customers import RENEWAL, renewal_table
+from turnstone.plans.forecasts import GAME_LOG, daily_facts, win_features
 from turnstone.registry import query
 from turnstone.session import cut_lineage
-from turnstone.sources.views import games, tickets
+from turnstone.sources.views import GAMES, games, tickets
 
 LEVELS = ["Lowers", "Clubs", "Uppers", "Suites", "Premium"]
 RENEWAL_FEATURES = [
@@ -213,3 +213,54 @@ def importances(t):
 def oversample(t):
     d = t.documents.join(t.labels, "doc_id").select("doc_id", "quality", F.log1p("n_chars").alias("size"), (F.size(F.split("text", " ")) / F.col("n_chars")).alias("density"))
     return neighbours.oversample_minority(d, "doc_id", ["size", "density"], "quality", 0)
+
+
+# --- what must hold of fitted values: the twins count the rows that have to be there --------------
+HOLDERS = f"""WITH {RENEWAL}, holders AS (SELECT b.* FROM base b JOIN customer ON c_custkey = b.buyer JOIN rates r ON r.buyer = b.buyer WHERE spend > 0)"""
+
+
+def rows_in_range(df, value, low: float, high: float, *keys: str):
+    """Rows of each group, and how many of them have a value in the range; neither null nor NaN is."""
+    value = F.col(value).cast("double")
+    return df.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if((value >= low) & (value <= high)).alias("in_range"))
+
+
+@query("m4_every_game_predicted", f"WITH {GAMES} SELECT COUNT(*) AS n, COUNT(*) AS in_range FROM games WHERE event_date >= DATE '2000-07-01'")
+def every_game_predicted(t):
+    return rows_in_range(polynomial(t), "predicted", -1e12, 1e12)
+
+
+@query("m8_every_holder_scored", f"{HOLDERS} SELECT plan, COUNT(*) AS n, COUNT(*) AS in_range FROM holders GROUP BY 1")
+def every_holder_scored(t):
+    return rows_in_range(logistic_renewal(t), "probability", 0, 1, "plan")
+
+
+@query("m9_every_lead_scored", f"{HOLDERS} SELECT COUNT(*) AS n, COUNT(*) AS in_range FROM holders")
+def every_lead_scored(t):
+    return rows_in_range(boosted_lead_scores(t), "probability", 0, 1)
+
+
+@query("m10_shares_sum_to_one", f"""
+  WITH {GAME_LOG} SELECT team, COUNT(*) AS n, COUNT(*) AS in_range FROM ft WHERE last_3 IS NOT NULL AND day >= DATE '2000-07-01' GROUP BY 1""")
+def shares_sum_to_one(t):
+    return rows_in_range(forest_win_model(t).withColumn("total", F.col("p_win") + F.col("p_loss")), "total", 1 - 1e-9, 1 + 1e-9, "team")
+
+
+@query("m12_first_order", f"WITH {GAMES} SELECT tier, COUNT(*) AS n, TRUE AS balanced FROM games GROUP BY 1")
+def first_order(t):
+    """At the optimum the probabilities of a class add up to the rows of the class."""
+    one = multinomial_tiers(t).agg(*[F.struct(F.lit(c).alias("tier"), F.count_if(F.col("tier") == c).alias("n"), F.sum(f"p_{c}").alias("p")).alias(c) for c in "ABCDE"])
+    each = one.select(F.inline(F.array(*"ABCDE")))
+    return each.select("tier", "n", (F.abs(F.col("p") - F.col("n")) <= 0.02 * F.col("n")).alias("balanced"))
+
+
+@query("m14_every_answer_placed", "SELECT COUNT(*) AS n, COUNT(*) AS in_range FROM documents")
+def every_answer_placed(t):
+    return rows_in_range(survey_clusters(t), "target", 0, 4)
+
+
+@query("m19_even_classes", """
+  WITH d AS (SELECT quality FROM documents JOIN labels USING (doc_id)), c AS (SELECT COUNT(*) AS n, COUNT(CASE WHEN quality = 0 THEN 1 END) AS m FROM d)
+  SELECT quality, synthetic, n FROM (SELECT quality, FALSE AS synthetic, COUNT(*) AS n FROM d GROUP BY 1 UNION ALL SELECT 0, TRUE, n - 2 * m FROM c WHERE n > 2 * m AND m > 1)""")
+def even_classes(t):
+    return oversample(t).groupBy("quality", "synthetic").agg(F.count("*").alias("n"))

@@ -284,12 +284,17 @@ def closest_relabelled(t):
     return out.select("o_orderkey", F.when(F.col("chosen"), "X").otherwise(F.col("o_orderstatus")).alias("label"))
 
 
-@query("o5_seeded_sample")
+#: A keyed draw in SQL: the first eight hex digits of an MD5.
+DRAW = "('0x' || md5(concat_ws(',', 1993, o_orderkey))[1:8])::BIGINT / 4294967296.0::DOUBLE"
+
+
+@query("o5_seeded_sample", f"SELECT * FROM orders ORDER BY {DRAW}, o_orderkey LIMIT 100")
 def seeded_sample(t):
     return sampling.shuffled_head(t.orders, ["o_orderkey"], 1993, 100)
 
 
-@query("o6_random_split")
+@query("o6_random_split", f"""
+  SELECT CASE WHEN {DRAW} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part, COUNT(*) AS rows, ROUND(AVG(o_totalprice), 2) AS mean_price FROM orders GROUP BY 1""")
 def random_split(t):
     parts = sampling.keyed_split(t.orders, ["o_orderkey"], 0.8, 1993)
     return parts.groupBy("part").agg(F.count("*").alias("rows"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"))

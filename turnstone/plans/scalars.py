@@ -186,11 +186,14 @@ def label_code(t):
     return label_codes(t.part.select("p_partkey", "p_brand"), "p_brand", "code").select("p_partkey", "code")
 
 
-@query("f22_noise")
+@query("f22_noise", """
+  SELECT l_orderkey, l_linenumber, ROUND(p, 9) AS p, ROUND(CASE WHEN p >= 0.12::DOUBLE THEN p - (0.09::DOUBLE + u * 0.02::DOUBLE) ELSE p END, 9) AS noised
+  FROM (SELECT l_orderkey, l_linenumber, l_discount * 10 AS p, ('0x' || md5(concat_ws(',', 1993, l_orderkey, l_linenumber, l_partkey))[1:8])::BIGINT / 4294967296.0::DOUBLE AS u FROM lineitem)""")
 def noise(t):
     p = F.col("l_discount") * 10
     u = F.lit(0.09) + keyed_random(["l_orderkey", "l_linenumber", "l_partkey"], 1993) * 0.02
-    return t.lineitem.select("l_orderkey", "l_linenumber", p.alias("p"), F.when(p >= 0.12, p - u).otherwise(p).alias("noised"))
+    noised = F.when(p >= 0.12, p - u).otherwise(p)
+    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(p, 9).alias("p"), F.round(noised, 9).alias("noised"))
 
 
 @query("f23_sequence_explode", """
