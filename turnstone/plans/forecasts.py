@@ -139,25 +139,32 @@ def sell_out(t):
     return ops.sell_out_flags(best, curve, "event_date", ["tier", "days_out"]).drop("avg_sold", "cumulative_avg_sold")
 
 
-PARKING = f"""{LINE_TICKETS}, lots AS (SELECT event_date, arena_level AS lot, season, COUNT(*) AS passes, SUM(gross_revenue) AS rev, SUM(did_attend::INT) AS parked, MAX(CASE WHEN NOT is_comp THEN gross_revenue END) AS price, SUM(paid_seats) AS cars FROM line_tickets GROUP BY 1, 2, 3),
+PARKING = f"""{LINE_TICKETS}, lots AS (SELECT event_date, arena_level AS lot, season, COUNT(*) AS passes, SUM(gross_revenue) AS rev, SUM(did_attend::INT) AS parked, MAX(CASE WHEN NOT is_comp THEN gross_revenue END) AS price, SUM(paid_seats) AS cars, COUNT(CASE WHEN is_comp THEN 1 END) AS gate FROM line_tickets GROUP BY 1, 2, 3),
+  gm AS (SELECT lot, covar_pop(g, c) AS gc, covar_pop(g, w) AS gw, var_pop(c) AS cc, var_pop(w) AS ww, covar_pop(c, w) AS cw, AVG(g) AS mg, AVG(c) AS mc, AVG(w) AS mw
+    FROM (SELECT lot, gate::DOUBLE AS g, 60.0::DOUBLE - parked AS c, (dayofweek(event_date) IN (0, 6))::INT::DOUBLE AS w FROM lots WHERE event_date < DATE '2000-07-01') GROUP BY 1),
+  gb AS (SELECT lot, (gc * ww - gw * cw) / (cc * ww - cw * cw) AS b1, (gw * cc - gc * cw) / (cc * ww - cw * cw) AS b2, mg, mc, mw FROM gm),
   m AS (SELECT lot, regr_slope(cars, passes) AS b, regr_intercept(cars, passes) AS a, SUM(parked)::DOUBLE / SUM(passes) AS show_rate FROM lots WHERE event_date < DATE '2000-07-01' GROUP BY 1),
   p AS (SELECT event_date, lot, passes, rev, price, show_rate, a + b * passes AS pred, 60.0::DOUBLE AS capacity FROM lots JOIN m USING (lot) WHERE event_date >= DATE '2000-07-01'),
   q AS (SELECT *, GREATEST(pred, 0) AS add0, (passes + GREATEST(pred, 0)) * show_rate AS parked0 FROM p),
   z AS (SELECT *, LEAST(capacity - parked0, 0) AS ov FROM q),
   y AS (SELECT *, add0 + ov AS additional, parked0 + ov AS parked, CASE WHEN ov < 0 THEN 0 ELSE capacity - parked0 END AS capacity_remaining FROM z),
-  x AS (SELECT *, LEAST(GREATEST(pred / 4, 0), capacity_remaining) AS onsite, rev / passes AS realised, COALESCE(price / 0.75::DOUBLE, rev / passes / 0.75::DOUBLE) * 1.07::DOUBLE AS gate_gross FROM y)"""
+  x AS (SELECT *, LEAST(GREATEST(mg + b1 * (capacity_remaining - mc) + b2 * ((dayofweek(event_date) IN (0, 6))::INT - mw), 0), capacity_remaining) AS onsite, rev / passes AS realised, COALESCE(price / 0.75::DOUBLE, rev / passes / 0.75::DOUBLE) * 1.07::DOUBLE AS gate_gross FROM y JOIN gb USING (lot))"""
 
 
 def parking(t):
+    """Prepaid passes by lot, then gate cars by a fit of their own on what is left of the lot and the weekend."""
     lots = line_tickets(t).groupBy("event_date", F.col("arena_level").alias("lot")).agg(
-        F.count("*").alias("passes"), F.sum("gross_revenue").alias("current_revenue"), F.sum(F.col("did_attend").cast("int")).alias("came"), F.sum("paid_seats").alias("cars"))
+        F.count("*").alias("passes"), F.sum("gross_revenue").alias("current_revenue"), F.sum(F.col("did_attend").cast("int")).alias("came"), F.sum("paid_seats").alias("cars"),
+        F.count_if("is_comp").alias("gate")).withColumn("weekend", s.dow0("event_date").isin(0, 6).cast("int"))
     cut = F.lit("2000-07-01").cast("date")
     past, upcoming = lots.where(F.col("event_date") < cut), lots.where(F.col("event_date") >= cut)
     rates = past.groupBy("lot").agg(s.ratio(F.sum("came"), F.sum("passes")).alias("show_rate"))
     predicted = forecast_by_group(past, upcoming, ["lot"], ["passes"], "cars").join(rates, "lot")
-    ready = predicted.select("event_date", "lot", "current_revenue", "show_rate", F.col("passes").alias("current_prepaid_passes"), F.col("predicted").alias("additional"),
-                             (F.col("predicted") / 4).alias("predicted_onsite"), F.lit(60.0).alias("capacity"))
-    bounded = ops.onsite_parking(ops.prepaid_parking(ready))
+    ready = predicted.select("event_date", "lot", "weekend", "current_revenue", "show_rate", F.col("passes").alias("current_prepaid_passes"), F.col("predicted").alias("additional"),
+                             F.lit(60.0).alias("capacity"))
+    gate = past.select("lot", "weekend", "gate", (F.lit(60.0) - F.col("came")).alias("capacity_remaining"))
+    at_gate = forecast_by_group(gate, ops.prepaid_parking(ready), ["lot"], ["capacity_remaining", "weekend"], "gate")
+    bounded = ops.onsite_parking(at_gate.withColumnRenamed("predicted", "predicted_onsite"))
     sales = line_tickets(t).select("event_date", F.col("arena_level").alias("lot"), "is_comp", "gross_revenue", F.col("gross_revenue").alias("price"))
     return ops.parking_revenue(bounded.join(ops.gate_prices(sales, ["event_date", "lot"]), ["event_date", "lot"], "left"))
 
