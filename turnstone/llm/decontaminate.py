@@ -7,10 +7,15 @@ all values near an item's block find every window within the radius: a fingerpri
 within ``RADIUS`` bits differs in at most ``RADIUS // 4`` bits of some block.
 A candidate then counts only if the weighted Jaccard similarity of the five-word
 shingles (with multiplicities) of item and window is 0.8 or more.
+
+Windows that the end of a text or its beginning cuts off are shorter than the item.
+They need no fingerprint: an item that most of its shingles name in the last (first)
+words of a text is compared with every such window.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -116,6 +121,48 @@ def probe_groups(items: list[tuple[int | None, bytes]], radius: int) -> list[Pro
     return [g.close() for g in groups.values()]
 
 
+class Ends:
+    """Which items of one shingle size hold a shingle, for the windows at both ends of a text."""
+
+    def __init__(self, size: int, groups: list[Probes]):
+        self.size = size
+        self.items = [(g, number) for g in groups for number in range(len(g.items))]
+        sets = [np.unique(g.items[number][1]) for g, number in self.items]
+        self.lengths = np.array([len(g.items[number][1]) for g, number in self.items])
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        self.holders = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+        self.keys, counts = np.unique(values, return_counts=True)
+        self.stops = np.cumsum(counts)
+        self.mask = np.uint64((1 << max(16, len(self.keys).bit_length() + 4)) - 1)
+        self.table = np.zeros(int(self.mask) + 1, dtype=bool)
+        self.table[(self.keys & self.mask).astype(np.int64)] = True
+
+    def named(self, found: np.ndarray, first: np.ndarray, held: np.ndarray, similarity: float) -> Iterator[tuple[int, int, bool]]:
+        """``row, item, at_end`` where enough of an item's shingles stand within its length of an end."""
+        at = np.flatnonzero(self.table[(found & self.mask).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.keys, found[at]), len(self.keys) - 1)
+        true = self.keys[place] == found[at]
+        at, place = at[true], place[true]
+        row = np.searchsorted(first, at, side="right") - 1
+        before, after = at - first[row], first[row] + held[row] - at
+        most = self.lengths.max()
+        near = (after > 0) & ((before < most) | (after <= most))  # runs over the border of two texts are no shingles
+        row, place, before, after = (x[near] for x in (row, place, before, after))
+        counts = np.diff(self.stops, prepend=0)[place]
+        item = self.holders[np.repeat(self.stops[place] - np.cumsum(counts), counts) + np.arange(counts.sum())]
+        row, before, after = (np.repeat(x, counts) for x in (row, before, after))
+        for at_end, inside in ((False, before < self.lengths[item]), (True, after <= self.lengths[item])):
+            pair, times = np.unique(row[inside] * len(self.items) + item[inside], return_counts=True)
+            for p in pair[times >= similarity * self.lengths[pair % len(self.items)] - 1e-9].tolist():
+                yield *divmod(p, len(self.items)), at_end
+
+
+def item_ends(groups: list[Probes]) -> list[Ends]:
+    """One for each shingle size of the items."""
+    return [Ends(size, [g for g in groups if g.size == size]) for size in sorted({g.size for g in groups})]
+
+
 def _bit_counts(values: np.ndarray, most: int) -> np.ndarray:
     """Running counts of each of the 64 bits, in lanes of 64-bit sums.
 
@@ -140,7 +187,7 @@ def _windows(counts: np.ndarray, length: int, most: int) -> Iterator[tuple[int,
         yield at, np.packbits(ones > half, bitorder="little").view(np.uint64)
 
 
-def _search(hashes: np.ndarray, words: np.ndarray, groups: list[Probes], similarity: float):
+def _search(hashes: np.ndarray, words: np.ndarray, groups: list[Probes], ends: list[Ends], similarity: float):
     """``row, item_id, start, words, similarity`` of the best window of each item in each text."""
     best: dict[tuple[int, int, int], tuple[float, int, int]] = {}
     row_of = np.repeat(np.arange(len(words)), words)
@@ -168,6 +215,16 @@ def _search(hashes: np.ndarray, words: np.ndarray, groups: list[Probes], similar
                     for row in short[near].tolist():
                         start = int(first[row])
                         _keep(best, group, number, row, start, start, start + int(held[row]), found, similarity)
+        for cut in (e for e in ends if e.size == size):
+            for row, item, at_end in cut.named(found, first[:-1], held, similarity):
+                group, number = cut.items[item]
+                count = len(group.items[number][1])
+                base, end = int(first[row]), int(first[row] + held[row])
+                for length in range(math.ceil(similarity * count - 1e-9), min(count, int(held[row]) + 1)):
+                    if at_end:
+                        _keep(best, group, number, row, end - length, base, end, found, similarity)
+                    else:
+                        _keep(best, group, number, row, base, base, base + length, found, similarity)
     for (row, _, _), (score, start, length, item_id) in sorted(best.items(), key=lambda x: (x[0][0], x[1][1], -x[1][0])):
         yield row, item_id, start, length, score
 
@@ -185,13 +242,14 @@ LEAKS = "doc_id long, item_id long, start_word long, window_words long, similari
 
 
 def _pass(documents: DataFrame, items: list[tuple[int | None, bytes]], radius: int, similarity: float) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(probe_groups(items, radius))
+    probes = probe_groups(items, radius)
+    shared = documents.sparkSession.sparkContext.broadcast((probes, item_ends(probes)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = shared.value
+        groups, ends = shared.value
         for part in slices(batches, "text"):
             hashes, counts = hash_words(texts(part, "text"), True, GAPS)
-            found = list(_search(hashes, counts, groups, similarity))
+            found = list(_search(hashes, counts, groups, ends, similarity))
             if found:
                 rows, *columns = zip(*found)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
