@@ -4,8 +4,10 @@ Writers hide words by look-alike characters, separators or spaces between letter
 and repeated letters.  Each token gives a lattice: every character as it is, as a
 letter that it looks like, or dropped (separator or repetition), at a channel cost.
 Viterbi finds the cheapest path under a character trigram model counted over all
-documents.  A token whose lattice has one path needs no search.  Labels choose the
-words that tell toxic rows and their weights; nothing but the text enters a score.
+documents.  A token whose lattice has one path needs no search.  Spaces between single
+characters and between pieces that together may be a telling word are kept or dropped
+in the same lattice, so the model places the word borders.  Labels choose the words that
+tell toxic rows and their weights; nothing but the text enters a score.
 """
 
 from __future__ import annotations
@@ -54,7 +56,10 @@ _CODE_OF_BYTE[192:] = OTHER
 _EDGES = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _LEADING = _EDGES.replace(b"@", b"").replace(b"$", b"")
 _PLAIN = re.compile(rb"[a-z\x80-\xff]*\Z")
-_RUN = re.compile(rb"([a-z])\1\1")
+_PAIR = re.compile(rb"([a-z])\1")
+#: Letters and look-alikes that may be read alike have one key, repeated ones once.
+_ALIKE = bytes.maketrans(b"013456789@$!|+l", b"oieasgtbgasiiti")
+_REPEATED = re.compile(rb"([a-z])\1+")
 _LETTER = re.compile(rb"[a-z]")
 _SPACED = re.compile(rb"(?<![^ \t\n\r])(?:[a-z0-9@$!|+][ \t.*_-]{1,3}){2,}[a-z0-9@$!|+](?![^ \t\n\r.,!?;:])")
 
@@ -111,9 +116,23 @@ def _code(char: str) -> int:
 
 def decode(token: str, model: CharacterModel) -> str:
     """The cheapest reading of a token; of equally cheap ones the first in order of choices."""
+    return _cheapest(_choices(token), model)
+
+
+def decode_pieces(pieces: list[str], drop_cost: float, model: CharacterModel) -> list[str]:
+    """The words of the cheapest reading of pieces, each space between them kept or dropped."""
+    lattice = _choices("".join(pieces))
+    at = 0
+    for number, piece in enumerate(pieces[:-1]):
+        at += len(piece)
+        lattice.insert(at + number, [(" ", 0.0), ("", drop_cost)])
+    return _cheapest(lattice, model).split()
+
+
+def _cheapest(lattice: list[list[tuple[str, float]]], model: CharacterModel) -> str:
     cost = model.cost
     paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
-    for choices in _choices(token):
+    for choices in lattice:
         step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (spent, trail) in paths.items():
             for char, price in choices:
@@ -138,7 +157,7 @@ def restore(token: bytes, model: CharacterModel) -> str:
     core = token.rstrip(_EDGES).lstrip(_LEADING)
     if core[:1] in b"@$" and not _LETTER.match(core[1:2]):
         core = core.lstrip(_EDGES)
-    if (_PLAIN.match(core) and not _RUN.search(core)) or not _LETTER.search(core):
+    if (_PLAIN.match(core) and not _PAIR.search(core)) or not _LETTER.search(core):
         return core.decode("utf-8", "replace")
     return decode(core.decode("utf-8", "replace"), model)
 
@@ -153,14 +172,31 @@ def spaced_words(text: bytes) -> list[bytes]:
     return [re.sub(rb"[ \t.*_-]+", b"", m.group()) for m in _SPACED.finditer(text)]
 
 
+def alike(text: bytes) -> bytes:
+    """What disguised and plain writings of a word have in common."""
+    return _REPEATED.sub(rb"\1", text.translate(_ALIKE))
+
+
 class Reader:
     """Distinct features of texts; tokens and what became of them are remembered."""
 
     def __init__(self, model: CharacterModel, known: dict[str, int] | None = None):
         self.model, self.known, self.seen = model, known, {}
+        words = [f.encode() for f in known or ()]
+        self.whole = frozenset(alike(w) for w in words if not w.endswith(b"*"))
+        self.begun = frozenset(alike(w[:-1]) for w in words if w.endswith(b"*"))
+        self.beginnings = sorted({len(w) for w in self.begun})
+        self.longest = max(map(len, self.whole), default=0)
 
     def _read(self, token: bytes) -> tuple:
-        found = features(restore(token, self.model))
+        if b" " in token:
+            pieces = token.decode("utf-8", "replace").split()
+            read = decode_pieces(pieces, 0.0 if max(map(len, pieces)) == 1 else DROP_COST, self.model)
+        else:
+            read = [restore(token, self.model)]
+            if _PAIR.search(token) and _PLAIN.match(core := token.rstrip(_EDGES).lstrip(_LEADING)):
+                read.append(core.decode("utf-8", "replace"))  # a pair may be right
+        found = tuple({f: None for word in read for f in features(word)})
         if self.known is not None:
             found = tuple(self.known[f] for f in found if f in self.known)
         if len(self.seen) >= REMEMBERED:
@@ -168,10 +204,33 @@ class Reader:
         self.seen[token] = found
         return found
 
+    def _split_words(self, tokens: list[bytes]) -> Iterator[bytes]:
+        """Neighbouring pieces that a telling word can be split into, a space between each two."""
+        keys = [alike(t) for t in tokens]
+        for at in range(len(tokens) - 1):
+            begin = tokens[at].lstrip(_LEADING)
+            joined = keys[at] if len(begin) == len(tokens[at]) else alike(begin)
+            if len(joined) >= self.longest or not joined.isalnum():
+                continue
+            for end in range(at + 1, len(tokens)):
+                last = tokens[end].rstrip(_EDGES)  # a mark at the end may be a letter or close the word
+                for token, key in ((tokens[end], keys[end]), *([(last, alike(last))] if len(last) < len(tokens[end]) else [])):
+                    whole = joined + (key[1:] if joined[-1:] == key[:1] else key)
+                    if whole in self.whole or any(whole[:n] in self.begun for n in self.beginnings if len(joined) < n <= len(whole)):
+                        yield b" ".join([begin, *tokens[at + 1 : end], token])
+                joined += keys[end][1:] if joined[-1:] == keys[end][:1] else keys[end]
+                if len(joined) >= self.longest or not joined.isalnum():
+                    break
+
     def features(self, text: bytes) -> set:
         text = text.translate(LOWER)
-        tokens = set(text.split())
-        tokens.update(spaced_words(text))
+        ordered = text.split()
+        tokens = set(ordered)
+        spaced = spaced_words(text)
+        tokens.update(spaced)
+        tokens.update(b" ".join(x[i : i + 1] for i in range(len(x))) for x in spaced)
+        if self.longest:
+            tokens.update(self._split_words(ordered))
         seen, out = self.seen, set()
         for token in tokens:
             found = seen.get(token)
