@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, chat, decontaminate, html_text, language_model, quality, simhash, toxicity, url_filter, warc
+from turnstone.llm import (
+    bpe, chat, decontaminate, hard_negatives, html_text, language_model, periodic_runs, quality, simhash, sorted_projections, toxicity, url_filter, warc,
+)
 from turnstone.llm.common import read, text_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +161,78 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     held_out = text_crc("doc_id", language_model.HELD_OUT_FOLDS) == language_model.HELD_OUT
     found = language_model.score(documents, ~held_out)
     return found.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+NEGATIVES_SQL = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, id, score, row_number() over (partition by anchor_id order by score desc, id) as k from s where same),
+n as (select p.anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score, s.score as negative_score,
+    (row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id))::int as rank
+  from p join s using (anchor_id) where p.k <= 5 and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select * from n where rank <= 5"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = lambda x: F.when(F.abs(x.cast("double")) < float("inf"), F.floor(256 * x.cast("double")).cast("double"))
+    rows = read(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), label.alias("label"), F.transform("embedding", whole).alias("vector"), (F.col("vec_id") % 100 == 0).alias("is_anchor"))
+    return hard_negatives.mine(rows)
+
+
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``: of the ids whose hash ends in 0 the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = documents.select("doc_id", "text", F.floor(h / 10).alias("g"), (h % 10 == 0).alias("planted"))
+    rows = rows.withColumn("words", F.when(F.col("planted"), F.expr("filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')")))
+    rows = rows.withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    longer = F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(period, times)))
+    planted = F.concat_ws(" ", F.slice(longer, F.lit(1), F.col("n")))
+    return rows.select("doc_id", F.when(F.col("planted") & (F.col("n") > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_runs(read(spark, folder, "documents")))
+    return run_digests(found)
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """Counts and digests of ``runs`` and ``collapsed``; the longest run by length, start, period."""
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = found.withColumn("longest", longest)
+    start, length, period = F.col("longest.start"), -F.col("longest.less"), F.col("longest.period")
+    text = F.when(F.size("runs") > 0, F.concat(F.concat_ws("\n", lines), F.lit("\n"))).otherwise("")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+COPIES_SQL = """
+with recursive v as (select row_number() over () as k, vec_id, embedding::double[] as e from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.k as a, b.k as b, b.vec_id from v a join v b on a.k <> b.k and list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(k, node) as (select k, k from v union select reach.k, l.b from reach join l on reach.node = l.a),
+c as (select reach.k, min(v.vec_id) as component_id from reach join v on v.k = reach.node group by reach.k),
+n as (select v.vec_id, (select count(*) from l where l.a = v.k) as n_links, component_id from v join c using (k))
+select vec_id, n_links::bigint as n_links, component_id, vec_id = component_id as kept from n
+union all select vec_id, 0, vec_id, true from embeddings
+where embedding is null or len(list_filter(embedding, lambda x: x is null or not isfinite(x))) > 0 or len(list_filter(embedding, lambda x: x <> 0)) = 0"""
+
+
+@query("op13_embedding_near_dedup", COPIES_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = sorted_projections.near_duplicates(rows)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
