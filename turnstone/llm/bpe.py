@@ -13,11 +13,13 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,8 +32,10 @@ CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: A match that ends this near to a chunk's end may have been changed by the cut.
 MARGIN = 8
-#: Pieces that a worker remembers.
-REMEMBERED = 150_000
+#: Pieces in each of the two generations that a worker remembers.
+REMEMBERED = 300_000
+#: Pieces up to this length are merged by scanning the pairs, longer ones with a heap.
+SCANNED = 32
 
 
 @lru_cache(maxsize=4)
@@ -42,13 +46,34 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one piece: the adjacent pair of lowest rank merges first, the leftmost of equals.
-
-    A heap of pairs over a linked list, so a very long piece takes n log n steps.
-    """
+    """Token ids of one piece: the adjacent pair of lowest rank merges first, the leftmost of equals."""
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
+    return _merge_scanning(piece, ranks) if len(piece) <= SCANNED else _merge_heap(piece, ranks)
+
+
+def _merge_scanning(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The pair of lowest rank is looked for among all pairs, of which a merge changes two."""
+    none, get = len(ranks), ranks.get
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pairs:
+        least = min(pairs)
+        if least == none:
+            break
+        at = pairs.index(least)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = get(parts[at - 1] + parts[at], none)
+        if at < len(pairs):
+            pairs[at] = get(parts[at] + parts[at + 1], none)
+    return [ranks[x] for x in parts]
+
+
+def _merge_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """A heap of pairs over a linked list, so a very long piece takes n log n steps."""
     size = len(piece)
     after, before, end = list(range(1, size + 1)), list(range(-1, size - 1)), list(range(1, size + 1))
     heap = []
@@ -82,20 +107,27 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder:
-    """Pieces to little-endian int32 ids, remembered by piece."""
+    """Pieces to little-endian int32 ids, remembered by piece.
+
+    When a generation is full it becomes the older one, and the one before it is forgotten;
+    a piece of the older one moves on when it is met again.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern, self.seen = ranks, regex.compile(pattern), {}
+        self.ranks, self.pattern, self.seen, self.older = ranks, regex.compile(pattern), {}, {}
 
     def _learn(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode(), self.ranks), dtype="<i4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            tokens = merge(piece.encode(), self.ranks)
+            ids = struct.pack(f"<{len(tokens)}i", *tokens)
         if len(piece) < 64:
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
             self.seen[piece] = ids
         return ids
 
     def pieces(self, found: list[str]) -> bytes:
+        if len(self.seen) >= REMEMBERED:
+            self.seen, self.older = {}, self.seen
         get, learn = self.seen.get, self._learn
         return b"".join([get(p) or learn(p) for p in found])
 
@@ -225,19 +257,56 @@ def encode(
     return short.unionByName(long)
 
 
+class ByteTable:
+    """The bytes of all tokens in one array; ids to bytes by offsets, without an object for each token."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_rank = sorted((rank, token) for token, rank in ranks.items())
+        size = by_rank[-1][0] + 1 if by_rank else 0
+        self.length = np.full(size, -1, dtype=np.int64)
+        rank = np.array([r for r, _ in by_rank], dtype=np.int64)
+        self.length[rank] = [len(t) for _, t in by_rank]
+        self.start = np.zeros(size, dtype=np.int64)
+        self.start[rank] = np.cumsum(self.length[rank]) - self.length[rank]
+        self.data = np.frombuffer(b"".join(t for _, t in by_rank), dtype=np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids in order, and how many each id has."""
+        if ids.size and (ids.min() < 0 or ids.max() >= len(self.length) or self.length[ids].min() < 0):
+            raise KeyError("an id is not in the vocabulary")
+        many = self.length[ids]
+        ends = np.cumsum(many)
+        where = np.repeat(self.start[ids] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)
+        return self.data[where], many
+
+
 def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The columns of ``tokens`` and ``decoded`` (binary): the bytes of ``ids``, concatenated.
 
     A null list gives null; an id that the vocabulary lacks is an error.
     """
-    shared = tokens.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+    shared = tokens.sparkSession.sparkContext.broadcast(ByteTable(ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
+        table = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out = [None if ids is None else b"".join(map(token, ids.values.to_numpy().tolist())) for ids in part.column("ids")]
+            for part in _by_ids(batch):
+                ids = part.column("ids")
+                data, many = table.bytes_of(ids.flatten().to_numpy())
+                sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(many)])[np.cumsum(sizes)].tolist()
+                whole = data.tobytes()
+                out = [whole[lo:hi] if ok else None for lo, hi, ok in zip([0, *ends[:-1]], ends, ids.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*part.schema.names, "decoded"])
 
     return tokens.mapInArrow(run, StructType([*tokens.schema.fields, StructField("decoded", BinaryType())]))
+
+
+def _by_ids(batch: pa.RecordBatch, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the lists of a piece hold about ``most`` ids."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False))
+    start, base = 0, 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
+        yield batch.slice(start, stop - start)
+        base, start = int(ends[stop - 1]), stop
