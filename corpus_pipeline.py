@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstone.llm import bpe, decontaminate, near_copies, quality, toxicity
+from turnstone.llm import bpe, decontaminate, quality, simhash, toxicity
 from turnstone.llm.common import read, staged
 from turnstone.llm.queries import byte_bpe, token_digests
 
@@ -28,8 +28,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies: five-word shingles of exact similarity 0.8."""
-    return near_copies.one_of_each_group(docs).select(docs.columns)
+    """The document with the smallest id of each group of fingerprints that links join: shingle length and bits of the operator's contract."""
+    return simhash.one_of_each_group(docs, simhash.RADIUS, simhash.SHINGLE_WORDS).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
