@@ -254,3 +254,11 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
         assert after.columns == source.columns and 0 < after.count() <= docs.count() and after.join(docs, "doc_id", "left_anti").isEmpty()
         docs = after
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
+
+
+def test_one_of_each_group_is_determined(spark):
+    rows = [(1, "b b b b"), (1, "a a a a"), (2, "b b b b"), (3, None), (4, ""), (None, "a a a a"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("tags", F.create_map(F.lit("k"), F.col("text")))
+    for parts in (1, 5):
+        got = sorted(((r.doc_id, r.text) for r in simhash.one_of_each_group(frame.repartition(parts)).collect()), key=str)
+        assert got == sorted([(1, "a a a a"), (3, None), (None, "a a a a"), (None, None)], key=str)

@@ -82,7 +82,7 @@ def test_recall_of_single_pairs_over_many_vectors(spark):
 def brute_negatives(rows, share=(80, 100)):
     out = []
     for anchor, label, v in [r for r in rows if r[0] % 10 == 0]:
-        score = lambda r: int(sum(x * y for x, y in zip(v, r[2])))  # noqa: E731, B023
+        score = lambda r: sum(int(x) * int(y) for x, y in zip(v, r[2]))  # noqa: E731, B023
         ranked = sorted(((-score(r), r[0], r[1]) for r in rows))
         for s, positive, _ in [x for x in ranked if x[2] == label and x[1] != anchor][:5]:
             fits = [x for x in ranked if x[2] != label and share[0] * -s <= share[1] * -x[0] <= share[1] * -s][:5]

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from turnstone.llm.common import slices, staged, texts, words
 from turnstone.session import cut_lineage
@@ -240,10 +241,13 @@ def hex64(column: str):
 
 
 def one_of_each_group(documents: DataFrame, radius: int = RADIUS, size: int = SHINGLE_WORDS) -> DataFrame:
-    """All columns of the document with the smallest id of each group; one of equal ids.
+    """All columns of the document with the smallest id of each group.
 
-    Rows without an id can't be told apart and all stay.
+    Of rows with one id the one whose text, then other plain columns, sort first stays.  Rows
+    without an id can't be told apart and all stay.
     """
     kept = near_duplicates(documents, radius, size).where("doc_id = component_id").select("doc_id").distinct()
-    known = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(documents.where(F.col("doc_id").isNull()))
+    known = documents.join(kept, "doc_id", "left_semi")
+    plain = [f.name for f in documents.schema.fields if f.name not in ("doc_id", "text") and isinstance(f.dataType, AtomicType)]
+    first = known.groupBy("doc_id").agg(F.min_by(F.struct(*known.columns), F.struct("text", *plain)).alias("row"))
+    return first.select("row.*").unionByName(documents.where(F.col("doc_id").isNull()))
