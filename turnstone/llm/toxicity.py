@@ -21,16 +21,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.llm.common import LOWER, held, labelled_texts, sampled_labels, slices, texts
+from turnstone.llm.common import LOWER, held, labelled_texts, sampled_labels, slices, staged, texts
 from turnstone.llm.linear import fit_sparse, sigmoid
 
-#: Bound of the labelled sample, and of the words that get a weight.
+#: Bound of the labelled sample.
 TRAIN_ROWS = 20_000
-MAX_FEATURES = 4096
+#: A telling word stands in this many toxic rows, and by this log odds rather in them than in others.
 MIN_TOXIC_ROWS = 3
+MIN_ODDS = 1.0
+#: It is sought in split writing too if chance alone would yield such a word among all words with this probability at most.
+CHANCE = 0.01
 THRESHOLD = 0.5
 #: Training rows: crc32 of the id as text, modulo this, is not 0.
 FOLDS = 5
@@ -59,6 +62,8 @@ _PLAIN = re.compile(rb"[a-z\x80-\xff]*\Z")
 _PAIR = re.compile(rb"([a-z])\1")
 #: Letters and look-alikes that may be read alike have one key, repeated ones once.
 _ALIKE = bytes.maketrans(b"013456789@$!|+l", b"oieasgtbgasiiti")
+#: Bytes that neither are nor stand for a letter a-z.
+_MARKS = bytes(b for b in range(256) if not 97 <= _ALIKE[b] <= 122)
 _REPEATED = re.compile(rb"([a-z])\1+")
 _LETTER = re.compile(rb"[a-z]")
 _SPACED = re.compile(rb"(?<![^ \t\n\r])(?:[a-z0-9@$!|+][ \t.*_-]{1,3}){2,}[a-z0-9@$!|+](?![^ \t\n\r.,!?;:])")
@@ -152,11 +157,16 @@ def _cheapest(lattice: list[list[tuple[str, float]]], model: CharacterModel) ->
     return "".join(reversed(out))
 
 
-def restore(token: bytes, model: CharacterModel) -> str:
-    """A lower-cased token without the punctuation at its ends and without its disguise."""
+def core_of(token: bytes) -> bytes:
+    """A lower-cased token without the punctuation at its ends."""
     core = token.rstrip(_EDGES).lstrip(_LEADING)
     if core[:1] in b"@$" and not _LETTER.match(core[1:2]):
         core = core.lstrip(_EDGES)
+    return core
+
+
+def restore(core: bytes, model: CharacterModel) -> str:
+    """A token's core without its disguise."""
     if (_PLAIN.match(core) and not _PAIR.search(core)) or not _LETTER.search(core):
         return core.decode("utf-8", "replace")
     return decode(core.decode("utf-8", "replace"), model)
@@ -177,60 +187,114 @@ def alike(text: bytes) -> bytes:
     return _REPEATED.sub(rb"\1", text.translate(_ALIKE))
 
 
+def skeleton(text: bytes) -> bytes:
+    """The letters of ``alike`` alone: every reading of a token has the token's skeleton."""
+    return _REPEATED.sub(rb"\1", text.translate(_ALIKE, _MARKS))
+
+
 class Reader:
     """Distinct features of texts; tokens and what became of them are remembered."""
 
-    def __init__(self, model: CharacterModel, known: dict[str, int] | None = None):
+    def __init__(self, model: CharacterModel, known: dict[str, int] | None = None, sure: frozenset[str] = frozenset()):
         self.model, self.known, self.seen = model, known, {}
         words = [f.encode() for f in known or ()]
-        self.whole = frozenset(alike(w) for w in words if not w.endswith(b"*"))
-        self.begun = frozenset(alike(w[:-1]) for w in words if w.endswith(b"*"))
-        self.beginnings = sorted({len(w) for w in self.begun})
-        self.longest = max(map(len, self.whole), default=0)
+        split = [f.encode() for f in sorted(sure)]
+        self.whole = frozenset(alike(w) for w in split if not w.endswith(b"*"))
+        self.begun = frozenset(alike(w[:-1]) for w in split if w.endswith(b"*"))
+        telling = self.whole | self.begun
+        self.prefixes = frozenset(w[:n] for w in telling for n in range(1, len(w) + 1))
+        #: What a telling word may begin with (letters and digits only) before its last piece.
+        self.openings = frozenset(w[:n] for w in telling for n in range(1, len(w)) if w[:n].isalnum())
+        self.opens: dict[bytes, bytes] = {}
+        self.bones = frozenset(skeleton(w) for w in words if not w.endswith(b"*"))
+        self.first_bones = frozenset(skeleton(w[:-1]) for w in words if w.endswith(b"*"))
+        self.bone_sizes = sorted({len(w) for w in self.first_bones})
+
+    def _may_tell(self, core: bytes) -> bool:
+        """Whether some reading of the core can be a telling word."""
+        letters = skeleton(core)
+        if letters in self.bones:
+            return True
+        for size in self.bone_sizes:
+            if letters[:size] in self.first_bones:
+                return True
+        return False
 
     def _read(self, token: bytes) -> tuple:
-        if b" " in token:
-            pieces = token.decode("utf-8", "replace").split()
-            read = decode_pieces(pieces, 0.0 if max(map(len, pieces)) == 1 else DROP_COST, self.model)
-        else:
-            read = [restore(token, self.model)]
-            if _PAIR.search(token) and _PLAIN.match(core := token.rstrip(_EDGES).lstrip(_LEADING)):
-                read.append(core.decode("utf-8", "replace"))  # a pair may be right
-        found = tuple({f: None for word in read for f in features(word)})
-        if self.known is not None:
-            found = tuple(self.known[f] for f in found if f in self.known)
+        found, core = (), b"" if b" " in token else core_of(token)
+        if not core or self.known is None or self._may_tell(core):
+            if b" " in token:
+                pieces = token.decode("utf-8", "replace").split()
+                read = decode_pieces(pieces, 0.0 if max(map(len, pieces)) == 1 else DROP_COST, self.model)
+            else:
+                read = [restore(core, self.model)]
+                if _PAIR.search(token) and _PLAIN.match(core):
+                    read.append(core.decode("utf-8", "replace"))  # a pair may be right
+            found = tuple({f: None for word in read for f in features(word)})
+            if self.known is not None:
+                found = tuple(self.known[f] for f in found if f in self.known)
         if len(self.seen) >= REMEMBERED:
             self.seen.clear()
         self.seen[token] = found
         return found
 
-    def _split_words(self, tokens: list[bytes]) -> Iterator[bytes]:
-        """Neighbouring pieces that a telling word can be split into, a space between each two."""
-        keys = [alike(t) for t in tokens]
-        for at in range(len(tokens) - 1):
-            begin = tokens[at].lstrip(_LEADING)
-            joined = keys[at] if len(begin) == len(tokens[at]) else alike(begin)
-            if len(joined) >= self.longest or not joined.isalnum():
-                continue
+    def _openers(self, tokens: set[bytes]) -> dict[bytes, bytes]:
+        """Of the tokens with which a telling word may begin, what they give it."""
+        seen, out = self.opens, {}
+        for token in tokens:
+            key = seen.get(token)
+            if key is None:
+                key = alike(token.lstrip(_LEADING))
+                if key not in self.openings:
+                    key = b""
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen[token] = key
+            if key:
+                out[token] = key
+        return out
+
+    def _split_words(self, tokens: list[bytes], distinct: set[bytes]) -> Iterator[bytes]:
+        """Neighbouring pieces that a telling word can be split into, a space between each two.
+
+        Pieces are joined as long as some telling word begins with them.
+        """
+        prefixes, begun, openers = self.prefixes, self.begun, self._openers(distinct)
+        for at in [i for i, token in enumerate(tokens[:-1]) if token in openers]:
+            joined = openers[tokens[at]]
             for end in range(at + 1, len(tokens)):
-                last = tokens[end].rstrip(_EDGES)  # a mark at the end may be a letter or close the word
-                for token, key in ((tokens[end], keys[end]), *([(last, alike(last))] if len(last) < len(tokens[end]) else [])):
-                    whole = joined + (key[1:] if joined[-1:] == key[:1] else key)
-                    if whole in self.whole or any(whole[:n] in self.begun for n in self.beginnings if len(joined) < n <= len(whole)):
-                        yield b" ".join([begin, *tokens[at + 1 : end], token])
-                joined += keys[end][1:] if joined[-1:] == keys[end][:1] else keys[end]
-                if len(joined) >= self.longest or not joined.isalnum():
+                token = tokens[end]
+                first = _ALIKE[token[0] : token[0] + 1]
+                if first != joined[-1:] and joined + first not in prefixes:
+                    break
+                key = alike(token)
+                rest = key[1:] if joined[-1:] == key[:1] else key
+                one = joined + rest[:1]
+                if rest and joined + rest[:2] not in prefixes and one not in begun and one not in self.whole:
+                    break
+                last = token.rstrip(_EDGES)  # a mark at the end may be a letter or close the word
+                for piece in (token, last) if len(last) < len(token) else (token,):
+                    own = key if piece is token else alike(piece)
+                    whole = joined + (own[1:] if joined[-1:] == own[:1] else own)
+                    size = len(joined)
+                    while size < len(whole) and whole[: size + 1] in prefixes and whole[: size + 1] not in begun:
+                        size += 1
+                    if whole in self.whole or size < len(whole) and whole[: size + 1] in begun:
+                        yield b" ".join([tokens[at].lstrip(_LEADING), *tokens[at + 1 : end], piece])
+                joined += rest
+                if joined not in self.openings:
                     break
 
     def features(self, text: bytes) -> set:
         text = text.translate(LOWER)
         ordered = text.split()
-        tokens = set(ordered)
+        distinct = set(ordered)
+        tokens = set(distinct)
         spaced = spaced_words(text)
         tokens.update(spaced)
         tokens.update(b" ".join(x[i : i + 1] for i in range(len(x))) for x in spaced)
-        if self.longest:
-            tokens.update(self._split_words(ordered))
+        if self.openings:
+            tokens.update(self._split_words(ordered, distinct))
         seen, out = self.seen, set()
         for token in tokens:
             found = seen.get(token)
@@ -243,18 +307,19 @@ class Reader:
 
 @dataclass(frozen=True)
 class Model:
-    """Character model, words with weights, bias."""
+    """Character model, words with weights, those of them sought in split writing, bias."""
 
     name: str
     characters: CharacterModel
     known: dict[str, int]
+    sure: frozenset[str]
     weights: np.ndarray
     bias: float
 
 
 def _reader(model: Model) -> Reader:
     """One reader for each worker and model, so that tokens stay known between tasks."""
-    return held(model.name, lambda: Reader(model.characters, model.known))
+    return held(model.name, lambda: Reader(model.characters, model.known, model.sure))
 
 
 def _toxic_words(sample: DataFrame, characters: CharacterModel) -> DataFrame:
@@ -280,6 +345,17 @@ def _toxic_words(sample: DataFrame, characters: CharacterModel) -> DataFrame:
     return counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
 
 
+def _ratio(all_rows: int, all_toxic: int) -> Column:
+    """Likelihood ratio statistic of a word's rows against toxic rows."""
+    word, toxic = F.col("rows"), F.col("toxic")
+    cells = [
+        (toxic, word * F.lit(all_toxic / all_rows)), (word - toxic, word * F.lit(1 - all_toxic / all_rows)),
+        (F.lit(all_toxic) - toxic, (F.lit(all_rows) - word) * F.lit(all_toxic / all_rows)),
+        (F.lit(all_rows - all_toxic) - word + toxic, (F.lit(all_rows) - word) * F.lit(1 - all_toxic / all_rows)),
+    ]
+    return 2 * sum((F.when((seen > 0) & (fair > 0), seen * F.log(seen / fair)).otherwise(0.0) for seen, fair in cells), F.lit(0.0))
+
+
 def _sample_rows(sample: DataFrame, model: Model) -> DataFrame:
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -300,24 +376,23 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep=
     characters = CharacterModel(character_counts(documents))
     sample = labelled_texts(documents, sampled_labels(labels, "toxic", rows, keep))
     totals = sample.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
-    all_rows, all_toxic = totals.n, totals.toxic or 0
+    all_rows, all_toxic = max(totals.n, 1), totals.toxic or 0
     odds = F.log((F.col("toxic") + 0.5) / (all_toxic + 1)) - F.log((F.col("rows") - F.col("toxic") + 0.5) / (all_rows - all_toxic + 1))
-    telling = (
-        _toxic_words(sample, characters).withColumn("odds", odds)
-        .where((F.col("toxic") >= MIN_TOXIC_ROWS) & (F.col("odds") > 1))
-        .withColumn("gain", F.col("odds") * F.col("toxic"))
-        .orderBy(F.desc("gain"), "feature").limit(MAX_FEATURES)
-    )
-    known = {r.feature: i for i, r in enumerate(telling.select("feature").collect())}
+    counted = staged(_toxic_words(sample, characters), "toxic-words")
+    surprise = 2 * math.log(max(counted.count(), 1) / CHANCE)
+    telling = counted.where((F.col("toxic") >= MIN_TOXIC_ROWS) & (odds > MIN_ODDS)).orderBy("feature")
+    words = telling.select("feature", (_ratio(all_rows, all_toxic) > surprise).alias("sure")).collect()  # of at most ``rows`` texts
+    known = {r.feature: i for i, r in enumerate(words)}
+    sure = frozenset(r.feature for r in words if r.sure)
     name = xxhash.xxh64_hexdigest(repr((sorted(known), float(characters.cost.sum()))))
-    blank = Model(name, characters, known, np.zeros(len(known)), 0.0)
+    blank = Model(name, characters, known, sure, np.zeros(len(known)), 0.0)
     got = sorted((r.label, r.found) for r in _sample_rows(sample, blank).collect())  # bounded by ``rows``
     found = [np.frombuffer(x, "<i4") for _, x in got]
     label = np.array([y for y, _ in got], dtype=np.float64)
     if not known or not 0 < label.sum() < len(label):
-        return Model(name, characters, known, np.zeros(len(known)), math.log((label.sum() + 1) / (len(label) - label.sum() + 1)))
+        return Model(name, characters, known, sure, np.zeros(len(known)), math.log((label.sum() + 1) / (len(label) - label.sum() + 1)))
     weights, bias = fit_sparse([(i, np.ones(len(i))) for i in found], label, len(known), penalty=3e-4, steps=300, rate=0.1, balanced=False)
-    return Model(name, characters, known, weights, bias)
+    return Model(name, characters, known, sure, weights, bias)
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
