@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnstone.operators import scan
-from turnstone.operators.joins import asof_backward, not_in, value_on_first_row
+from turnstone.operators.joins import asof_backward, not_in, value_on_first_row, within_window
 from turnstone.operators.sampling import fill_to, ordered_split
 
 
@@ -67,13 +67,13 @@ def test_midpoint_of_four_values(frame):
     assert got == 3.0
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "month"])
-def test_asof_matches_merge_asof(spark, rows, bucket):
+@pytest.mark.parametrize("size", [40, 500, 10**6])
+def test_asof_matches_merge_asof(spark, rows, size):
     left = rows[rows.id % 3 == 0].rename(columns={"t": "bought"})[["key", "id", "bought"]]
     right = rows[rows.id % 3 == 1].rename(columns={"t": "called", "v": "score"})[["key", "called", "score"]]
     right = right.sort_values(["called", "score"]).drop_duplicates(["key", "called"], keep="last")
     got = asof_backward(
-        spark.createDataFrame(left), spark.createDataFrame(right), "key", "bought", "called", bucket, ["score"]
+        spark.createDataFrame(left), spark.createDataFrame(right), "key", "bought", "called", size, ["score"]
     ).toPandas().sort_values("id")
     want = pd.merge_asof(left.sort_values("bought"), right.sort_values("called"), left_on="bought", right_on="called", by="key").sort_values("id")
     assert got["called"].astype("datetime64[ns]").fillna(pd.Timestamp(0)).tolist() == want["called"].astype("datetime64[ns]").fillna(pd.Timestamp(0)).tolist()
@@ -133,14 +133,41 @@ def test_null_keys_form_a_group(frame):
 
 
 def test_buckets_follow_the_data_and_cut_a_hot_key(spark, rows):
-    df = spark.createDataFrame(rows)
+    last = pd.DataFrame({"key": ["hot", "3"], "id": [9000, 9001], "t": pd.to_datetime(["2261-12-31", None]), "v": [1.0, 2.0]})
+    all_rows = pd.concat([rows, last])  # one time far off, one missing
+    df = spark.createDataFrame(all_rows)
     bucket = scan.even_buckets(df, scan.seconds("t"), rows=200)
-    sizes = [r["count"] for r in df.groupBy(bucket).count().collect()]
-    assert max(sizes) <= 200 and len(sizes) <= 3 * len(rows) / 200
+    placed = bucket.of(df, "b")
+    sizes = [r["count"] for r in placed.groupBy("b").count().collect()]
+    hot = [r["count"] for r in placed.where("key = 'hot'").groupBy("b").count().collect()]
+    assert max(sizes) <= 400 and len(bucket.borders) == 15 and max(hot) <= 400 < sum(hot) / 3
     got = scan.row_numbers(df, ["key"], ["t", "id"], bucket, "n").toPandas().sort_values("id")
-    want = rows.sort_values(["key", "t", "id"])
+    want = all_rows.sort_values(["key", "t", "id"], na_position="first")
     want["n"] = want.groupby("key").cumcount() + 1
     np.testing.assert_array_equal(got["n"], want.sort_values("id")["n"])
     for value in (F.lit(None).cast("double"), F.lit(3)):
-        assert df.groupBy(scan.even_buckets(df, value, rows=200)).count().count() == 1
-    assert scan.even_buckets(df.limit(0), F.col("v")) is not None
+        assert scan.even_buckets(df, value, rows=200).of(df, "b").select("b").distinct().count() <= 2
+    assert scan.even_buckets(df.limit(0), F.col("v")).borders == []
+
+
+def test_ranks_and_quantiles_over_sketched_borders(spark, rows):
+    df = spark.createDataFrame(rows)
+    bucket = scan.even_buckets(df, F.col("v"), rows=100)
+    assert len(bucket.borders) > 5
+    got = scan.rank_by_value(df, ["key"], "v", bucket, "average", True).toPandas().sort_values("id")
+    np.testing.assert_allclose(got["rank"].astype(float), rows.groupby("key")["v"].rank("average", ascending=False))
+    q = scan.exact_quantiles(df, ["key"], "v", {"q": 0.3}, bucket).toPandas().set_index("key")["q"].sort_index()
+    np.testing.assert_allclose(q, rows.groupby("key")["v"].quantile(0.3).sort_index())
+
+
+@pytest.mark.parametrize("size", [50, 10**6])
+def test_windows_meet_facts_by_key_and_stretch(spark, rows, size):
+    facts = spark.createDataFrame(rows)
+    draw = np.random.default_rng(3)
+    some = rows.sample(60, random_state=1)[["key", "t"]].reset_index(drop=True)
+    windows = pd.DataFrame({"key": some["key"], "w": np.arange(60), "low": some["t"], "high": some["t"] + pd.to_timedelta(draw.integers(-2, 40, 60), unit="D")})
+    frame = spark.createDataFrame(windows).unionByName(spark.createDataFrame([("hot", 99, None, None)], "key string, w long, low timestamp, high timestamp"))
+    got = within_window(facts, frame, "key", "t", "low", "high", size).select("w", "id").toPandas()
+    both = rows.merge(windows, on="key")
+    want = both[(both["t"] >= both["low"]) & (both["t"] <= both["high"])]
+    assert sorted(zip(got.w, got.id)) == sorted(zip(want.w, want.id)) and len(want) > 1000

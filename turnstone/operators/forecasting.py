@@ -181,7 +181,7 @@ def combine_forecasts(parts: Mapping[str, DataFrame], event: str, value: str) ->
 
 
 def simulate_types(
-    seats: DataFrame, event: str, plan_growth: Column, score: str, bucket: Column
+    seats: DataFrame, event: str, plan_growth: Column, score: str, bucket
 ) -> DataFrame:
     """Current seats per type, and open seats given to the types they are predicted to become.
 

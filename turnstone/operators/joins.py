@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.operators.scan import prefix_scan
+from turnstone.operators.scan import ROWS_PER_BUCKET, even_buckets, prefix_scan, seconds
 
 
 def exists_flag(df: DataFrame, other: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -40,20 +40,33 @@ def point_in_time(facts: DataFrame, cutoffs: DataFrame, key: str, when: str, cut
     return joined.where(F.col(when) <= F.coalesce(F.col(cutoff), F.lit(as_of)))
 
 
-def within_window(facts: DataFrame, windows: DataFrame, key: str, when: str, start: str, end: str) -> DataFrame:
-    """Facts inside their key's [start, end] window; equi join with a range residual."""
-    return facts.join(windows, key).where(F.col(when).between(F.col(start), F.col(end)))
+def within_window(
+    facts: DataFrame, windows: DataFrame, key: str, when: str, start: str, end: str, rows: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Facts inside their key's [start, end] window.
+
+    Time is cut at borders that leave about ``rows`` facts between two of them.  A window goes to each
+    stretch it touches, so facts and windows meet by (key, stretch) and a hot key is spread; a fact
+    lies in one stretch, so no pair comes twice.
+    """
+    cells = even_buckets(facts, seconds(F.col(when)), rows)
+    if not cells.borders:
+        return facts.join(windows, key).where(F.col(when).between(F.col(start), F.col(end)))
+    touched = cells.of(cells.of(windows, "_from", seconds(F.col(start))), "_to", seconds(F.col(end))).where("_from <= _to")
+    spread = touched.withColumn("_cell", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
+    met = cells.of(facts, "_cell").join(spread, [key, "_cell"]).drop("_cell")
+    return met.where(F.col(when).between(F.col(start), F.col(end)))
 
 
 def asof_backward(
-    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, bucket: str = "month",
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, rows: int = ROWS_PER_BUCKET,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Last ``right`` row at or before each ``left`` row of the same key.
 
     Both sides are stacked on one time axis and the latest right-hand row is
-    carried forward by the bucketed scan: one pass, no pairs, and a hot key is
-    spread over its time buckets.  ``left`` rows without a match stay, with nulls.
+    carried forward by the bucketed scan: one pass, no pairs, and a hot key is spread over
+    stretches of time of about ``rows`` rows each.  ``left`` rows without a match stay, with nulls.
     """
     lcols = [c for c in left.columns if c != key]
     packed = F.struct(F.col(right_time).alias("t"), *[F.col(c) for c in carry])
@@ -68,7 +81,7 @@ def asof_backward(
     )
     stacked = lrows.unionByName(rrows, allowMissingColumns=True)
     scanned = prefix_scan(
-        stacked, [key], ["_t", "_side"], F.date_trunc(bucket, F.col("_t")), maxes={"_last": F.col("_match")}
+        stacked, [key], ["_t", "_side"], even_buckets(stacked, seconds(F.col("_t")), rows), maxes={"_last": F.col("_match")}
     )
     matched = scanned.where(F.col("_side") == 1).select(
         key, *[F.col(f"_row.{c}").alias(c) for c in lcols],

@@ -1,4 +1,4 @@
-"""Models on Spark ML, and their evaluation.
+"""Models and their evaluation: trees and linear models by Spark ML, the others by passes over packed blocks.
 
 Training runs on the executors; only coefficients, metrics and class lists reach
 the driver.
@@ -14,18 +14,17 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, MinMaxScaler, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.functions.scalars import clamp, log_or_zero, ratio
+from turnstone.operators import kernel, kmeans, logistic, network
 from turnstone.operators.sampling import keyed_random
 from turnstone.operators.scan import counted_values
+from turnstone.session import cut_lineage
 
 SEED = 1993
 
@@ -125,7 +124,52 @@ def price_table(
     return model.transform(vectors(latest, features, "_x", means)).groupBy(event).pivot(code, list(codes)).agg(F.first("predicted"))
 
 
+def kernel_regression_by_group(
+    train: DataFrame, rows: DataFrame, group: str, groups: Sequence[str], features: Sequence[str], target: str, capacity: str | None = None, kind: str = "rbf"
+) -> DataFrame:
+    """Kernel regression of the log target with an insensitive band, a model for each listed group; predictions on the target's scale."""
+    scaled = lambda df: standardise(train, df.withColumns({f"_raw_{f}": F.col(f) for f in features}), features)
+    model = kernel.fit(scaled(train).withColumn("_y", F.log1p(F.col(target).cast("double"))), features, "_y", group, groups, kind)
+    out = kernel.predict(model, scaled(rows.where(F.col(group).isin(*groups))), features, group, "_p")
+    value = F.expm1("_p")
+    keep = [F.col(f"_raw_{x}").alias(x) if x in features else F.col(x) for x in rows.columns]
+    return out.select(*keep, (clamp(value, capacity) if capacity else F.greatest(value, F.lit(0.0))).alias("predicted"))
+
+
+def network_log_regression(train: DataFrame, rows: DataFrame, features: Sequence[str], target: str, hidden: Sequence[int] = (100,), alpha: float = 1e-3) -> DataFrame:
+    """A network with one hidden layer on the log target; predictions on the target's scale."""
+    model = network.fit(train.withColumn("_y", log_or_zero(target)), features, "_y", hidden, alpha)
+    return network.predict(model, rows, features, "_p").withColumn("predicted", F.exp("_p")).drop("_p")
+
+
+def network_price_table(
+    prices: DataFrame, event: str, code: str, days_out: str, features: Sequence[str], target: str, codes: Sequence[str], hidden: Sequence[int] = (36, 18, 6)
+) -> tuple[DataFrame, DataFrame]:
+    """Predicted price of each event's latest row per code, one column per code; and all rows with draw ``_u`` and prediction.
+
+    Rows with a draw of 0.8 or more are not trained on.
+    """
+    drawn = prices.withColumn("_u", keyed_random([event, code, days_out], SEED))
+    model = network.fit(drawn.where(F.col("_u") < 0.8), features, target, hidden, scale="range")
+    latest = prices.groupBy(event, code).agg(F.min_by(F.struct(*features), days_out).alias("_f")).select(
+        event, code, *[F.col(f"_f.{f}").alias(f) for f in features if f not in (event, code)])
+    table = network.predict(model, latest, features).groupBy(event).pivot(code, list(codes)).agg(F.first("predicted"))
+    return table, network.predict(model, drawn, features)
+
+
 # --- classification ----------------------------------------------------------------------
+def standardise_by(train: DataFrame, rows: DataFrame, group: str, groups: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Features of ``rows`` by the mean and population deviation of their group's training rows; other groups are left out."""
+    stats = {r[group]: r for r in train.where(F.col(group).isin(*groups)).groupBy(group).agg(
+        *[F.avg(f).alias(f"m_{f}") for f in features], *[F.stddev_pop(f).alias(f"d_{f}") for f in features]).collect()}
+
+    def scaled(f: str):
+        each = [F.when(F.col(group) == g, (F.col(f) - F.lit(r[f"m_{f}"])) / F.lit(r[f"d_{f}"] or 1.0)) for g, r in stats.items()]
+        return F.coalesce(*each, F.lit(0.0))
+
+    return rows.where(F.col(group).isin(*groups)).withColumns({f: scaled(f) for f in features})
+
+
 def logistic_scores(
     train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, weights: Sequence[float] | None = None,
     class_weight: str | None = None, c: float = 1.0,
@@ -135,33 +179,53 @@ def logistic_scores(
     The fit is deterministic, so the mean of repeated fits is one fit.  The penalty
     matches an inverse strength ``c`` on the summed loss.
     """
-    model, scaled = fit_logistic(train, features, label, weights, class_weight, c)
-    new = vectors(standardise(train, rows.withColumns({f"_raw_{f}": F.col(f) for f in features}), features, weights), features, "_x")
-    out = model.transform(new)
+    one = lambda df: df.withColumn("_one", F.lit("one"))
+    return logistic_scores_by(one(train), one(rows), "_one", {"one": weights or [1.0] * len(features)}, features, label, class_weight, c).drop("_one")
+
+
+def logistic_scores_by(
+    train: DataFrame, rows: DataFrame, group: str, weights: Mapping[str, Sequence[float]], features: Sequence[str], label: str,
+    class_weight: str | None = None, c: float = 1.0,
+) -> DataFrame:
+    """``logistic_scores`` for each listed group with feature weights of its own; the fits share their passes."""
+    groups = list(weights)
+    solved, _ = _fit_by(train, group, weights, features, label, class_weight, c)
+    raw = rows.withColumns({f"_raw_{f}": F.col(f) for f in features})
+    new = standardise_by(train, raw, group, groups, features)
+    chance = F.coalesce(*[F.when(F.col(group) == g, logistic.probability(features, p, weights[g])) for g, p in zip(groups, solved.parameters)])
     keep = [F.col(f"_raw_{x}").alias(x) if x in features else F.col(x) for x in rows.columns]
-    return out.select(*keep, vector_to_array("_prob")[1].alias("probability"))
+    return new.select(*keep, chance.alias("probability"))
 
 
-def fit_logistic(train, features, label, weights=None, class_weight=None, c=1.0):
-    scaled = standardise(train, train, features, weights)
-    if class_weight == "balanced":
-        share = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
-        scaled = scaled.withColumn("_w", F.when(F.col(label) == 1, 0.5 / share).otherwise(0.5 / (1 - share)))
-    else:
-        scaled = scaled.withColumn("_w", F.lit(1.0))
-    data = vectors(scaled, features, "_x").select("_x", F.col(label).cast("double").alias("_y"), "_w")
-    with held(data) as fitted:
-        n = fitted.count()
-        model = LogisticRegression(
-            featuresCol="_x", labelCol="_y", weightCol="_w", probabilityCol="_prob", rawPredictionCol="_raw", predictionCol="_pred",
-            regParam=1.0 / (c * max(n, 1)), standardization=False).fit(fitted)
-    return model, scaled
+def _fit_by(train, group, weights, features, label, class_weight=None, c=1.0):
+    groups = list(weights)
+    member = F.array_position(F.array(*[F.lit(g) for g in groups]), F.col(group)) - 1
+    with logistic.Trainer(standardise_by(train, train, group, groups, features), features, label, member, len(groups)) as trainer:
+        return trainer.fit([logistic.Fit((i,), c, "l2", class_weight, tuple(map(float, weights[g]))) for i, g in enumerate(groups)])
+
+
+def first_order(
+    train: DataFrame, group: str, weights: Mapping[str, Sequence[float]], features: Sequence[str], label: str, c: float = 1.0
+) -> DataFrame:
+    """Rows of each group and how far its fit is from the optimum, from the scored training rows.
+
+    ``excess``: probabilities minus labels, added up; ``pull``: the largest sum of residual times feature plus penalty.
+    """
+    solved, _ = _fit_by(train, group, weights, features, label, c=c)
+    scaled = standardise_by(train, train, group, list(weights), features)
+    chance = F.coalesce(*[F.when(F.col(group) == g, logistic.probability(features, p, weights[g])) for g, p in zip(weights, solved.parameters)])
+    rest = (chance - F.col(label).cast("double")).alias("_r")
+    sums = scaled.select(group, rest, *features).groupBy(group).agg(
+        F.count("*").alias("n"), F.sum("_r").alias("excess"), *[F.sum(F.col("_r") * F.coalesce(F.col(f), F.lit(0.0))).alias(f"_{f}") for f in features])
+    pulls = [F.when(F.col(group) == g, F.greatest(F.lit(0.0), *[
+        F.abs(F.lit(float(w * c)) * F.col(f"_{f}") + F.lit(float(b))) for f, w, b in zip(features, weights[g], p)])) for g, p in zip(weights, solved.parameters)]
+    return sums.select(group, "n", "excess", F.coalesce(*pulls).alias("pull"))
 
 
 def coefficient_table(train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Coefficient and odds ratio per feature."""
-    model, _ = fit_logistic(train, features, label)
-    rows = [(f, float(b)) for f, b in zip(features, model.coefficients.toArray())]
+    solved, _ = _fit_by(train.withColumn("_one", F.lit("one")), "_one", {"one": [1.0] * len(features)}, features, label)
+    rows = [(f, float(b)) for f, b in zip(features, solved.parameters[0])]
     return train.sparkSession.createDataFrame(rows, "feature string, coefficient double").withColumn("odds_ratio", F.exp("coefficient"))
 
 
@@ -212,19 +276,23 @@ def _classes(learner, train, rows, features, label, classes):
 
 
 # --- clustering -----------------------------------------------------------------------------
-def clusters(df: DataFrame, features: Sequence[str], k: int, name: str = "cluster", seed: int = 1693) -> DataFrame:
-    """KMeans on standardised features."""
-    scaled = standardise(df, df.withColumns({f"_raw_{f}": F.col(f) for f in features}), features)
-    data = vectors(scaled, features, "_x")
-    with held(data.select("_x")) as fitted:
-        model = KMeans(k=k, seed=seed, featuresCol="_x", predictionCol=name).fit(fitted)
-    out = model.transform(data)
+def clusters(df: DataFrame, features: Sequence[str], k: int, name: str = "cluster", seed: int = 1693, starts: int = kmeans.STARTS) -> DataFrame:
+    """KMeans on standardised features: the best of many starts."""
+    return _placed(df.withColumn("_one", F.lit("one")), "_one", ["one"], features, k, name, seed, starts).drop("_one")
+
+
+def _placed(df, group, groups, features, k, name, seed, starts):
+    raw = df.withColumns({f"_raw_{f}": F.col(f) for f in features})
+    scaled = standardise_by(df, raw, group, groups, features)
+    out = kmeans.place(scaled, features, kmeans.fit(scaled, features, k, group, groups, starts, seed), group, name)
     return out.select(*[F.col(f"_raw_{c}").alias(c) if c in features else F.col(c) for c in df.columns], name)
 
 
-def ranked_clusters(df: DataFrame, groups: Sequence[str], group: str, features: Sequence[str], worth: str, k: int) -> DataFrame:
-    """KMeans per group, clusters renamed by the rank of their mean worth so labels agree across groups."""
-    parts = reduce(DataFrame.unionByName, concurrently(lambda g: clusters(df.where(F.col(group) == g), features, k, "_c"), groups))
+def ranked_clusters(
+    df: DataFrame, groups: Sequence[str], group: str, features: Sequence[str], worth: str, k: int, seed: int = 1693, starts: int = kmeans.STARTS
+) -> DataFrame:
+    """KMeans per group in shared passes, clusters renamed by the rank of their mean worth so labels agree across groups."""
+    parts = cut_lineage(_placed(df, group, groups, features, k, "_c", seed, starts))
     means = parts.groupBy(group, "_c").agg(F.avg(worth).alias("_worth"))
     # k rows per group: the rank is a count over k values
     better = means.select(group, F.col("_worth").alias("_other"))
@@ -232,15 +300,30 @@ def ranked_clusters(df: DataFrame, groups: Sequence[str], group: str, features:
     return parts.join(rank, [group, "_c"]).drop("_c")
 
 
-def component_clusters(df: DataFrame, features: Sequence[str], components: int, k: int, seed: int = SEED) -> DataFrame:
-    """Principal components of encoded answers, clustered."""
+def component_clusters(df: DataFrame, features: Sequence[str], components: int, k: int, seed: int = SEED, starts: int = kmeans.STARTS) -> DataFrame:
+    """Principal components of encoded answers, clustered by the best of many starts."""
     data = vectors(df, features, "_x", means_of(df, features))
-    with held(data) as fitted:
+    with held(data.select("_x")) as fitted:
         pca = PCA(k=components, inputCol="_x", outputCol="_pc").fit(fitted)
-        projected = pca.transform(fitted)
-        model = KMeans(k=k, seed=seed, featuresCol="_pc", predictionCol="target").fit(projected.select("_pc"))
-    out = model.transform(pca.transform(data)).withColumn("_a", vector_to_array("_pc"))
-    return out.select(*df.columns, *[F.col("_a")[i].alias(f"pc{i + 1}") for i in range(components)], "target")
+    parts = [f"pc{i + 1}" for i in range(components)]
+    projected = pca.transform(data).withColumn("_a", vector_to_array("_pc")).select(*df.columns, *[F.col("_a")[i].alias(p) for i, p in enumerate(parts)])
+    return kmeans.place(projected, parts, kmeans.fit(projected, parts, k, starts=starts, seed=seed), name="target")
+
+
+def inertia(df: DataFrame, features: Sequence[str], cluster: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows, clusters and summed squared distance to the cluster's mean; ``strays``: rows nearer to another cluster's mean of their keys."""
+    keys = list(keys)
+    means = df.groupBy(*keys, cluster).agg(F.count("*").alias("_n"), F.array(*[F.avg(f) for f in features]).alias("_mean"))
+    all_means = means.groupBy(*keys).agg(F.collect_list(F.struct(F.col(cluster).alias("c"), F.col("_mean").alias("m"))).alias("_all"))  # one entry a cluster
+    rows = df.join(all_means, keys) if keys else df.join(F.broadcast(all_means), F.lit(True))
+    apart = lambda m: sum(((F.col(f) - m[i]) ** 2 for i, f in enumerate(features)), F.lit(0.0))
+    ranked = F.transform("_all", lambda x: F.struct(apart(x["m"]).alias("d"), x["c"].alias("c")))
+    seen = rows.withColumn("_d", ranked).select(
+        *keys, cluster, F.array_min(F.transform("_d", lambda x: x["d"])).alias("least"),
+        F.array_min(F.transform(F.filter("_d", lambda x: x["c"] == F.col(cluster)), lambda x: x["d"])).alias("own"))
+    return seen.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.countDistinct(cluster).alias("clusters"), F.sum("own").alias("inertia"),
+        F.count_if(F.col("own") > F.col("least") * (1 + 1e-6) + 1e-9).alias("strays"))
 
 
 # --- evaluation --------------------------------------------------------------------------------
@@ -277,36 +360,42 @@ def roc_auc(df: DataFrame, label: str, score: str, bucket) -> DataFrame:
     return joined.agg(((F.sum(F.col("pos") * F.col("rank")) - p * (p + 1) / 2) / (p * (n - p))).alias("auc"))
 
 
-def grid_search(train: DataFrame, features: Sequence[str], label: str, strengths: Sequence[float], mixes: Sequence[float], folds: int = 5) -> DataFrame:
-    """Cross-validated accuracy of each logistic setting."""
-    data = vectors(standardise(train, train, features), features, "_x").select("_x", F.col(label).cast("double").alias("_y"))
-    learner = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=25)
-    grid = ParamGridBuilder().addGrid(learner.regParam, list(strengths)).addGrid(learner.elasticNetParam, list(mixes)).build()
-    judge = MulticlassClassificationEvaluator(labelCol="_y", metricName="accuracy")
-    with held(data) as fitted:
-        model = CrossValidator(estimator=learner, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=SEED, parallelism=2).fit(fitted)
-    rows = [(float(g[learner.regParam]), float(g[learner.elasticNetParam]), float(m)) for g, m in zip(grid, model.avgMetrics)]
-    best = max(r[2] for r in rows)
-    return train.sparkSession.createDataFrame(rows, "strength double, mix double, accuracy double").withColumn("is_best", F.col("accuracy") == best)
+def folded(train: DataFrame, features: Sequence[str], folds: int):
+    """Fold number of a row by its features."""
+    return F.pmod(F.xxhash64(F.lit(SEED), *features), F.lit(folds))
+
+
+def grid_search(
+    train: DataFrame, features: Sequence[str], label: str, strengths: Sequence[float], penalties: Sequence[str], class_weights: Sequence[str | None], folds: int = 5
+) -> DataFrame:
+    """Cross-validated accuracy of each logistic setting; all settings and folds are fitted in the same passes."""
+    scaled = standardise(train, train.withColumn("_fold", folded(train, features, folds)), features)
+    settings = [(c, p, w) for c in strengths for p in penalties for w in class_weights]
+    plan = [(logistic.Fit(tuple(m for m in range(folds) if m != f), c, p, w), f) for c, p, w in settings for f in range(folds)]
+    with logistic.Trainer(scaled, features, label, F.col("_fold"), folds) as trainer:
+        solved, fits = trainer.fit([one for one, _ in plan])
+        right = trainer.accuracy(solved, fits, [f for _, f in plan]).reshape(len(settings), folds).mean(1)
+    gap = solved.gap.reshape(len(settings), folds).max(1)
+    rows = [(float(c), p, w or "none", float(a), bool(a == right.max()), bool(g <= 1e-5), solved.passes) for (c, p, w), a, g in zip(settings, right, gap)]
+    return train.sparkSession.createDataFrame(rows, "strength double, penalty string, class_weight string, accuracy double, is_best boolean, at_optimum boolean, passes int")
 
 
 def eliminate_features(train: DataFrame, features: Sequence[str], label: str, folds: int = 5) -> DataFrame:
-    """Drop the weakest coefficient step by step; accuracy per number of features by cross-validation."""
-    scaled = standardise(train, train, features).select(*features, F.col(label).cast("double").alias("_y"))
-    split = scaled.withColumn("_fold", F.pmod(F.xxhash64(F.lit(SEED), *features), F.lit(folds)))
-    left, rows = list(features), []
-    with held(split) as data:
-        while left:
-            def fit(part: DataFrame):
-                return LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=25).fit(vectors(part, left, "_x").select("_x", "_y"))
-
-            scores = []
-            for f in range(folds):
-                model = fit(data.where(F.col("_fold") != f))
-                out = model.transform(vectors(data.where(F.col("_fold") == f), left, "_x"))
-                scores.append(out.agg(F.avg((F.col("prediction") == F.col("_y")).cast("double"))).first()[0] or 0.0)
-            sizes = fit(data).coefficients.toArray()
-            weakest = min(range(len(left)), key=lambda i: (abs(sizes[i]), i))
-            rows.append((len(left), sum(scores) / folds, left[weakest], ",".join(left)))
-            left.pop(weakest)
-    return train.sparkSession.createDataFrame(rows, "n_features int, accuracy double, dropped string, kept string")
+    """Drop the weakest coefficient step by step; accuracy per number of features by cross-validation.
+
+    Each fold and the whole table eliminate for themselves, side by side; the names are those of the whole table.
+    """
+    scaled = standardise(train, train.withColumn("_fold", folded(train, features, folds)), features)
+    members = [tuple(m for m in range(folds) if m != f) for f in range(folds)] + [tuple(range(folds))]
+    left, rows, start = [list(range(len(features))) for _ in members], [], None
+    with logistic.Trainer(scaled, features, label, F.col("_fold"), folds) as trainer:
+        while left[-1]:
+            fits = [logistic.Fit(m, scales=tuple(float(i in own) for i in range(len(features)))) for m, own in zip(members, left)]
+            solved, made = trainer.fit(fits, start)
+            right = trainer.accuracy(solved, made, [*range(folds), 0])[:folds]
+            weakest = [min(own, key=lambda i, p=p: (abs(p[i]), i)) for own, p in zip(left, solved.parameters)]
+            rows.append((len(left[-1]), float(right.mean()), features[weakest[-1]], ",".join(features[i] for i in left[-1]), bool(solved.gap.max() <= 1e-5)))
+            for own, i in zip(left, weakest):
+                own.remove(i)
+            start = solved.parameters
+    return train.sparkSession.createDataFrame(rows, "n_features int, accuracy double, dropped string, kept string, at_optimum boolean")

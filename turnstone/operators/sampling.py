@@ -50,7 +50,7 @@ def keyed_split(df: DataFrame, keys: Sequence[str], share: float, seed: int) ->
     return df.withColumn("part", F.when(keyed_random(keys, seed) < share, "train").otherwise("test"))
 
 
-def ordered_split(df: DataFrame, order: str, share: float, bucket: Column) -> DataFrame:
+def ordered_split(df: DataFrame, order: str, share: float, bucket) -> DataFrame:
     """Unshuffled split: the first ``share`` of rows in order are the training rows.
 
     The cut is the exact value at that rank, so no row is numbered globally.

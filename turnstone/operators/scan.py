@@ -2,7 +2,7 @@
 
 A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task, so one
 key holding a third of the table holds a third of the work.  Here the ordered
-axis is cut into buckets (a month, a price step): rows are windowed within
+axis is cut into buckets (borders of a quantile sketch, or a month): rows are windowed within
 (key, bucket), each bucket is reduced to one row, and the running value of the
 buckets before is joined on.  Only bucket totals, never raw rows, are windowed
 per key.
@@ -10,39 +10,54 @@ per key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
-#: Cells of the histogram that buckets are made of; the driver sees no more counts than that.
-CELLS = 1 << 14
+#: Rows of a bucket, and buckets of a table at most; beyond, buckets grow with the table.
 ROWS_PER_BUCKET = 1_000_000
+MOST_BUCKETS = 4096
 
 
-def even_buckets(df: DataFrame, value: Column, rows: int = ROWS_PER_BUCKET) -> Column:
-    """A non-decreasing bucket of a number, made so that a bucket holds at most ``rows`` rows of ``df``.
+class Buckets:
+    """Borders of a number's range that cut a table into about equally many rows.
 
-    One pass finds the range, another counts the rows of equally wide cells, and
-    neighbouring cells are joined as long as they fit.  So buckets follow the data as it
-    grows, and a key with a third of all rows is cut like the others.  A cell that alone
-    exceeds the bound stays whole.  Null values are a bucket before all others.
+    They come from a mergeable quantile sketch of one pass, so neither an outlier nor a dense spot
+    unbalances them; only rows of one value stay together.  A bucket is a non-decreasing function of the
+    value, also of values beyond those seen; null values are a bucket of their own.
     """
-    value = value.cast("double")
-    seen = df.agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).first()
-    if seen["n"] <= rows or seen["low"] is None or seen["low"] == seen["high"]:
-        return F.when(value.isNotNull(), 0)
-    cells = int(min(CELLS, 64 * -(-seen["n"] // rows)))
-    cell = F.least(F.floor((value - seen["low"]) / (seen["high"] - seen["low"]) * cells), F.lit(cells - 1)).cast("int")
-    counts = {c["cell"]: c["n"] for c in df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).where("cell is not null").collect()}
-    number, held, numbers = 0, 0, []
-    for at in range(cells):
-        if held and held + counts.get(at, 0) > rows:
-            number, held = number + 1, 0
-        held += counts.get(at, 0)
-        numbers.append(number)
-    return F.element_at(F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>"), cell + 1)
+
+    def __init__(self, df: DataFrame, value: Column, rows: int = ROWS_PER_BUCKET):
+        self.value, self.borders = value.cast("double"), []
+        count = df.count()
+        if count > rows:
+            number = min(MOST_BUCKETS, -(-count // rows))
+            shares = [F.lit(i / number) for i in range(1, number)]
+            found = df.agg(F.percentile_approx(self.value, F.array(*shares), max(10_000, 8 * number)).alias("q")).first()["q"]
+            self.borders = sorted({q for q in found or [] if q == q})
+
+    def of(self, df: DataFrame, name: str = BUCKET, value: Column | None = None) -> DataFrame:
+        """Rows with the bucket of their value, or of another number on the same axis."""
+        value = self.value if value is None else value.cast("double")
+        if not self.borders:
+            return df.withColumn(name, F.when(value.isNotNull(), 0))
+        splits = [-math.inf, *self.borders, math.inf]
+        placed = Bucketizer(splits=splits, inputCol="_axis", outputCol="_axis_cell", handleInvalid="keep").transform(df.withColumn("_axis", value))
+        return placed.withColumn(name, F.when(F.col("_axis").isNotNull(), F.col("_axis_cell").cast("int"))).drop("_axis", "_axis_cell")
+
+
+def even_buckets(df: DataFrame, value: Column, rows: int = ROWS_PER_BUCKET) -> Buckets:
+    """Buckets of a number with about ``rows`` rows of ``df`` each."""
+    return Buckets(df, value, rows)
+
+
+def with_bucket(df: DataFrame, bucket: Column | Buckets, name: str = BUCKET) -> DataFrame:
+    """Rows with their bucket: a column, or borders found in the data."""
+    return bucket.of(df, name) if isinstance(bucket, Buckets) else df.withColumn(name, bucket)
 
 
 def seconds(time: Column | str) -> Column:
@@ -61,7 +76,7 @@ def prefix_scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
-    bucket: Column,
+    bucket: Column | Buckets,
     sums: Mapping[str, Column] | None = None,
     maxes: Mapping[str, Column] | None = None,
     exclusive: bool = False,
@@ -75,7 +90,7 @@ def prefix_scan(
     """
     sums, maxes = dict(sums or {}), dict(maxes or {})
     keys = list(keys)
-    rows = df.withColumn(BUCKET, bucket)
+    rows = with_bucket(df, bucket)
     for name, value in {**sums, **maxes}.items():
         rows = rows.withColumn(f"_v_{name}", value)
 
@@ -122,14 +137,14 @@ def _is_struct(df: DataFrame, name: str) -> bool:
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], bucket: Column, name: str = "row_number"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], bucket: Column | Buckets, name: str = "row_number"
 ) -> DataFrame:
     """1, 2, 3, ... per key in the given (total) order."""
     return prefix_scan(df, keys, order, bucket, sums={name: F.lit(1).cast("long")})
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: str, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | Buckets, value: str, name: str
 ) -> DataFrame:
     """The value on the row before (null on the first row of a key)."""
     packed = F.struct(*[F.col(c) for c in order], F.col(value).alias("_value"))
@@ -138,7 +153,7 @@ def previous_value(
 
 
 # --- ranks and exact quantiles over counted values -----------------------------
-def counted_values(df: DataFrame, keys: Sequence[str], value: str, bucket: Column) -> DataFrame:
+def counted_values(df: DataFrame, keys: Sequence[str], value: str, bucket: Column | Buckets) -> DataFrame:
     """Distinct values with their count ``n`` and the running count ``upto``.
 
     Copies collapse in the map-side aggregation, so repeated values cost one row.
@@ -148,7 +163,7 @@ def counted_values(df: DataFrame, keys: Sequence[str], value: str, bucket: Colum
 
 
 def rank_by_value(
-    df: DataFrame, keys: Sequence[str], value: str, bucket: Column, method: str = "max",
+    df: DataFrame, keys: Sequence[str], value: str, bucket: Column | Buckets, method: str = "max",
     descending: bool = False, name: str = "rank",
 ) -> DataFrame:
     """Rank of each row's value within its keys; ties share ``max``, ``min`` or ``average`` rank."""
@@ -165,7 +180,7 @@ def rank_by_value(
 
 
 def values_at_ranks(
-    df: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Callable[[Column], Column]], bucket: Column
+    df: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Callable[[Column], Column]], bucket: Column | Buckets
 ) -> DataFrame:
     """The values at given 0-based ranks per key, one column per rank, and the row count ``_total``.
 
@@ -174,7 +189,7 @@ def values_at_ranks(
     function of the row count.
     """
     keys = list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value, bucket.alias(BUCKET))
+    rows = with_bucket(df.where(F.col(value).isNotNull()), bucket).select(*keys, value, BUCKET)
     histogram = rows.groupBy(*keys, BUCKET).agg(F.count("*").alias("_n"))
     of_key = Window.partitionBy(*(keys or [F.lit(0)]))
     placed = histogram.withColumns({
@@ -196,7 +211,7 @@ def values_at_ranks(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], bucket: Column,
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], bucket: Column | Buckets,
     interpolation: str = "linear",
 ) -> DataFrame:
     """Exact quantiles per key: the values at the two ranks around each position.

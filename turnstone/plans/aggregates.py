@@ -213,14 +213,14 @@ def attendance_count(t):
 def quantiles(t):
     out = scan.exact_quantiles(
         t.orders, ["o_orderpriority"], "o_totalprice", {"q1": 0.25, "q2": 0.5, "q3": 0.75},
-        F.floor(F.col("o_totalprice") / 10000), "midpoint")
+        scan.even_buckets(t.orders, F.col("o_totalprice")), "midpoint")
     return out.withColumns({c: F.round(c, 4) for c in ("q1", "q2", "q3")})
 
 
 @query("a22_quantile_linear", "SELECT ROUND(quantile_cont(l_extendedprice, 0.95), 4) AS p95 FROM lineitem")
 def quantile_linear(t):
-    out = scan.exact_quantiles(
-        t.lineitem.select("l_extendedprice"), [], "l_extendedprice", {"p95": 0.95}, F.floor(F.col("l_extendedprice") / 1000))
+    prices = t.lineitem.select("l_extendedprice")
+    out = scan.exact_quantiles(prices, [], "l_extendedprice", {"p95": 0.95}, scan.even_buckets(prices, F.col("l_extendedprice")))
     return out.withColumn("p95", F.round("p95", 4))
 
 

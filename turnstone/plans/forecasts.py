@@ -11,6 +11,7 @@ from turnstone.operators import forecasting as ops
 from turnstone.operators import windows
 from turnstone.operators.aggregates import strongest_status
 from turnstone.operators.regression import forecast_by_group
+from turnstone.operators.scan import even_buckets
 from turnstone.registry import query
 from turnstone.sources.views import GAMES, LINE_TICKETS, TICKETS, games, line_tickets, tickets
 
@@ -267,7 +268,7 @@ def type_simulation(t):
         F.col("o_orderpriority").alias("ev"), F.col("o_totalprice").alias("score"),
         s.first_match([(F.col("o_orderstatus") == "F", "Plans"), ((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0), "Nightly")], "Not Sold").alias("ticket_type_group"),
         s.first_match([(odd == 0, "Plans"), (odd == 1, "Nightly")], "Not Sold").alias("predicted"))
-    out = ops.simulate_types(seats, "ev", F.lit(0.2), "score", F.floor(F.col("score") / 10000))
+    out = ops.simulate_types(seats, "ev", F.lit(0.2), "score", even_buckets(seats, F.col("score")))
     return out.withColumns({c: F.col(c).cast("double") for c in ("current_tickets", "predicted_additional_tickets")})
 
 

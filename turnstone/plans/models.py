@@ -8,11 +8,12 @@ from turnstone.functions import fixed_values as fixed
 from turnstone.functions import scalars as s
 from turnstone.operators import encoding, neighbours, sampling
 from turnstone.operators import models as ops
-from turnstone.plans.customers import RENEWAL, renewal_table
+from turnstone.operators.scan import even_buckets
+from turnstone.plans.customers import COHORTS, RENEWAL, cohorts, inference_cohort, renewal_table, window_features
 from turnstone.plans.forecasts import GAME_LOG, daily_facts, win_features
 from turnstone.registry import query
 from turnstone.session import cut_lineage
-from turnstone.sources.views import GAMES, games, tickets
+from turnstone.sources.views import GAMES, TICKETS, games, tickets
 
 LEVELS = ["Lowers", "Clubs", "Uppers", "Suites", "Premium"]
 RENEWAL_FEATURES = [
@@ -66,31 +67,62 @@ def boosted_log_seats(t):
 
 @query("m7_price_table")
 def price_table(t):
+    return ops.price_table(price_rows(t), "event_date", "arena_level", "days_out", ["level_num", "days_out", "weekday", "month"], "current_price", LEVELS)
+
+
+@query("m5_kernel_by_level")
+def kernel_by_level(t):
+    rows = level_days(t)
+    out = ops.kernel_regression_by_group(rows.where("start < 1999"), rows.where("start >= 1999"), "arena_level", LEVELS, ["days_out"], "seats", "capacity")
+    return out.select("arena_level", "season", "days_out", "seats", "predicted")
+
+
+@query("m5_polynomial_kernel")
+def polynomial_kernel(t):
+    g = game_rows(t).withColumn("all", F.lit("all"))
+    out = ops.kernel_regression_by_group(
+        g.where("season < '2000-01'"), g.where("season >= '2000-01'"), "all", ["all"], ["tier_num", "week_day", "weekend", "is_premier"], "paid", kind="poly")
+    return out.select("event_date", "paid", "predicted")
+
+
+@query("m6_network_log_seats")
+def network_log_seats(t):
+    g = game_rows(t)
+    out = ops.network_log_regression(g.where("season < '2000-01'"), g.where("season >= '2000-01'"), ["weekend", "tier_num", "week_day", "is_premier"], "paid")
+    return out.select("event_date", "paid", "predicted")
+
+
+def price_rows(t):
     p = tickets(t).where("NOT is_comp").groupBy("event_date", "arena_level", "days_out").agg(
         (F.sum("gross_revenue") / F.sum("paid_seats")).alias("current_price")).withColumns({
             "level_num": s.lookup("arena_level", fixed.LEVEL_NUMBER, 0), "weekday": s.dow0("event_date"), "month": F.month("event_date")})
-    rows = cut_lineage(p.select("event_date", "arena_level", "days_out", "current_price", "level_num", "weekday", "month"))
-    return ops.price_table(rows, "event_date", "arena_level", "days_out", ["level_num", "days_out", "weekday", "month"], "current_price", LEVELS)
+    return cut_lineage(p.select("event_date", "arena_level", "days_out", "current_price", "level_num", "weekday", "month"))
+
+
+@query("m7_network_prices")
+def network_prices(t):
+    return ops.network_price_table(price_rows(t), "event_date", "arena_level", "days_out", ["level_num", "days_out", "weekday", "month"], "current_price", LEVELS)[0]
+
+
+def renewal_weights() -> dict[str, list[float]]:
+    return {plan: [fixed.FEATURE_WEIGHTS[plan].get(f, 1) for f in RENEWAL_FEATURES] for plan in ("Full", "Premier")}
 
 
 @query("m8_logistic_renewal")
 def logistic_renewal(t):
-    """Fitted on the holders of one season, scored on those of the next, a model for each plan."""
-    last, running = renewal_rows(t, "1998-99"), renewal_rows(t, "1999-00")
+    """Fitted on the holders of one season, scored on those of the next, a model for each plan in the same passes."""
+    out = ops.logistic_scores_by(renewal_rows(t, "1998-99"), renewal_rows(t, "1999-00"), "plan", renewal_weights(), RENEWAL_FEATURES, "did_renew")
+    return out.select("buyer", "plan", "did_renew", "probability")
 
-    def fit(plan: str):
-        weights = [fixed.FEATURE_WEIGHTS[plan].get(f, 1) for f in RENEWAL_FEATURES]
-        own = F.col("plan") == plan
-        return ops.logistic_scores(last.where(own), running.where(own), RENEWAL_FEATURES, "did_renew", weights)
 
-    full, premier = ops.concurrently(fit, ("Full", "Premier"))
-    return full.unionByName(premier).select("buyer", "plan", "did_renew", "probability")
+LEAD_FEATURES = ["num_games", "spend"]
 
 
 @query("m9_boosted_lead_scores")
 def boosted_lead_scores(t):
-    rows = renewal_rows(t)
-    out = ops.boosted_scores(rows, rows, RENEWAL_FEATURES, "did_renew")
+    """Fitted on two past cohorts of leads, scored on those of the running season."""
+    past = cut_lineage(cohorts(t).select("buyer", "obs_season", "did_purchase_next_season").join(window_features(t), ["buyer", "obs_season"]))
+    out = ops.boosted_scores(past, inference_cohort(t), LEAD_FEATURES, "did_purchase_next_season")
     edges, labels = fixed.SCORE_EDGES
     return out.select("buyer", "probability", s.cut("probability", edges, labels).alias("prediction_group"))
 
@@ -186,17 +218,25 @@ def report(t):
   WITH {EVALUATED}, r AS (SELECT y, RANK() OVER (ORDER BY score) + (COUNT(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE AS rk FROM ev)
   SELECT ROUND((SUM(CASE WHEN y = 1 THEN rk END) - SUM(y) * (SUM(y) + 1) / 2.0::DOUBLE) / (SUM(y)::DOUBLE * (COUNT(*) - SUM(y))), 8) AS auc FROM r""")
 def roc_auc(t):
-    return ops.roc_auc(evaluated(t), "y", "score", F.floor("score")).withColumn("auc", F.round("auc", 8))
+    rows = evaluated(t)
+    return ops.roc_auc(rows, "y", "score", even_buckets(rows, F.col("score"))).withColumn("auc", F.round("auc", 8))
+
+
+GRID = [0.1, 1.0, 10.0, 100.0]
+
+
+def grid(t):
+    return ops.grid_search(renewal_rows(t), RENEWAL_FEATURES, "did_renew", GRID, ["l1", "l2", "elasticnet"], [None, "balanced"])
 
 
 @query("m16_grid_search")
 def grid_search(t):
-    return ops.grid_search(renewal_rows(t), RENEWAL_FEATURES, "did_renew", [0.001, 0.01, 0.1, 1.0], [0.0, 0.5, 1.0])
+    return grid(t).select("strength", "penalty", "class_weight", "accuracy", "is_best")
 
 
 @query("m17_feature_elimination")
 def feature_elimination(t):
-    return ops.eliminate_features(renewal_rows(t), RENEWAL_FEATURES, "did_renew")
+    return ops.eliminate_features(renewal_rows(t), RENEWAL_FEATURES, "did_renew").drop("at_optimum")
 
 
 @query("m18_odds_ratios")
@@ -235,7 +275,9 @@ def every_holder_scored(t):
     return rows_in_range(logistic_renewal(t), "probability", 0, 1, "plan")
 
 
-@query("m9_every_lead_scored", f"{HOLDERS} SELECT COUNT(*) AS n, COUNT(*) AS in_range FROM holders")
+@query("m9_every_lead_scored", f"""
+  WITH {COHORTS} SELECT COUNT(*) AS n, COUNT(*) AS in_range FROM (
+    SELECT DISTINCT buyer FROM att WHERE event_date BETWEEN DATE '2000-10-01' AND DATE '2001-03-15' AND buyer NOT IN (SELECT buyer FROM held WHERE season = '2000-01'))""")
 def every_lead_scored(t):
     return rows_in_range(boosted_lead_scores(t), "probability", 0, 1)
 
@@ -264,3 +306,101 @@ def every_answer_placed(t):
   SELECT quality, synthetic, n FROM (SELECT quality, FALSE AS synthetic, COUNT(*) AS n FROM d GROUP BY 1 UNION ALL SELECT 0, TRUE, n - 2 * m FROM c WHERE n > 2 * m AND m > 1)""")
 def even_classes(t):
     return oversample(t).groupBy("quality", "synthetic").agg(F.count("*").alias("n"))
+
+
+#: The holders of the season before, by whom the renewal models are fitted.
+FITTED = (HOLDERS.replace("'2000-01'", "'NEXT'").replace("'1999-00'", "'1998-99'").replace("'NEXT'", "'1999-00'")
+          .replace("1999 - k + 1", "1998 - k + 1").replace("TIMESTAMP '1999-07-01'", "TIMESTAMP '1998-07-01'"))
+
+
+def at_optimum(df, *keys: str):
+    """Whether residuals add up to nothing and no feature pulls against the penalty."""
+    return df.select(*keys, "n", (F.abs("excess") <= 1e-4).alias("balanced"), (F.col("pull") <= 1e-4).alias("stationary"))
+
+
+@query("m8_first_order", f"{FITTED} SELECT plan, COUNT(*) AS n, TRUE AS balanced, TRUE AS stationary FROM holders GROUP BY 1")
+def renewal_first_order(t):
+    return at_optimum(ops.first_order(renewal_rows(t, "1998-99"), "plan", renewal_weights(), RENEWAL_FEATURES, "did_renew"), "plan")
+
+
+@query("m18_first_order", f"{HOLDERS} SELECT COUNT(*) AS n, TRUE AS balanced, TRUE AS stationary FROM holders")
+def odds_first_order(t):
+    rows = renewal_rows(t).withColumn("all", F.lit("all"))
+    return at_optimum(ops.first_order(rows, "all", {"all": [1.0] * len(RENEWAL_FEATURES)}, RENEWAL_FEATURES, "did_renew"))
+
+
+@query("m16_settings_at_optimum", """
+  SELECT strength, penalty, class_weight, TRUE AS at_optimum, TRUE AS few_passes FROM (VALUES (0.1::DOUBLE), (1.0::DOUBLE), (10.0::DOUBLE), (100.0::DOUBLE)) c(strength),
+   (VALUES ('l1'), ('l2'), ('elasticnet')) p(penalty), (VALUES ('none'), ('balanced')) w(class_weight)""")
+def settings_at_optimum(t):
+    return grid(t).select("strength", "penalty", "class_weight", "at_optimum", (F.col("passes") <= 30).alias("few_passes"))
+
+
+@query("m17_steps_at_optimum", "SELECT n::INT AS n_features, n::INT AS kept, TRUE AS at_optimum FROM range(1, 10) r(n)")
+def steps_at_optimum(t):
+    out = ops.eliminate_features(renewal_rows(t), RENEWAL_FEATURES, "did_renew")
+    return out.select("n_features", F.size(F.split("kept", ",")).alias("kept"), "at_optimum")
+
+
+@query("m4_first_order", f"WITH {GAMES} SELECT COUNT(*) AS n, TRUE AS balanced, TRUE AS uncorrelated FROM games WHERE event_date < DATE '2000-07-01'")
+def polynomial_first_order(t):
+    """Residuals of the fitted games add up to nothing, alone and times a feature."""
+    g = game_rows(t).where(F.col("event_date") < F.lit("2000-07-01").cast("date"))
+    out = ops.polynomial_regression(g, g, ["attendance", "weekend", "tier_num"], "paid").withColumn("rest", F.col("predicted") - F.col("paid"))
+    sums = out.agg(F.count("*").alias("n"), F.sum("rest").alias("a"), F.sum("paid").alias("b"), F.sum(F.col("rest") * F.col("attendance")).alias("c"), F.sum(F.col("paid") * F.col("attendance")).alias("d"))
+    return sums.select("n", (F.abs("a") <= F.col("b") * 1e-4).alias("balanced"), (F.abs("c") <= F.col("d") * 1e-4).alias("uncorrelated"))
+
+
+@query("m5_band_is_balanced", f"""
+  WITH {TICKETS}, d AS (SELECT arena_level, season, days_out FROM tickets WHERE left(season, 4)::INT < 1999 GROUP BY 1, 2, 3) SELECT arena_level, COUNT(*) AS n, TRUE AS balanced FROM d GROUP BY 1""")
+def band_is_balanced(t):
+    """At the optimum as many rows lie above the band as below, those at its edge by their share."""
+    rows = level_days(t).where("start < 1999")
+    out = ops.kernel_regression_by_group(rows, rows, "arena_level", LEVELS, ["days_out"], "seats")
+    miss = F.log1p("predicted") - F.log1p(F.col("seats").cast("double"))
+    push = F.signum(miss) * F.least(F.greatest((F.abs(miss) - ops.kernel.BAND) / ops.kernel.ROUNDINGS[-1], F.lit(0.0)), F.lit(1.0))
+    return out.groupBy("arena_level").agg(F.count("*").alias("n"), (F.abs(F.sum(push)) <= 1e-3 * F.count("*")).alias("balanced"))
+
+
+#: The tables draw prices and seats without regard to a game's features, so no model can beat the mean by much; it must not lose to it.
+NOT_WORSE = 1.1
+
+
+@query("m6_network_held_out", f"WITH {GAMES} SELECT COUNT(*) AS n, TRUE AS not_worse FROM games WHERE season >= '2000-01'")
+def network_held_out(t):
+    """Squared error of the log on games after those of the fit, against the fitted games' mean."""
+    mean = game_rows(t).where("season < '2000-01'").agg(F.avg(s.log_or_zero("paid")).alias("mean"))
+    out = network_log_seats(t).join(F.broadcast(mean), F.lit(True))
+    y = s.log_or_zero("paid")
+    return out.agg(F.count("*").alias("n"), (F.sum((F.log("predicted") - y) ** 2) <= NOT_WORSE * F.sum((F.col("mean") - y) ** 2)).alias("not_worse"))
+
+
+@query("m7_network_held_out", f"""
+  WITH {TICKETS}, p AS (SELECT event_date, arena_level, days_out FROM tickets WHERE NOT is_comp GROUP BY 1, 2, 3) SELECT COUNT(*) AS n, TRUE AS judged, TRUE AS not_worse FROM p""")
+def network_prices_held_out(t):
+    """Squared error on rows that were not trained on, against the trained rows' mean."""
+    _, out = ops.network_price_table(price_rows(t), "event_date", "arena_level", "days_out", ["level_num", "days_out", "weekday", "month"], "current_price", LEVELS)
+    held = F.col("_u") >= 0.8
+    mean = out.where(~held).agg(F.avg("current_price").alias("mean"))
+    error = lambda x: F.sum(F.when(held, (x - F.col("current_price")) ** 2))
+    return out.join(F.broadcast(mean), F.lit(True)).agg(
+        F.count("*").alias("n"), (F.count_if(held) > 0).alias("judged"), (error(F.col("predicted")) <= NOT_WORSE * error(F.col("mean"))).alias("not_worse"))
+
+
+@query("m13_clusters_are_means", f"WITH {GAMES} SELECT season, COUNT(*) AS n, 0::BIGINT AS strays FROM games GROUP BY 1")
+def clusters_are_means(t):
+    """No game of a season is nearer to the mean of another cluster than to its own, on standardised features."""
+    features = ["week_day", "is_premier", "paid", "atp", "attendance"]
+    g = game_rows(t)
+    seasons = [r.season for r in games(t).select("season").distinct().orderBy("season").collect()]
+    placed = ops.ranked_clusters(g.select("event_date", "season", "revenue", *features), seasons, "season", features, "revenue", 4)
+    return ops.inertia(ops.standardise_by(g, placed, "season", seasons, features), features, "cluster", ["season"]).select("season", "n", "strays")
+
+
+@query("m14_best_of_starts", "SELECT COUNT(*) AS n, 5::BIGINT AS clusters, 0::BIGINT AS strays, TRUE AS not_above_one_start FROM documents")
+def best_of_starts(t):
+    """Five clusters, every answer nearest to the mean of its own, and no more inertia than from a single start."""
+    parts = [f"pc{i}" for i in range(1, 5)]
+    placed = cut_lineage(survey_clusters(t))
+    one = ops.kmeans.fit(placed, parts, 5, starts=1, seed=7).inertia[""]
+    return ops.inertia(placed, parts, "target").select("n", "clusters", "strays", (F.col("inertia") <= one * (1 + 1e-6)).alias("not_above_one_start"))

@@ -397,7 +397,7 @@ def asof(t):
     buys = t.events.where("event_type = 'purchase'").select("user_id", "event_id", F.col("ts").alias("purchase_time"))
     contacts = t.events.where("event_type = 'click'").select(
         "user_id", F.col("ts").alias("contact_time"), F.col("event_id").cast("double").alias("contact_id"))
-    return joins.asof_backward(buys, contacts, "user_id", "purchase_time", "contact_time", "day", ["contact_id"])
+    return joins.asof_backward(buys, contacts, "user_id", "purchase_time", "contact_time", carry=["contact_id"])
 
 
 @query("j17_renewed_next_season", f"""
