@@ -31,4 +31,4 @@ def test_every_twin_has_a_query():
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE])
 def test_query_equals_sql(spark, con, name):
     ok, text = check_oracle.compare(spark, con, FOLDER, name, QUERIES[name], ORACLE[name])
-    assert ok or text == "no rows", text
+    assert ok, text  # an empty result fails too

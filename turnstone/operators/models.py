@@ -249,8 +249,8 @@ def feature_importances(train: DataFrame, features: Sequence[str], label: str, t
 
 
 def forest_classes(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str], trees: int = 100) -> DataFrame:
-    """Random-forest class with one probability column per class."""
-    return _classes(RandomForestClassifier(numTrees=trees, maxDepth=6, seed=SEED), train, rows, features, label, classes)
+    """Random-forest class with one probability column per class; trees grow until their leaves are pure, or to Spark's greatest depth."""
+    return _classes(RandomForestClassifier(numTrees=trees, maxDepth=30, minInstancesPerNode=1, seed=SEED), train, rows, features, label, classes)
 
 
 def multinomial_classes(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from turnstone.operators.grid import day_axis, dense_grid
 from turnstone.registry import query
 from turnstone.session import run_folder
 from turnstone.sources import tables as io
+from turnstone.sources.versions import VersionedTable
 from turnstone.sources.views import LINE_TICKETS, line_tickets
 
 
@@ -84,9 +85,11 @@ def create_table_as_select(t):
 def staging_publish(t):
     staged = line_tickets(t).groupBy("season", "arena_level").agg(
         F.sum("paid_seats").alias("paid_seats"), F.sum("gross_revenue").alias("revenue"))
-    return io.publish(staged, "atp", lambda s: s.select(
+    table = VersionedTable(t.spark, run_folder(t.spark, "atp"))
+    table.publish(staged, lambda s: s.select(
         "season", "arena_level", "paid_seats",
         F.round(F.col("revenue") / F.nullif("paid_seats", F.lit(0)), 4).alias("atp")))
+    return table.read()
 
 
 @query("s10_keyed_upsert", """

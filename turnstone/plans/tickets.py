@@ -307,20 +307,28 @@ def nightly_matrix(t):
 
 @query("d21_market_mix", f"""
   WITH {TICKETS}, {GAMES}, m AS (SELECT 'resale' AS marketplace, event_date, arena_level, COUNT(*) AS paid_seats, SUM(gross_revenue) AS gross_revenue FROM tickets WHERE ticket_type = 'Groups' GROUP BY ALL
-   UNION ALL SELECT 'box office', event_date, arena_level, SUM(paid_seats)::BIGINT, SUM(gross_revenue) FROM tickets WHERE ticket_type = 'Singles' AND days_out >= 0 GROUP BY ALL
-   UNION ALL SELECT 'online', event_date, arena_level, SUM(paid_seats)::BIGINT, SUM(gross_revenue) FROM tickets WHERE ticket_type = 'Singles' AND days_out < 0 GROUP BY ALL)
+   UNION ALL SELECT 'box office', event_date, arena_level, SUM(paid_seats)::BIGINT, SUM(gross_revenue) FROM tickets WHERE ticket_type = 'Singles' AND sales_rep % 2 = 0 GROUP BY ALL
+   UNION ALL SELECT 'online', event_date, arena_level, SUM(paid_seats)::BIGINT, SUM(gross_revenue) FROM tickets WHERE ticket_type = 'Singles' AND sales_rep % 2 = 1 GROUP BY ALL)
   SELECT marketplace, event_date, arena_level, paid_seats, ROUND(gross_revenue, 2) AS gross_revenue, tier FROM m LEFT JOIN games USING (event_date)""")
 def market_mix(t):
+    """Singles sold by an even desk count as box office, those of an odd one as online: the tables name no marketplace."""
     tk = tickets(t)
     singles = tk.where("ticket_type = 'Singles'")
     mix = ops.market_mix({
         "resale": (tk.where("ticket_type = 'Groups'"), F.lit(1)),
-        "box office": (singles.where("days_out >= 0"), F.col("paid_seats")),
-        "online": (singles.where("days_out < 0"), F.col("paid_seats")),
+        "box office": (singles.where("sales_rep % 2 = 0"), F.col("paid_seats")),
+        "online": (singles.where("sales_rep % 2 = 1"), F.col("paid_seats")),
     }, ["event_date", "arena_level"])
     return mix.join(games(t).select("event_date", "tier"), "event_date", "left").withColumn("gross_revenue", F.round("gross_revenue", 2))
 
 
+@query("d21_every_market_sells", f"""
+  WITH {TICKETS} SELECT 'resale' AS marketplace, COUNT(*)::BIGINT AS seats, TRUE AS sells FROM tickets WHERE ticket_type = 'Groups'
+  UNION ALL SELECT CASE sales_rep % 2 WHEN 0 THEN 'box office' ELSE 'online' END, SUM(paid_seats)::BIGINT, TRUE FROM tickets WHERE ticket_type = 'Singles' GROUP BY 1""")
+def every_market_sells(t):
+    return market_mix(t).groupBy("marketplace").agg(F.sum("paid_seats").alias("seats"), (F.sum("paid_seats") > 0).alias("sells"))
+
+
 @query("d22_plan_summary", f"""
   WITH {TICKETS} SELECT ticket_type, season, ROUND(SUM(gross_revenue), 2) AS gross_revenue, SUM(paid_seats)::BIGINT AS paid_seats, COUNT(DISTINCT buyer) AS unique_accounts,
    ROUND(SUM(gross_revenue) / NULLIF(SUM(paid_seats), 0), 4) AS gross_paid_atp FROM tickets GROUP BY 1, 2""")

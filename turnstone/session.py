@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+HUGE_METHODS = "-XX:-DontCompileHugeMethods"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -20,8 +21,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # HotSpot never compiles methods over 8000 bytes; larger plans then run operator by operator
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # rule tables make generated methods of over 8000 bytes, which HotSpot compiles only if it is told to
+        .config("spark.driver.extraJavaOptions", HUGE_METHODS)
+        .config("spark.executor.extraJavaOptions", HUGE_METHODS)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

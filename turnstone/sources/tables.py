@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from turnstone.session import run_folder
-
 
 class Tables:
     """Lazy readers for the parquet tables below one folder."""
@@ -72,17 +70,6 @@ def create_table_as(spark: SparkSession, text: str, path: str, views: dict[str,
     return spark.read.parquet(write_table(spark.sql(text, **views), path))
 
 
-def publish(df: DataFrame, label: str, finish=lambda staged: staged) -> DataFrame:
-    """Two-step publish: write a staging table, build the final table from it.
-
-    Both go to fresh paths in the shared folder, so a reader of the previous
-    version is never cut off and a retried job never sees half a table.
-    """
-    spark = df.sparkSession
-    staged = spark.read.parquet(write_table(df, run_folder(spark, f"{label}-staging")))
-    return spark.read.parquet(write_table(finish(staged), run_folder(spark, label)))
-
-
 def upsert(current: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``current`` whose key is not staged, plus all staged rows.
 
