@@ -9,7 +9,7 @@ from turnstone.operators import aggregates as agg
 from turnstone.operators import scan
 from turnstone.operators.joins import first_row_per_key
 from turnstone.registry import query
-from turnstone.sources.views import GAMES, LINE_TICKETS, SCANS, TICKETS, games, line_tickets, scans, tickets
+from turnstone.sources.views import GAMES, LINE_TICKETS, SCANS, SEASONS, TICKETS, games, line_tickets, scans, tickets
 
 
 @query("a1_group_aggregates", """
@@ -66,22 +66,18 @@ def conditional(t):
         F.count_if("is_comp").alias("times_comp"))
 
 
-SEASONS = ["1997-98", "1998-99", "1999-00"]
+def season_columns(name: str, value: str) -> str:
+    """One SQL column for each season of the tables, from an aggregate that has the season's condition in its braces."""
+    return ", ".join(f"{value.format(f'season = {s!r}')}::DOUBLE AS {name}_{s.replace('-', '')}" for s in SEASONS)
 
 
 @query("a7_wide_by_season", f"""
-  WITH {TICKETS} SELECT buyer,
-    SUM(CASE WHEN season = '1997-98' THEN paid_seats END)::DOUBLE AS seats_199798,
-    SUM(CASE WHEN season = '1998-99' THEN paid_seats END)::DOUBLE AS seats_199899,
-    SUM(CASE WHEN season = '1999-00' THEN paid_seats END)::DOUBLE AS seats_199900,
-    MAX(CASE WHEN season = '1997-98' THEN member END)::DOUBLE AS member_199798,
-    MAX(CASE WHEN season = '1998-99' THEN member END)::DOUBLE AS member_199899,
-    MAX(CASE WHEN season = '1999-00' THEN member END)::DOUBLE AS member_199900
+  WITH {TICKETS} SELECT buyer, {season_columns("seats", "SUM(CASE WHEN {} THEN paid_seats END)")}, {season_columns("member", "MAX(CASE WHEN {} THEN member END)")}
   FROM (SELECT *, CASE WHEN ticket_type IN ('Full', 'Premier') THEN 1 ELSE 0 END AS member FROM tickets) GROUP BY 1""")
 def wide_by_season(t):
     member = F.col("ticket_type").isin("Full", "Premier").cast("double")
     rows = tickets(t).withColumns({"member": member, "paid_seats": F.col("paid_seats").cast("double")})
-    return agg.wide_by(rows, ["buyer"], "season", SEASONS, {"seats": ("sum", "paid_seats"), "member": ("max", "member")})
+    return agg.wide_by(rows, ["buyer"], "season", list(SEASONS), {"seats": ("sum", "paid_seats"), "member": ("max", "member")})
 
 
 @query("a8_having", "SELECT o_custkey, ROUND(SUM(o_totalprice), 2) AS spend FROM orders GROUP BY 1 HAVING SUM(o_totalprice) > 3000000")

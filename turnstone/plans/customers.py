@@ -12,7 +12,8 @@ from turnstone.operators import sampling, windows
 from turnstone.registry import query
 from turnstone.plans.ordered import STREAK_SQL
 from turnstone.plans.relational import SURVEY_WORDS
-from turnstone.sources.views import TICKETS, scans, tickets
+from turnstone.plans.aggregates import season_columns as by_season
+from turnstone.sources.views import SEASONS, TICKETS, scans, tickets
 
 
 # A sign-up is an order, its email the customer's name in mixed case, its program the priority.
@@ -68,10 +69,10 @@ def identity_bridge(t):
 
 
 @query("c3_season_columns", f"""
-  WITH {SPEND} SELECT email, ROUND(SUM(CASE WHEN season = '1997-98' THEN gross_revenue END), 2) AS gross_rev_199798, MAX(CASE WHEN season = '1997-98' THEN member END)::DOUBLE AS is_stm_199798,
-   ROUND(SUM(CASE WHEN season = '1998-99' THEN gross_revenue END), 2) AS gross_rev_199899, MAX(CASE WHEN season = '1998-99' THEN member END)::DOUBLE AS is_stm_199899 FROM spend GROUP BY 1""")
+  WITH {SPEND}, w AS (SELECT email, {by_season("gross_rev", "SUM(CASE WHEN {} THEN gross_revenue END)")}, {by_season("is_stm", "MAX(CASE WHEN {} THEN member END)")} FROM spend GROUP BY 1)
+  SELECT email, ROUND(COLUMNS('gross_rev.*'), 2), COLUMNS('is_stm.*') FROM w""")
 def season_columns(t):
-    wide = agg.wide_by(spend(t), ["email"], "season", ["1997-98", "1998-99"], {"gross_rev": ("sum", "gross_revenue"), "is_stm": ("max", "member")})
+    wide = agg.wide_by(spend(t), ["email"], "season", list(SEASONS), {"gross_rev": ("sum", "gross_revenue"), "is_stm": ("max", "member")})
     return wide.select("email", *[F.round(c, 2).alias(c) if c.startswith("gross") else F.col(c).cast("double").alias(c) for c in wide.columns[1:]])
 
 
@@ -184,22 +185,22 @@ def calls_and_buys(t):
 @query("c12_snapshot_features", """
   WITH base AS (SELECT DISTINCT user_id FROM events), c AS (SELECT user_id, COUNT(*) AS n, MAX(ts) AS m, COUNT(CASE WHEN event_type = 'click' THEN 1 END) AS calls, COUNT(CASE WHEN event_type = 'view' THEN 1 END) AS mails FROM events
     WHERE event_type IN ('click', 'view') AND ts < TIMESTAMP '2024-01-05' GROUP BY 1),
-  p AS (SELECT user_id, COUNT(*) AS n, MAX(ts) AS m, COUNT(CASE WHEN ts >= TIMESTAMP '2024-01-03' THEN 1 END) AS r FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-05' GROUP BY 1)
+  p AS (SELECT user_id, COUNT(*) AS n, MAX(ts) AS m, COUNT(CASE WHEN ts >= TIMESTAMP '2024-01-05' - INTERVAL 60 DAY THEN 1 END) AS r FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-05' GROUP BY 1)
   SELECT base.user_id, COALESCE(c.n, 0) AS total_lifetime_contacts, COALESCE(floor(epoch_us(TIMESTAMP '2024-01-05' - c.m) / 86400000000)::BIGINT, 999) AS days_since_last_contact, COALESCE(calls, 0) AS total_calls, COALESCE(mails, 0) AS total_emails,
    COALESCE(p.n, 0) AS total_purchase_events, COALESCE(floor(epoch_us(TIMESTAMP '2024-01-05' - p.m) / 86400000000)::BIGINT, 999) AS days_since_last_purchase, COALESCE(r, 0) AS purchases_last_60_days
   FROM base LEFT JOIN c ON c.user_id = base.user_id LEFT JOIN p ON p.user_id = base.user_id""")
 def snapshot_features(t):
     contact, buys = calls_and_buys(t)
-    return ops.snapshot_features(t.events.select("user_id").distinct(), contact, buys, "user_id", "2024-01-05", recent_days=2)
+    return ops.snapshot_features(t.events.select("user_id").distinct(), contact, buys, "user_id", "2024-01-05", recent_days=60)
 
 
 @query("c13_contact_outcomes", """
   WITH c AS (SELECT user_id, ts AS contact_date FROM events WHERE event_type IN ('click', 'view')), p AS (SELECT user_id, ts AS purchase_date FROM events WHERE event_type = 'purchase'),
-  w AS (SELECT p.user_id, c.contact_date FROM p ASOF JOIN c ON p.user_id = c.user_id AND p.purchase_date >= c.contact_date WHERE floor(epoch_us(purchase_date - contact_date) / 86400000000) BETWEEN 0 AND 2)
+  w AS (SELECT p.user_id, c.contact_date FROM p ASOF JOIN c ON p.user_id = c.user_id AND p.purchase_date >= c.contact_date WHERE floor(epoch_us(purchase_date - contact_date) / 86400000000) BETWEEN 0 AND 30)
   SELECT user_id, contact_date, 1 AS label FROM w UNION ALL SELECT user_id, contact_date, 0 FROM c WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.user_id = c.user_id AND w.contact_date = c.contact_date)""")
 def contact_outcomes(t):
     contact, buys = calls_and_buys(t)
-    return ops.contact_outcomes(contact, buys, "user_id", within_days=2)
+    return ops.contact_outcomes(contact, buys, "user_id", within_days=30)
 
 
 RENEWAL = TICKETS + """, base AS (SELECT buyer, CASE WHEN MAX((ticket_type = 'Full')::INT) = 1 THEN 'Full' ELSE 'Premier' END AS plan FROM tickets WHERE season = '1999-00' AND ticket_type IN ('Full', 'Premier') GROUP BY 1),
@@ -275,17 +276,17 @@ def modal_level(t):
 
 @query("c16_member_profile", f"""
   WITH {TICKETS}, subs AS (SELECT season, buyer, MAX((ticket_type = 'Full')::INT) AS is_full, MAX((ticket_type = 'Premier')::INT) AS is_premier, SUM(gross_revenue) AS total_spend, MAX((arena_level = 'Premium')::INT) AS is_premium,
-     MAX((arena_level = 'Clubs')::INT) AS is_club, MAX((arena_level = 'Lowers')::INT) AS is_lower, MAX((arena_level = 'Uppers')::INT) AS is_upper, MAX((ticket_type = 'Groups')::INT) AS is_community, COUNT(CASE WHEN is_comp THEN 1 END) AS discounts FROM tickets WHERE season IN ('1998-99', '1999-00') GROUP BY 1, 2 HAVING SUM(gross_revenue) > 0),
-  rates AS (SELECT season, buyer, SUM(did_attend::INT)::DOUBLE / COUNT(*) AS show_rate FROM tickets WHERE season IN ('1998-99', '1999-00') GROUP BY 1, 2),
+     MAX((arena_level = 'Clubs')::INT) AS is_club, MAX((arena_level = 'Lowers')::INT) AS is_lower, MAX((arena_level = 'Uppers')::INT) AS is_upper, MAX((ticket_type = 'Groups')::INT) AS is_community, COUNT(CASE WHEN is_comp THEN 1 END) AS discounts FROM tickets GROUP BY 1, 2 HAVING SUM(gross_revenue) > 0),
+  rates AS (SELECT season, buyer, SUM(did_attend::INT)::DOUBLE / COUNT(*) AS show_rate FROM tickets GROUP BY 1, 2),
   income AS (SELECT c_custkey AS buyer, CASE WHEN c_acctbal BETWEEN 0 AND 2999 THEN 1 WHEN c_acctbal BETWEEN 3000 AND 5999 THEN 2 WHEN c_acctbal BETWEEN 6000 AND 9999 THEN 3 ELSE 0 END AS income_ranking, c_mktsegment AS segment, n_name AS home, r_name AS census_region
      FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey),
   ev AS (SELECT user_id AS buyer, COUNT(CASE WHEN event_type = 'view' THEN 1 END) AS opens, MAX((event_type = 'click')::INT) AS has_clicked FROM events GROUP BY 1),
   held AS (SELECT DISTINCT season, buyer FROM tickets)
   SELECT s.season, s.buyer, is_full, is_premier, ROUND(total_spend, 2) AS total_spend, is_premium, is_club, is_lower, is_upper, is_community, discounts, ROUND(show_rate, 6) AS show_rate, income_ranking, segment, home, census_region, COALESCE(opens, 0) AS opens, COALESCE(has_clicked, 0) AS has_clicked,
    (h.buyer IS NOT NULL)::INT AS did_renew FROM subs s LEFT JOIN rates r ON r.season = s.season AND r.buyer = s.buyer LEFT JOIN income i ON i.buyer = s.buyer LEFT JOIN ev ON ev.buyer = s.buyer
-  LEFT JOIN held h ON h.buyer = s.buyer AND h.season = CASE s.season WHEN '1998-99' THEN '1999-00' ELSE '2000-01' END""")
+  LEFT JOIN held h ON h.buyer = s.buyer AND h.season = (left(s.season, 4)::INT + 1)::VARCHAR || '-' || lpad(((left(s.season, 4)::INT + 2) % 100)::VARCHAR, 2, '0')""")
 def member_profile(t):
-    now = tickets(t, "1998-99", "1999-00")
+    now = tickets(t)
     def has(column, value):
         return F.max((F.col(column) == value).cast("int"))
     subs = now.groupBy("season", "buyer").agg(
@@ -298,7 +299,7 @@ def member_profile(t):
         [(bal.between(0, 2999), 1), (bal.between(3000, 5999), 2), (bal.between(6000, 9999), 3)], 0).alias("income_ranking"))
     ev = t.events.groupBy(F.col("user_id").alias("buyer")).agg(
         F.count_if(F.col("event_type") == "view").alias("opens"), F.max((F.col("event_type") == "click").cast("int")).alias("has_clicked"))
-    held = tickets(t, "1999-00", "2000-01").select("buyer", F.col("season").alias("_next")).distinct().withColumn("did_renew", F.lit(1))
+    held = now.select("buyer", F.col("season").alias("_next")).distinct().withColumn("did_renew", F.lit(1))
     out = ops.wide_profile(subs, [income, ev], ["buyer"], ["opens", "has_clicked"])
     out = ops.wide_profile(out.withColumn("_next", s.next_season("season")), [held], ["buyer", "_next"], ["did_renew"]).drop("_next")
     return out.withColumns({"total_spend": F.round("total_spend", 2), "show_rate": F.round("show_rate", 6)})

@@ -57,6 +57,10 @@ def line_tickets(t: Tables, first: str | None = None, last: str | None = None) -
     )
 
 
+#: All seasons of the driver tables.
+SEASONS = tuple(f"{y}-{(y + 1) % 100:02}" for y in range(1994, 2002))
+
+
 LINE_TICKETS = """line_tickets AS (
   SELECT l_orderkey, l_linenumber, l_partkey AS seat_id, l_suppkey AS sales_rep,
          CAST(l_shipdate AS DATE) AS event_date,
