@@ -1,11 +1,13 @@
 import datetime as dt
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from turnstone.functions import fixed_values as fixed
 from turnstone.functions import scalars as s
 from turnstone.functions.rules import apply_rules
+from turnstone.operators import encoding
 
 
 def values(df, column):
@@ -91,3 +93,18 @@ def test_clamp_and_ratio(frame):
     df = frame([(-1.0, 5.0), (9.0, 5.0), (3.0, 0.0)], "x double, cap double")
     assert values(df, s.clamp("x", "cap")) == [0.0, 5.0, 0.0]
     assert values(df, s.ratio("x", "cap")) == [-0.2, 1.8, None]
+
+
+@pytest.mark.parametrize("most", [3, 1000])
+def test_codes_of_few_and_many_categories(spark, most):
+    names = [f"c{i:03}" for i in range(60)]
+    rows = [(i, names[(i * 37) % 60]) for i in range(300)] + [(900, None)]
+    df = spark.createDataFrame(rows, "i int, c string").repartition(5)
+    got = {r.i: r.code for r in encoding.label_codes(df, "c", "code", most).collect()}
+    assert got == {i: None if c is None else names.index(c) for i, c in rows}
+    first = {}
+    for i, c in rows:
+        if c is not None:
+            first.setdefault(c, len(first))
+    got = {r.i: r.code for r in encoding.first_seen_codes(df, "c", "i", "code", most).collect()}
+    assert got == {i: first.get(c) for i, c in rows}
