@@ -248,9 +248,11 @@ def feature_importances(train: DataFrame, features: Sequence[str], label: str, t
     return train.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, values)], "feature string, importance double")
 
 
-def forest_classes(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str], trees: int = 100) -> DataFrame:
-    """Random-forest class with one probability column per class; trees grow until their leaves are pure, or to Spark's greatest depth."""
-    return _classes(RandomForestClassifier(numTrees=trees, maxDepth=30, minInstancesPerNode=1, seed=SEED), train, rows, features, label, classes)
+def forest_classes(
+    train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str], trees: int = 100, depth: int = 10
+) -> DataFrame:
+    """Random-forest class with one probability column per class; every level of depth is a pass, up to Spark's 30."""
+    return _classes(RandomForestClassifier(numTrees=trees, maxDepth=depth, maxMemoryInMB=512, seed=SEED), train, rows, features, label, classes)
 
 
 def multinomial_classes(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str]) -> DataFrame:
