@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from turnstone.llm.common import held, list_array, slices, staged
+from turnstone.llm.common import give_back, held, list_array, slices, staged
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: A match that ends this near to a chunk's end may have been changed by the cut.
 MARGIN = 8
 #: Pieces in each of the two generations that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 80_000
 #: Pieces up to this length are merged by scanning the pairs, longer ones with a heap.
 SCANNED = 32
 
@@ -175,6 +175,7 @@ def _whole(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         encode = vocabulary.encoder().text
         for part in slices(batches, "text"):
             yield _with_ids(part, {"text"}, [encode(t) for t in _strings(part, "text")])
+        give_back()
 
     keep = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text")
     return rows.mapInArrow(run, f"{keep}, ids array<int>")
@@ -227,6 +228,7 @@ def _spans(owned: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             rows = zip(*(part.column(c).to_pylist() for c in ("base", "start", "stop")), _strings(part, "text"))
             each = [encode(text, start - base, len(text) if stop is None else stop - base) for base, start, stop, text in rows]
             yield _with_ids(part, {"text", "base", "start", "stop"}, each)
+        give_back()
 
     return owned.mapInArrow(run, "digest string, part int, ids array<int>")
 
@@ -298,6 +300,7 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                 whole = data.tobytes()
                 out = [whole[lo:hi] if ok else None for lo, hi, ok in zip([0, *ends[:-1]], ends, ids.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*part.schema.names, "decoded"])
+        give_back()
 
     return tokens.mapInArrow(run, StructType([*tokens.schema.fields, StructField("decoded", BinaryType())]))
 

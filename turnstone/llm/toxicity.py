@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.llm.common import LOWER, held, labelled_texts, sampled_labels, slices, staged, texts
+from turnstone.llm.common import LOWER, give_back, held, labelled_texts, sampled_labels, slices, staged, texts
 from turnstone.llm.linear import fit_sparse, sigmoid
 
 #: Bound of the labelled sample.
@@ -37,7 +37,7 @@ CHANCE = 0.01
 THRESHOLD = 0.5
 #: Training rows: crc32 of the id as text, modulo this, is not 0.
 FOLDS = 5
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 #: Letters that a character can stand for.
 LOOKALIKES = {
@@ -64,6 +64,9 @@ _PAIR = re.compile(rb"([a-z])\1")
 _ALIKE = bytes.maketrans(b"013456789@$!|+l", b"oieasgtbgasiiti")
 #: Bytes that neither are nor stand for a letter a-z.
 _MARKS = bytes(b for b in range(256) if not 97 <= _ALIKE[b] <= 122)
+_MARKS_IN_LINE = _MARKS.replace(b"\n", b"")
+#: Marks that stand for a letter.
+_LETTER_MARKS = b"@$!|+"
 _REPEATED = re.compile(rb"([a-z])\1+")
 _LETTER = re.compile(rb"[a-z]")
 _SPACED = re.compile(rb"(?<![^ \t\n\r])(?:[a-z0-9@$!|+][ \t.*_-]{1,3}){2,}[a-z0-9@$!|+](?![^ \t\n\r.,!?;:])")
@@ -238,30 +241,37 @@ class Reader:
         self.seen[token] = found
         return found
 
-    def _openers(self, tokens: set[bytes]) -> dict[bytes, bytes]:
-        """Of the tokens with which a telling word may begin, what they give it."""
-        seen, out = self.opens, {}
-        for token in tokens:
-            key = seen.get(token)
-            if key is None:
+    def _learn(self, tokens: list[bytes]) -> None:
+        """Remember of many tokens at once with what a telling word may begin, and those that can tell nothing."""
+        joined = b"\n".join(tokens)
+        keys = _REPEATED.sub(rb"\1", joined.translate(_ALIKE)).split(b"\n")
+        bones = _REPEATED.sub(rb"\1", joined.translate(_ALIKE, _MARKS_IN_LINE)).split(b"\n")
+        if len(self.opens) + len(tokens) > REMEMBERED:
+            self.opens.clear()
+            self.seen.clear()
+        openings, opens, seen, whole, begun, sizes = self.openings, self.opens, self.seen, self.bones, self.first_bones, self.bone_sizes
+        for token, key, letters in zip(tokens, keys, bones):
+            if token[0] in _LEADING:
                 key = alike(token.lstrip(_LEADING))
-                if key not in self.openings:
-                    key = b""
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen[token] = key
-            if key:
-                out[token] = key
-        return out
+            opens[token] = key if key in openings else b""
+            if token[0] in _LETTER_MARKS or token[-1] in _LETTER_MARKS:
+                continue  # such marks are stripped, or letters: the token is read on its own
+            if letters not in whole:
+                for size in sizes:
+                    if letters[:size] in begun:
+                        break
+                else:
+                    seen[token] = ()
 
     def _split_words(self, tokens: list[bytes], distinct: set[bytes]) -> Iterator[bytes]:
         """Neighbouring pieces that a telling word can be split into, a space between each two.
 
         Pieces are joined as long as some telling word begins with them.
         """
-        prefixes, begun, openers = self.prefixes, self.begun, self._openers(distinct)
+        prefixes, begun, opens = self.prefixes, self.begun, self.opens
+        openers = {token for token in distinct if opens[token]}
         for at in [i for i, token in enumerate(tokens[:-1]) if token in openers]:
-            joined = openers[tokens[at]]
+            joined = opens[tokens[at]]
             for end in range(at + 1, len(tokens)):
                 token = tokens[end]
                 first = _ALIKE[token[0] : token[0] + 1]
@@ -289,6 +299,12 @@ class Reader:
         text = text.translate(LOWER)
         ordered = text.split()
         distinct = set(ordered)
+        if self.known is not None:
+            new = [t for t in distinct if t not in self.opens]
+            if new:
+                if len(self.opens) + len(new) > REMEMBERED:
+                    new = list(distinct)
+                self._learn(new)
         tokens = set(distinct)
         spaced = spaced_words(text)
         tokens.update(spaced)
@@ -411,6 +427,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             p = sigmoid(np.array(z, dtype=np.float64))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], [*part.schema.names, "score", "predicted"])
+        give_back()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     return base.mapInArrow(run, f"{fields}, score double, predicted int")
