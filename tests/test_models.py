@@ -141,3 +141,14 @@ def test_renewal_weights_go_by_feature_name():
     assert full == {"is_local": 1, "tenure": 1, "paid_show_rate": 2, "show_rate": 2, "self_show_rate": 1, "num_games": 1,
                     "gross_revenue_agg": 1, "level_num": 1, "renewal_likelihood_survey": 2}
     assert FEATURE_WEIGHTS["Premier"]["paid_show_rate"] == 1.5
+
+
+def test_forest_of_no_training_rows_gives_even_shares(frame):
+    rows = frame([("a", 1.0, "win"), ("b", 2.0, "loss"), ("c", None, "win")], "k string, x double, label string")
+    out = ops.forest_classes(rows.where("x > 5"), rows, ["x"], "label", ["loss", "win"], trees=3)
+    assert out.columns == ["k", "x", "label", "predicted", "p_loss", "p_win"]
+    assert sorted((r.k, r.predicted, r.p_loss, r.p_win) for r in out.collect()) == [(k, "loss", 0.5, 0.5) for k in "abc"]
+    none = rows.where("x > 5")
+    assert ops.forest_classes(none, none, ["x"], "label", ["loss", "win"], trees=3).count() == 0
+    lost = rows.where("label = 'loss'")
+    assert [(r.p_loss, r.p_win) for r in ops.forest_classes(lost, lost, ["x"], "label", ["loss", "win"], trees=3).collect()] == [(1.0, 0.0)]

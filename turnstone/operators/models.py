@@ -251,8 +251,15 @@ def feature_importances(train: DataFrame, features: Sequence[str], label: str, t
 def forest_classes(
     train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str], trees: int = 100, depth: int = 10
 ) -> DataFrame:
-    """Random-forest class with one probability column per class; every level of depth is a pass, up to Spark's 30."""
-    return _classes(RandomForestClassifier(numTrees=trees, maxDepth=depth, maxMemoryInMB=512, seed=SEED), train, rows, features, label, classes)
+    """Random-forest class with one probability column per class; every level of depth is a pass, up to Spark's 30.
+
+    A class that no training row has gets no share.  Without a training row no class is likelier than another:
+    equal shares, and the first class.
+    """
+    if train.isEmpty():
+        return rows.select("*", F.lit(classes[0]).alias("predicted"), *[F.lit(1.0 / len(classes)).alias(f"p_{c}") for c in classes])
+    out = _classes(RandomForestClassifier(numTrees=trees, maxDepth=depth, maxMemoryInMB=512, seed=SEED), train, rows, features, label, classes)
+    return out.fillna(0.0, [f"p_{c}" for c in classes])
 
 
 def multinomial_classes(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, classes: Sequence[str]) -> DataFrame:
