@@ -30,6 +30,17 @@ def test_sums_merge_in_a_tree(spark, monkeypatch):
         assert data.rows == 0 and data.total(lambda b, s: b.sum(0), None, (1,)).tolist() == [0.0]
 
 
+def test_few_rows_of_many_tasks_take_few(spark):
+    df = spark.range(100).repartition(40).select(F.col("id").alias("x"))
+    with runs.Blocks(df, ["x"], rows=30) as data:
+        assert data.rows == 100 and data.tasks == 4
+        assert data.data.agg(F.max("n")).first()[0] <= 30
+        assert data.total(lambda b, s: b.sum(0), None, (1,)).tolist() == [4950.0]
+    assert not data.data.storageLevel.useMemory
+    with runs.Blocks(df.where("x < 20"), ["x"], rows=30) as data:
+        assert data.tasks == 1 and data.data.count() == 1
+
+
 def test_many_starts_beat_one_and_end_at_means(points):
     pdf, df = points
     best = kmeans.fit(df, ["u", "v"], 5, starts=40, seed=3)

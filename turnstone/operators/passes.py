@@ -24,11 +24,12 @@ FAN_IN = 32
 class Blocks:
     """Columns of a table as blocks of doubles, kept for the passes of a fit; lost blocks are computed again.
 
-    Null values count as 0.  Use as a context manager.
+    Null values count as 0.  A table of few rows in many tasks is packed again into as many tasks as it has
+    full blocks, so a pass over it costs no task for a handful of rows.  Use as a context manager.
     """
 
     def __init__(self, df: DataFrame, columns: Sequence[str], rows: int = BLOCK_ROWS):
-        self.columns = list(columns)
+        self.columns, self.block_rows = list(columns), rows
         width = len(self.columns)
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,16 +40,42 @@ class Blocks:
                     yield pa.RecordBatch.from_arrays([pa.array([part.num_rows]), pa.array([np.ascontiguousarray(block).tobytes()], pa.binary())], ["n", "block"])
 
         plain = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.columns])
-        self.data = plain.mapInArrow(pack, "n long, block binary")
+        self.data, self.kept = plain.mapInArrow(pack, "n long, block binary"), []
 
     def __enter__(self) -> Blocks:
-        self.data = self.data.persist(StorageLevel.MEMORY_AND_DISK)
-        seen = self.data.select("n", F.spark_partition_id().alias("task")).agg(F.sum("n").alias("n"), (F.max("task") + 1).alias("tasks")).first()
-        self.rows, self.tasks = int(seen["n"] or 0), int(seen["tasks"] or 0)
+        self._keep(self.data)
+        full = max(1, -(-self.rows // self.block_rows))
+        if full < self.tasks:
+            self._keep(self.data.coalesce(full).mapInArrow(self._joined, "n long, block binary"))
         return self
 
     def __exit__(self, *_) -> None:
-        self.data.unpersist()
+        for data in self.kept:
+            data.unpersist()
+
+    def _keep(self, data: DataFrame) -> None:
+        self.data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept.append(self.data)
+        seen = self.data.select("n", F.spark_partition_id().alias("task")).agg(F.sum("n").alias("n"), (F.max("task") + 1).alias("tasks")).first()
+        self.rows, self.tasks = int(seen["n"] or 0), int(seen["tasks"] or 0)
+
+    @property
+    def _joined(self) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Neighbouring small blocks as one, up to the rows of a full one."""
+        most = self.block_rows
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows, blocks = 0, []
+            for batch in batches:
+                for n, block in zip(batch.column("n").to_pylist(), batch.column("block").to_pylist()):
+                    if rows and rows + n > most:
+                        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([b"".join(blocks)], pa.binary())], ["n", "block"])
+                        rows, blocks = 0, []
+                    rows, blocks = rows + n, [*blocks, block]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([b"".join(blocks)], pa.binary())], ["n", "block"])
+
+        return run
 
     def total(self, part: Callable[[np.ndarray, object], np.ndarray], state: object, shape: Sequence[int], merge: Callable = np.add, start: float = 0.0) -> np.ndarray:
         """``part(block, state)`` of all blocks, merged; ``start`` everywhere without any."""
