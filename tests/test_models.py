@@ -152,3 +152,31 @@ def test_forest_of_no_training_rows_gives_even_shares(frame):
     assert ops.forest_classes(none, none, ["x"], "label", ["loss", "win"], trees=3).count() == 0
     lost = rows.where("label = 'loss'")
     assert [(r.p_loss, r.p_win) for r in ops.forest_classes(lost, lost, ["x"], "label", ["loss", "win"], trees=3).collect()] == [(1.0, 0.0)]
+
+
+def boosted_rows(spark):
+    g, s = F.when(F.col("id") % 50 != 0, (F.rand(3) * 40).cast("int")), F.rand(4) * 100
+    rows = spark.range(1200).select("id", g.alias("g"), s.alias("s")).withColumn("y", ((F.coalesce("g", F.lit(7)) + F.col("s") / 3 + F.rand(5) * 30) > 55).cast("int"))
+    return rows.localCheckpoint()
+
+
+def test_boosted_cells_give_the_fit_of_the_rows(spark, monkeypatch):
+    rows = boosted_rows(spark)
+    train, features = rows.where("id < 1000"), ["g", "s"]
+    counts = train.groupBy().pivot("y", [0, 1]).count().first()
+    means = ops.means_of(train, features)
+    data = ops.vectors(train.withColumn("w", F.when(F.col("y") == 1, counts[0] / counts[1]).otherwise(1.0)), features, "x", means)
+    model = ops.GBTClassifier(featuresCol="x", labelCol="y", weightCol="w", maxIter=5, maxDepth=4, stepSize=0.1, seed=ops.SEED).fit(data)
+    plain = model.transform(ops.vectors(rows, features, "x", means)).select("id", ops.vector_to_array("probability")[1].alias("p"))
+    fitted = []
+    monkeypatch.setattr(ops.GBTClassifier, "fit", lambda self, df, fit=ops.GBTClassifier.fit: fitted.append(df.count()) or fit(self, df))
+    out = ops.boosted_scores(train.unionByName(train), rows, features, "y", trees=5)
+    assert out.join(plain, "id").agg(F.max(F.abs(F.col("probability") - F.col("p"))), F.count("*")).first()[:] == (pytest.approx(0, abs=1e-12), 1200)
+    assert fitted[0] < 1000  # of 2,000 rows
+
+
+def test_borders_of_many_values_are_even(spark):
+    rows = spark.range(5000).select(F.col("id").cast("double").alias("v"), F.lit(1.0).alias("w"))
+    exact, stepped = ops.bin_borders(rows, "v", "w", steps=10000), ops.bin_borders(rows, "v", "w", steps=500)
+    assert len(exact) == len(stepped) == 31 and max(abs(a - b) for a, b in zip(exact, stepped)) <= 10
+    assert ops.bin_borders(rows.where("v < 3"), "v", "w") == [0.5, 1.5] and ops.bin_borders(rows.where("v < 0"), "v", "w") == []

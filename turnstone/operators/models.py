@@ -6,6 +6,7 @@ the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -14,10 +15,10 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import PCA, MinMaxScaler, PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import PCA, Bucketizer, MinMaxScaler, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstone.functions.scalars import clamp, log_or_zero, ratio
@@ -230,17 +231,63 @@ def coefficient_table(train: DataFrame, features: Sequence[str], label: str) ->
 
 
 def boosted_scores(train: DataFrame, rows: DataFrame, features: Sequence[str], label: str, trees: int = 100, depth: int = 4) -> DataFrame:
-    """Boosted-tree probability; the rare class weighs as much as the frequent one."""
+    """Boosted-tree probability; the rare class weighs as much as the frequent one.
+
+    Trees see a feature by its bins only, so rows of equal bins and label are one row with their summed weight:
+    the passes of a fit are over the cells that occur, not over the rows.
+    """
     counts = train.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
     heavy = counts["n"] / max(counts["p"], 1)
     means = means_of(train, features)
-    data = vectors(train.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(heavy))).otherwise(1.0)), features, "_x", means)
-    with held(data.select("_x", F.col(label).cast("double").alias("_y"), "_w")) as fitted:
+    filled = {f: F.coalesce(F.col(f).cast("double"), F.lit(means[f])) for f in features}
+    names = [f"_b{i}" for i in range(len(features))]
+    weighed = train.select(
+        *[filled[f].alias(b) for f, b in zip(features, names)], F.col(label).cast("double").alias("_y"),
+        F.when(F.col(label) == 1, F.lit(float(heavy))).otherwise(1.0).alias("_w"))
+    with held(weighed) as own:
+        borders = [bin_borders(own, b, "_w") for b in names]
+        cells = cut_lineage(own.select("_y", "_w", *[bin_of(F.col(b), at).alias(b) for b, at in zip(names, borders)]).groupBy(*names, "_y").agg(F.sum("_w").alias("_w")))
+    with held(vectors(cells, names, "_x").select("_x", "_y", "_w")) as fitted:
         model = GBTClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", maxIter=trees, maxDepth=depth, stepSize=0.1, seed=SEED).fit(fitted)
-    out = model.transform(vectors(rows, features, "_x", means))
+    out = model.transform(vectors(rows.withColumns({b: bin_of(filled[f], at) for f, b, at in zip(features, names, borders)}), names, "_x"))
     return out.select(*rows.columns, vector_to_array("probability")[1].alias("probability"))
 
 
+#: Bins of a feature in boosted trees, as many as Spark's trees make, and the most steps of values from which they are put together.
+BINS = 32
+STEPS = 4096
+
+
+def bin_borders(df: DataFrame, value: str, weight: str, bins: int = BINS, steps: int = STEPS) -> list[float]:
+    """Borders between bins of even weight, midway between two values of the table; between all values if there are few.
+
+    Of more than ``steps`` distinct values, neighbours by rank count as one step.
+    """
+    sizes = [F.min(value).alias("low"), F.max(value).alias("high"), F.sum(weight).alias("weight")]
+    found = df.groupBy(value).agg(*sizes).limit(steps + 1).collect()
+    if len(found) > steps:
+        cuts = df.agg(F.percentile_approx(value, [i / steps for i in range(1, steps)], 10 * steps)).first()[0]
+        cuts = [-math.inf, *sorted(set(cuts)), math.inf]
+        found = Bucketizer(splits=cuts, inputCol=value, outputCol="_step", handleInvalid="keep").transform(df).groupBy("_step").agg(*sizes).collect()
+    found = sorted(found, key=lambda r: (math.isnan(r["low"]), r["low"]))
+    between = [(a["high"] + b["low"]) / 2 for a, b in zip(found, found[1:])]
+    if len(found) <= bins:
+        return between
+    stride = sum(r["weight"] for r in found) / bins
+    seen, target, out = found[0]["weight"], stride, []
+    for border, r in zip(between, found[1:]):
+        before, seen = seen, seen + r["weight"]
+        if abs(before - target) < abs(seen - target):
+            out.append(border)
+            target += stride
+    return out
+
+
+def bin_of(value: Column, borders: Sequence[float]) -> Column:
+    """Borders below the value."""
+    return sum(((value > F.lit(b)).cast("double") for b in borders), F.lit(0.0))
+
+
 def feature_importances(train: DataFrame, features: Sequence[str], label: str, trees: int = 100) -> DataFrame:
     with held(vectors(train, features, "_x", means_of(train, features)).select("_x", F.col(label).cast("double").alias("_y"))) as fitted:
         model = GBTClassifier(featuresCol="_x", labelCol="_y", maxIter=trees, maxDepth=4, seed=SEED).fit(fitted)
