@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -104,6 +105,51 @@ def test_bpe_equals_the_library(docs, texts, empty):
     assert bpe.decode(bpe.encode(empty, ranks, public_tokenizers.PATTERN), ranks).count() == 0
 
 
+def merged_one_by_one(piece, ranks):
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while pairs := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+        at = min(pairs)[1]
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[p] for p in parts]
+
+
+def test_pieces_merged_side_by_side_equal_one_by_one():
+    draw = random.Random(3)
+    for some in (b"ab", b"abc", bytes(range(256))):
+        for _ in range(20):
+            tokens = [bytes([b]) for b in some] + sorted({bytes(draw.choices(b"abc"[: len(some)], k=draw.randint(2, 6))) for _ in range(draw.randint(0, 60))})
+            draw.shuffle(tokens)  # a join may rank below its parts
+            ranks = {t: 2 * i for i, t in enumerate(tokens)}
+            pieces = [bytes(draw.choices(some, k=draw.randint(1, bpe.SCANNED))) for _ in range(60)] + [b"a" * bpe.SCANNED, b"a"]
+            got = [np.frombuffer(x, dtype="<i4").tolist() for x in bpe.merge_all(pieces, bpe.Pairs(ranks))]
+            assert got == [merged_one_by_one(p, ranks) for p in pieces]
+            assert [bpe._merge_heap(p, ranks) for p in pieces] == got
+    assert bpe.merge_all([], bpe.Pairs(ranks)) == []
+    assert bpe.merge_all([b"abc"], bpe.Pairs({b"ab": 0, b"abc": 1})) == [b"\1\0\0\0"]  # bytes that are no token may still join
+    with pytest.raises(KeyError):
+        bpe.merge_all([b"ac"], bpe.Pairs({b"a": 0}))
+
+
+def test_new_pieces_are_not_merged_call_by_call(monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    draw = random.Random(4)
+    texts = [" ".join("".join(draw.choices("etaoinshrdlu", k=draw.randint(6, 14))) for _ in range(500)) for _ in range(6)] + ["", "x" * 100 + " é"]
+    encoder = bpe.Encoder(ranks, bpe.Pairs(ranks), public_tokenizers.PATTERN)
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(frame.f_code.co_name) if event == "call" else None)
+    try:
+        first = encoder.texts(texts)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 1_000  # 3,000 pieces: two calls each when every piece was merged alone
+    expected = [library.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(bpe, "REMEMBERED", 1_000)
+    for got in (first, encoder.texts(texts), encoder.texts(texts[::-1])[::-1]):  # remembered, then of the older generation
+        assert [np.frombuffer(x, dtype="<i4").tolist() for x in got] == expected
+    assert not any(len(p) >= 64 for p in encoder.seen)
+
+
 def test_quality_counts(docs, texts, empty, spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)] + [(None, 1, 1)], "doc_id long, quality int, toxic int")
     model = quality.train(docs, labels)

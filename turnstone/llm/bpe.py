@@ -34,8 +34,12 @@ OVERLAP = 1 << 10
 MARGIN = 8
 #: Pieces in each of the two generations that a worker remembers.
 REMEMBERED = 80_000
-#: Pieces up to this length are merged by scanning the pairs, longer ones with a heap.
+#: Pieces of up to so many bytes are merged side by side, longer ones each with a heap.
 SCANNED = 32
+#: Pieces that are merged side by side.
+AT_ONCE = 1 << 13
+#: Bits of a row number, of up to ``SCANNED`` + 1.
+ROW_BITS = 6
 
 
 @lru_cache(maxsize=4)
@@ -45,35 +49,121 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one piece: the adjacent pair of lowest rank merges first, the leftmost of equals."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    return _merge_scanning(piece, ranks) if len(piece) <= SCANNED else _merge_heap(piece, ranks)
+class Pairs:
+    """The rank of each two symbols that join.
+
+    Symbols are the ranks of tokens; bytes that are no token get numbers above them.  The joins
+    of all tokens lie in an open-addressing table, so many pairs are looked up at once.
+    """
+
+    EMPTY = -1
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.none = max(ranks.values(), default=-1) + 1
+        self.nothing = self.none + 256
+        symbols = {bytes([b]): self.none + b for b in range(256)} | ranks
+        self.of_byte = np.array([symbols[bytes([b])] for b in range(256)], dtype=np.int64)
+        get = symbols.get
+        cuts = ((get(token[:at]), get(token[at:]), rank) for token, rank in ranks.items() for at in range(1, len(token)))
+        joins = np.array([x for x in cuts if x[0] is not None and x[1] is not None], dtype=np.int64).reshape(-1, 3)
+        bits = max(8, int(4 * len(joins)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.key = np.full(1 << bits, self.EMPTY, dtype=np.int64)
+        self.rank = np.full(1 << bits, self.none, dtype=np.int32)
+        self._place(self._name(joins[:, 0], joins[:, 1]), joins[:, 2])
+
+    def _name(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return left * (self.nothing + 1) + right
+
+    def _slot(self, name: np.ndarray) -> np.ndarray:
+        return ((name.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _place(self, name: np.ndarray, rank: np.ndarray) -> None:
+        slot = self._slot(name)
+        while len(name):
+            free = self.key[slot] == self.EMPTY
+            self.key[slot[free]] = name[free]
+            here = self.key[slot] == name
+            self.rank[slot[here]] = rank[here]
+            name, rank, slot = name[~here], rank[~here], (slot[~here] + 1) & self.mask
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair joined, ``none`` where it is no token."""
+        name = self._name(left, right)
+        slot = self._slot(name)
+        key = self.key[slot]
+        same = key == name
+        out = np.where(same, self.rank[slot], self.none).astype(np.int64)
+        more = np.flatnonzero(~same & (key != self.EMPTY))
+        while more.size:
+            slot[more] = (slot[more] + 1) & self.mask
+            key = self.key[slot[more]]
+            same = key == name[more]
+            out[more[same]] = self.rank[slot[more[same]]]
+            more = more[~same & (key != self.EMPTY)]
+        return out
+
+
+def merge_all(pieces: list[bytes], pairs: Pairs) -> list[bytes]:
+    """Little-endian int32 ids of pieces of 1 to ``SCANNED`` bytes, merged side by side in groups of about equal length."""
+    size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    order = np.argsort(size, kind="stable")
+    out = [b""] * len(pieces)
+    for at in range(0, len(order), AT_ONCE):
+        some = order[at : at + AT_ONCE]
+        ids, counts = _merge_group([pieces[i] for i in some.tolist()], size[some], pairs)
+        ends = (4 * np.cumsum(counts)).tolist()
+        for i, lo, hi in zip(some.tolist(), [0, *ends[:-1]], ends):
+            out[i] = ids[lo:hi]
+    return out
 
 
-def _merge_scanning(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The pair of lowest rank is looked for among all pairs, of which a merge changes two."""
-    none, get = len(ranks), ranks.get
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
-    while pairs:
-        least = min(pairs)
-        if least == none:
+def _merge_group(pieces: list[bytes], size: np.ndarray, pairs: Pairs) -> tuple[bytes, np.ndarray]:
+    """A column for each piece, a row for each byte and an empty row at both ends; a round merges one pair in every column.
+
+    ``key`` holds the rank of the pair that begins in a row, and the row, so its minimum is the
+    leftmost pair of lowest rank.  A merged pair stays in its left row; the right one is skipped from then on.
+    """
+    many, rows = len(pieces), int(size.max()) + 2
+    columns = np.repeat(np.arange(many), size)
+    at = np.arange(len(columns)) - np.repeat(np.cumsum(size) - size, size) + 1
+    symbol = np.full(rows * many, pairs.nothing, dtype=np.int64)
+    symbol[at * many + columns] = pairs.of_byte[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+    never = pairs.none << ROW_BITS
+    first = np.repeat(np.arange(rows), many)
+    after, before = first + 1, first - 1
+    key = np.full(rows * many, never, dtype=np.int64)
+    begins = slice(many, -2 * many)
+    key[begins] = (pairs.ranks(symbol[begins], symbol[2 * many : -many]) << ROW_BITS) + first[begins]
+    key, column = key.reshape(rows, many), np.arange(many)
+    while True:
+        best = key.min(axis=0)
+        live = np.flatnonzero(best < never)
+        if not live.size:
             break
-        at = pairs.index(least)
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        del pairs[at]
-        if at:
-            pairs[at - 1] = get(parts[at - 1] + parts[at], none)
-        if at < len(pairs):
-            pairs[at] = get(parts[at] + parts[at + 1], none)
-    return [ranks[x] for x in parts]
+        if 4 * live.size < 3 * len(column):
+            key, column, best, live = key[:, live], column[live], best[live], np.arange(live.size)
+        rank, row, base = best[live] >> ROW_BITS, best[live] & ((1 << ROW_BITS) - 1), column[live]
+        here = row * many + base
+        gone, left = after[here], before[here]
+        right = after[gone * many + base]
+        symbol[here] = rank
+        symbol[gone * many + base] = pairs.nothing
+        after[here] = right
+        before[right * many + base] = row
+        key[gone, live] = never
+        key[row, live] = (pairs.ranks(rank, symbol[right * many + base]) << ROW_BITS) + row
+        key[left, live] = (pairs.ranks(symbol[left * many + base], rank) << ROW_BITS) + left
+    by_piece = symbol.reshape(rows, many).T
+    there = by_piece != pairs.nothing
+    ids = by_piece[there]
+    if ids.size and ids.max() >= pairs.none:
+        raise KeyError("a byte is not in the vocabulary")
+    return ids.astype("<i4").tobytes(), there.sum(axis=1)
 
 
 def _merge_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """A heap of pairs over a linked list, so a very long piece takes n log n steps."""
+    """The pair of lowest rank merges first, the leftmost of equals; a heap of pairs over a linked list: n log n steps for a very long piece."""
     size = len(piece)
     after, before, end = list(range(1, size + 1)), list(range(-1, size - 1)), list(range(1, size + 1))
     heap = []
@@ -113,34 +203,50 @@ class Encoder:
     a piece of the older one moves on when it is met again.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern, self.seen, self.older = ranks, regex.compile(pattern), {}, {}
-
-    def _learn(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            tokens = merge(piece.encode(), self.ranks)
-            ids = struct.pack(f"<{len(tokens)}i", *tokens)
-        if len(piece) < 64:
-            self.seen[piece] = ids
-        return ids
-
-    def pieces(self, found: list[str]) -> bytes:
+    def __init__(self, ranks: dict[bytes, int], pairs: Pairs, pattern: str):
+        self.ranks, self.pairs, self.pattern, self.seen, self.older = ranks, pairs, regex.compile(pattern), {}, {}
+
+    def _learn(self, new: set[str]) -> None:
+        """Ids of pieces that are not among ``seen``: of the older generation, of whole tokens, or merged, short ones all at once."""
+        known = new & self.older.keys()
+        self.seen.update(zip(known, map(self.older.get, known)))
+        short, data = [], []
+        for piece in new - known:
+            raw = piece.encode()
+            whole = self.ranks.get(raw)
+            if whole is None and len(raw) <= SCANNED:
+                short.append(piece)
+                data.append(raw)
+            else:
+                tokens = _merge_heap(raw, self.ranks) if whole is None else [whole]
+                self.seen[piece] = struct.pack(f"<{len(tokens)}i", *tokens)
+        self.seen.update(zip(short, merge_all(data, self.pairs)))
+
+    def pieces(self, found: list[list[str]]) -> list[bytes]:
+        """The ids of each list of pieces."""
         if len(self.seen) >= REMEMBERED:
             self.seen, self.older = {}, self.seen
-        get, learn = self.seen.get, self._learn
-        return b"".join([get(p) or learn(p) for p in found])
+        new = set().union(*found) - self.seen.keys()
+        self._learn(new)
+        get = self.seen.get
+        ids = [b"".join(map(get, one)) for one in found]
+        for piece in [p for p in new if len(p) >= 64]:
+            del self.seen[piece]
+        return ids
 
-    def text(self, text: str) -> bytes:
-        return self.pieces(self.pattern.findall(text))
+    def texts(self, texts: list[str]) -> list[bytes]:
+        return self.pieces([self.pattern.findall(t) for t in texts])
 
-    def span(self, text: str, start: int, stop: int) -> bytes:
-        """Pieces that begin in [start, stop); ``start`` must begin a piece."""
+    def spans(self, spans: list[tuple[str, int, int]]) -> list[bytes]:
+        """Of each text, start and stop: pieces that begin in [start, stop); ``start`` must begin a piece."""
         found = []
-        for match in self.pattern.finditer(text, start):
-            if match.start() >= stop:
-                break
-            found.append(match.group())
+        for text, start, stop in spans:
+            one = []
+            for match in self.pattern.finditer(text, start):
+                if match.start() >= stop:
+                    break
+                one.append(match.group())
+            found.append(one)
         return self.pieces(found)
 
 
@@ -148,13 +254,13 @@ class Vocabulary:
     """Broadcast ranks and the pattern, with a name by content."""
 
     def __init__(self, spark: SparkSession, ranks: dict[bytes, int], pattern: str):
-        self.shared = spark.sparkContext.broadcast(ranks)  # a vocabulary file's content: bounded
+        self.shared = spark.sparkContext.broadcast((ranks, Pairs(ranks)))  # a vocabulary file's content: bounded
         self.pattern = pattern
         self.name = xxhash.xxh128_hexdigest(b"\0".join([pattern.encode(), *sorted(ranks, key=ranks.get)]))
 
     def encoder(self) -> Encoder:
         """One encoder for each worker and vocabulary, so that pieces stay known between tasks."""
-        return held(self.name, lambda: Encoder(self.shared.value, self.pattern))
+        return held(self.name, lambda: Encoder(*self.shared.value, self.pattern))
 
 
 def _with_ids(part: pa.RecordBatch, drop: set[str], each: list[bytes]) -> pa.RecordBatch:
@@ -172,9 +278,9 @@ def _whole(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``ids`` in place of ``text``, each text in one step."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary.encoder().text
+        encode = vocabulary.encoder().texts
         for part in slices(batches, "text"):
-            yield _with_ids(part, {"text"}, [encode(t) for t in _strings(part, "text")])
+            yield _with_ids(part, {"text"}, encode(_strings(part, "text")))
         give_back()
 
     keep = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text")
@@ -223,11 +329,11 @@ def _stitches(bounds: DataFrame) -> DataFrame:
 
 def _spans(owned: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary.encoder().span
+        encode = vocabulary.encoder().spans
         for part in slices(batches, "text"):
             rows = zip(*(part.column(c).to_pylist() for c in ("base", "start", "stop")), _strings(part, "text"))
-            each = [encode(text, start - base, len(text) if stop is None else stop - base) for base, start, stop, text in rows]
-            yield _with_ids(part, {"text", "base", "start", "stop"}, each)
+            own = [(text, start - base, len(text) if stop is None else stop - base) for base, start, stop, text in rows]
+            yield _with_ids(part, {"text", "base", "start", "stop"}, encode(own))
         give_back()
 
     return owned.mapInArrow(run, "digest string, part int, ids array<int>")
