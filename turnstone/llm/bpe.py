@@ -32,12 +32,14 @@ CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: A match that ends this near to a chunk's end may have been changed by the cut.
 MARGIN = 8
+#: Bytes of text whose pieces are held and looked up together.
+TOGETHER = 1 << 18
 #: Pieces in each of the two generations that a worker remembers.
-REMEMBERED = 80_000
+REMEMBERED = 40_000
 #: Pieces of up to so many bytes are merged side by side, longer ones each with a heap.
 SCANNED = 32
 #: Pieces that are merged side by side.
-AT_ONCE = 1 << 13
+AT_ONCE = 1 << 12
 #: Bits of a row number, of up to ``SCANNED`` + 1.
 ROW_BITS = 6
 
@@ -279,7 +281,7 @@ def _whole(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary.encoder().texts
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TOGETHER):
             yield _with_ids(part, {"text"}, encode(_strings(part, "text")))
         give_back()
 
@@ -330,7 +332,7 @@ def _stitches(bounds: DataFrame) -> DataFrame:
 def _spans(owned: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary.encoder().spans
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TOGETHER):
             rows = zip(*(part.column(c).to_pylist() for c in ("base", "start", "stop")), _strings(part, "text"))
             own = [(text, start - base, len(text) if stop is None else stop - base) for base, start, stop, text in rows]
             yield _with_ids(part, {"text", "base", "start", "stop"}, encode(own))
