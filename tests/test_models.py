@@ -1,5 +1,7 @@
 """Exact parts against brute force; fitted parts by range, shape and repeatability."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,8 @@ from pyspark.sql import functions as F
 
 from turnstone.operators import models as ops
 from turnstone.operators import neighbours
+from turnstone.plans import models as plans
+from turnstone.sources.tables import Tables
 
 
 def brute(points, queries, k):
@@ -180,3 +184,21 @@ def test_borders_of_many_values_are_even(spark):
     exact, stepped = ops.bin_borders(rows, "v", "w", steps=10000), ops.bin_borders(rows, "v", "w", steps=500)
     assert len(exact) == len(stepped) == 31 and max(abs(a - b) for a, b in zip(exact, stepped)) <= 10
     assert ops.bin_borders(rows.where("v < 3"), "v", "w") == [0.5, 1.5] and ops.bin_borders(rows.where("v < 0"), "v", "w") == []
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_classes_are_evened_with_an_empty_document(spark, tmp_path, shared):
+    """Also where keys repeat in both tables; texts are read once."""
+    texts = [" ".join(["word"] * (i % 7 + 1)) + "s" * i for i in range(30)] + [""]
+    rows = [(i, text, len(text)) for i, text in enumerate(texts)] * (2 if shared else 1)
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, int(i % 3 > 0), 0) for i in range(31)] * (2 if shared else 1)
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    t = Tables(spark, str(tmp_path))
+    out = plans.oversample(t)
+    assert not out.inputFiles()
+    times = 4 if shared else 1
+    assert {(r.quality, r.synthetic): r.n for r in plans.even_classes(t).collect()} == {(0, False): 11 * times, (1, False): 20 * times, (0, True): 9 * times}
+    got = {(round(r["size"], 9), round(r["density"], 9)) for r in out.where("NOT synthetic").collect()}
+    assert got == {(round(math.log1p(len(x)), 9), round((x.count(" ") + 1) / len(x), 9) if x else 0.0) for x in texts}
+    assert out.where("size IS NULL OR density IS NULL").isEmpty()

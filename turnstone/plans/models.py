@@ -249,10 +249,20 @@ def importances(t):
     return ops.feature_importances(renewal_rows(t), RENEWAL_FEATURES, "did_renew")
 
 
+def quality_rows(t):
+    """Size and words a character of the labelled documents, computed once; texts are measured in the scan, not joined.
+
+    A document without a character has density 0.
+    """
+    words, chars = F.size(F.split("text", " ")), F.col("n_chars")
+    density = F.when(chars != 0, words / chars).when((chars == 0) & F.col("text").isNotNull(), 0.0)
+    measured = t.documents.select("doc_id", F.log1p("n_chars").alias("size"), density.alias("density"))
+    return cut_lineage(measured.join(t.labels, "doc_id").select("doc_id", "quality", "size", "density"))
+
+
 @query("m19_oversample")
 def oversample(t):
-    d = t.documents.join(t.labels, "doc_id").select("doc_id", "quality", F.log1p("n_chars").alias("size"), (F.size(F.split("text", " ")) / F.col("n_chars")).alias("density"))
-    return neighbours.oversample_minority(d, "doc_id", ["size", "density"], "quality", 0)
+    return neighbours.oversample_minority(quality_rows(t), "doc_id", ["size", "density"], "quality", 0)
 
 
 # --- what must hold of fitted values: the twins count the rows that have to be there --------------
