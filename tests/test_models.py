@@ -46,6 +46,23 @@ def test_fewer_points_than_k_returns_all(spark):
     assert near.count() == 2
 
 
+def test_pairs_of_a_round_are_joined_once(spark, monkeypatch):
+    joins, cut = [], neighbours.cut_lineage
+
+    def noted(df):
+        if "distance" in df.columns:
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join Inner"))
+        return cut(df)
+
+    monkeypatch.setattr(neighbours, "cut_lineage", noted)
+    p = spark.createDataFrame([(0.0,), (0.0,), (1.0,), (2.0,), (2.0,), (40.0,)], "x double")
+    near = neighbours.nearest(neighbours.distinct_vectors(p, ["x"]), p.distinct(), ["x"], 3)
+    got = {(r["q_x"], r["x"]): (r["n"], r["distance"]) for r in near.collect()}
+    assert got == {(q, x): ({0.0: 2, 1.0: 1, 2.0: 2, 40.0: 1}[x], abs(q - x)) for q, x in [
+        (0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 0.0), (1.0, 2.0), (2.0, 2.0), (2.0, 1.0), (40.0, 40.0), (40.0, 2.0)]}
+    assert set(joins) == {1}
+
+
 def test_knn_exact_matches_outvote(spark):
     train = spark.createDataFrame([(0, "a"), (0, "a"), (0, "b"), (1, "b"), (1, "b"), (9, "c")], "x int, c string")
     got = {r["x"]: (r["predicted"], round(r["probability"], 4)) for r in neighbours.knn_vote(train, spark.createDataFrame([(0,), (5,)], "x int"), ["x"], "c", 5).collect()}

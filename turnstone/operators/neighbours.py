@@ -58,14 +58,12 @@ def nearest(points: DataFrame, queries: DataFrame, dims: Sequence[str], k: int,
         squares = reduce(lambda a, b: a + b, [(F.col(f"q_{d}") - F.col(d)) ** 2 for d in dims])
         near = asked.join(placed, [f"_c{i}" for i in range(len(dims))]).withColumn(
             "distance", F.sqrt(squares.cast("double"))).where(F.lit(last) | (F.col("distance") <= step))
+        # one shuffle of the pairs: the distance at which the points of a query, with their copies, come to k
         keys = [f"q_{d}" for d in dims]
-        steps = near.groupBy(*keys, "distance").agg(F.sum("n").alias("_n"))
-        so_far = Window.partitionBy(*keys).orderBy("distance").rowsBetween(Window.unboundedPreceding, 0)
-        filled = steps.withColumn("_upto", F.sum("_n").over(so_far)).groupBy(*keys).agg(
-            F.min(F.when(F.col("_upto") >= k, F.col("distance"))).alias("_kth"), F.max("distance").alias("_all"))
-        radius = F.coalesce("_kth", F.col("_all")) if last else F.col("_kth")
-        known = filled.withColumn("_r", radius).where(F.col("_r").isNotNull()).select(*keys, "_r")
-        found = near.join(known, keys).where(F.col("distance") <= F.col("_r"))
+        of_query = Window.partitionBy(*keys)
+        upto = near.select(*keys, *dims, "n", "distance").withColumn("_upto", F.sum("n").over(of_query.orderBy("distance")))
+        filled = upto.withColumn("_kth", F.min(F.when(F.col("_upto") >= k, F.col("distance"))).over(of_query))
+        found = filled.where((F.col("distance") <= F.col("_kth")) | (F.lit(last) & F.col("_kth").isNull()))
         done.append(cut_lineage(found.select(*keys, *dims, "n", "distance")))
         if last:
             break
@@ -141,11 +139,11 @@ def oversample_minority(
     lists = ranked.groupBy(*qs).agg(F.sort_array(F.collect_list(F.struct("_r", *dims))).alias("_near"))
     numbered = row_numbers(small.select(key, *dims), [], [key], even_buckets(small, F.col(key)), "_i")
     copies = F.lit(need // m) + (F.col("_i") <= need % m).cast("int")
-    drawn = numbered.withColumn("_copies", copies).where("_copies > 0").withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    paired = drawn.join(lists.withColumnsRenamed({f"q_{d}": d for d in dims}), list(dims))
+    listed = numbered.withColumn("_copies", copies).where("_copies > 0").join(lists.withColumnsRenamed({f"q_{d}": d for d in dims}), list(dims))
+    drawn = listed.withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     spot = (F.floor(keyed_random([key, "_j"], seed) * F.size("_near")) + 1).cast("int")
     other = F.element_at("_near", spot)
     u = keyed_random([key, "_j"], seed + 1)
-    made = paired.select(
+    made = drawn.select(
         *[(F.col(d) + u * (other[d] - F.col(d))).alias(d) for d in dims], F.lit(minority).alias(label), F.lit(True).alias("synthetic"))
     return base.unionByName(made)
