@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import PCA, Bucketizer, MinMaxScaler, PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import PCA, Bucketizer, MinMaxScaler, PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -72,13 +72,14 @@ def standardise(train: DataFrame, rows: DataFrame, features: Sequence[str], weig
 # --- regression -------------------------------------------------------------------------
 def polynomial_regression(train: DataFrame, rows: DataFrame, features: Sequence[str], target: str, degree: int = 4) -> DataFrame:
     steps = Pipeline(stages=[
-        PolynomialExpansion(degree=degree, inputCol="_x", outputCol="_p"),
+        StandardScaler(inputCol="_x", outputCol="_s", withMean=True),  # the same polynomials; powers of plain values are too uneven to fit well
+        PolynomialExpansion(degree=degree, inputCol="_s", outputCol="_p"),
         LinearRegression(featuresCol="_p", labelCol=target, predictionCol="predicted"),
     ])
     means = means_of(train, features)
     with held(vectors(train, features, "_x", means).select("_x", target)) as data:
         model = steps.fit(data)
-    return model.transform(vectors(rows, features, "_x", means)).drop("_x", "_p")
+    return model.transform(vectors(rows, features, "_x", means)).drop("_x", "_s", "_p")
 
 
 def boosted_regression_by_group(
